@@ -231,9 +231,14 @@ def level_distribution(spark, sf):
     return _rounded(lines.level_distribution(fx.parsed(spark, sf)), "percentage")
 
 
+def _top_levels(spark, sf) -> DataFrame:
+    counts = sources.settle(lines.level_counts(fx.parsed(spark, sf)))
+    return lines.level_distribution_top(counts)
+
+
 @query
 def level_distribution_top10(spark, sf):
-    return _rounded(lines.level_distribution_top(fx.parsed(spark, sf)), "percentage")
+    return _rounded(_top_levels(spark, sf), "percentage")
 
 
 @query
@@ -247,7 +252,7 @@ def distinct_components(spark, sf):
 
 
 def _pivot(spark, sf) -> DataFrame:
-    return findings.level_pivot(lines.level_distribution_top(fx.parsed(spark, sf)), PIVOT_LEVELS)
+    return findings.level_pivot(_top_levels(spark, sf), PIVOT_LEVELS)
 
 
 @query
@@ -275,38 +280,36 @@ def label_summary(spark, sf):
     return _rounded(summary, "normal_pct", "anomaly_pct")
 
 
-def _sequences(spark, sf) -> DataFrame:
-    return blocks.anomaly_sequences(fx.in_blocks(spark, sf), fx.labels(spark, sf))
-
-
 @query
 def anomaly_sequences(spark, sf):
-    return _sequences(spark, sf).select("part", "event_sequence", "count")
+    found = blocks.anomaly_sequences(fx.in_blocks(spark, sf), fx.labels(spark, sf))
+    return found.select("part", "event_sequence", "count")
 
 
 @query
 def anomaly_sequences_top5(spark, sf):
-    return blocks.top_sequences(_sequences(spark, sf)).select("part", "event_sequence", "count")
-
-
-def _by_label(spark, sf) -> DataFrame:
-    return blocks.component_by_label(fx.in_blocks(spark, sf), fx.labels(spark, sf))
+    found = blocks.top_sequences(fx.in_blocks(spark, sf), fx.labels(spark, sf))
+    return found.select("part", "event_sequence", "count")
 
 
 @query
 def component_by_label(spark, sf):
-    return _rounded(_by_label(spark, sf), "percentage")
+    rows = blocks.component_by_label(fx.in_blocks(spark, sf), fx.labels(spark, sf))
+    return _rounded(rows, "percentage")
+
+
+def _ratios(spark, sf) -> DataFrame:
+    return blocks.component_anomaly_ratio(fx.in_blocks(spark, sf), fx.labels(spark, sf))
 
 
 @query
 def component_anomaly_ratio(spark, sf):
-    return _rounded(blocks.component_anomaly_ratio(_by_label(spark, sf)), "anomaly_ratio")
+    return _rounded(_ratios(spark, sf), "anomaly_ratio")
 
 
 @query
 def component_anomaly_ratio_top10(spark, sf):
-    ratios = blocks.component_anomaly_ratio(_by_label(spark, sf))
-    return _rounded(findings.top_anomaly_ratio(ratios), "anomaly_ratio")
+    return _rounded(findings.top_anomaly_ratio(_ratios(spark, sf)), "anomaly_ratio")
 
 
 @query
@@ -336,7 +339,7 @@ def component_latency_top15(spark, sf):
 
 @query
 def latency_top5_other(spark, sf):
-    rows = findings.latency_top_and_other(_component_latency(spark, sf))
+    rows = findings.latency_top_and_other(sources.settle(_component_latency(spark, sf)))
     return _rounded(rows, "avg_latency", "share")
 
 
@@ -347,12 +350,12 @@ def blocks_with_component(spark, sf):
 
 @query
 def key_findings(spark, sf):
-    parsed = fx.parsed(spark, sf)
+    activity = sources.settle(lines.activity_counts(fx.parsed(spark, sf)))
     found = findings.key_findings(
-        lines.error_frequencies(parsed),
-        lines.hourly_activity(parsed),
-        blocks.component_anomaly_ratio(_by_label(spark, sf)),
-        lines.level_distribution_top(parsed),
+        lines.error_frequencies(activity),
+        lines.hourly_activity(activity),
+        _ratios(spark, sf),
+        lines.level_distribution_top(lines.level_counts(activity)),
         _component_latency(spark, sf),
     )
     return _rounded(found, "value")

@@ -216,13 +216,16 @@ def span_latency(end: str = "block_end", start: str = "block_start") -> Column:
     return _seconds(end, start)
 
 
+def label_copies(labels: DataFrame) -> DataFrame:
+    """(BlockId, copies): how many rows of the record table a labelled block has."""
+    total = F.col("normal") + F.col("anomaly") + F.col("other")
+    return label_counts(labels).select("BlockId", total.alias("copies"))
+
+
 def block_latency(parsed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(BlockId, latency), plus ``copies`` of the block in the record table if labels are given."""
     latency = block_spans(parsed).select("BlockId", span_latency().alias("latency"))
     if labels is None:
         return latency
-    total = F.col("normal") + F.col("anomaly") + F.col("other")
-    counts = label_counts(labels).select("BlockId", total.alias("copies"))
-    return latency.join(counts, "BlockId", "left").withColumn(
-        "copies", F.coalesce("copies", F.lit(1).cast("bigint"))
-    )
+    joined = latency.join(label_copies(labels), "BlockId", "left")
+    return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))

@@ -96,40 +96,48 @@ def anomaly_sequences(
     return counts.orderBy(F.desc("count"), "event_sequence", "sequence_id", "part")
 
 
-def top_sequences(sequences: DataFrame, k: int = 5) -> DataFrame:
+def top_sequences(
+    parsed: DataFrame, labels: DataFrame, k: int = 5, profile: BlockProfile | None = None
+) -> DataFrame:
     """All parts of the ``k`` most frequent sequences; ties go by the text of the first part."""
-    first = (
-        sequences.filter("part = 0")
-        .orderBy(F.desc("count"), "event_sequence", "sequence_id")
-        .limit(k)
-        .select("sequence_id")
-    )
+    profile = profile or profile_blocks(parsed)
+    sequences = anomaly_sequences(parsed, labels, profile)
+    order = [F.desc("count"), "event_sequence", "sequence_id"]
+    if profile.largest <= ops.SEGMENT_LINES:
+        return sequences.orderBy(*order).limit(k)
+    first = sequences.filter("part = 0").orderBy(*order).limit(k).select("sequence_id")
     return sequences.join(F.broadcast(first), "sequence_id", "left_semi")  # k rows
 
 
-def component_by_label(parsed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lines per component in anomalous and in normal blocks, with the share within each type."""
+def component_labels(parsed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Lines per component in anomalous and in normal blocks."""
     pairs = parsed.groupBy("BlockId", "component").agg(F.count("*").alias("n"))
-    joined = pairs.join(label_counts(labels), "BlockId")
-    counts = joined.groupBy("component").agg(
-        F.sum(F.col("n") * F.col("anomaly")).alias("anomaly"),
-        F.sum(F.col("n") * F.col("normal")).alias("normal"),
+    return (
+        pairs.join(label_counts(labels), "BlockId")
+        .groupBy("component")
+        .agg(
+            F.sum(F.col("n") * F.col("anomaly")).alias("anomaly"),
+            F.sum(F.col("n") * F.col("normal")).alias("normal"),
+        )
+        .filter("anomaly + normal > 0")
     )
-    long = counts.unpivot("component", ["anomaly", "normal"], "type", "count").filter("count > 0")
-    totals = long.groupBy("type").agg(F.sum("count").alias("total"))  # two rows
-    return long.join(F.broadcast(totals), "type").select(
+
+
+def component_by_label(parsed: DataFrame, labels: DataFrame) -> DataFrame:
+    """``component_labels`` with a row per type and component, and the share within each type."""
+    counts = component_labels(parsed, labels)
+    rows = counts.unpivot("component", ["anomaly", "normal"], "type", "count").filter("count > 0")
+    totals = rows.groupBy("type").agg(F.sum("count").alias("total"))  # two rows
+    return rows.join(F.broadcast(totals), "type").select(
         "type", "component", "count", (F.col("count") / F.col("total") * 100).alias("percentage")
     )
 
 
-def component_anomaly_ratio(by_label: DataFrame) -> DataFrame:
-    """Per component, its share of lines that are in anomalous blocks."""
-    wide = by_label.groupBy("component").pivot("type", ["anomaly", "normal"]).agg(F.sum("count"))
-    return (
-        wide.fillna(0)
-        .withColumn("anomaly_ratio", F.try_divide("anomaly", F.col("anomaly") + F.col("normal")))
-        .orderBy(F.desc("anomaly_ratio"), "component")
-    )
+def component_anomaly_ratio(parsed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per component, the share of its labelled lines that are in anomalous blocks."""
+    ratio = F.col("anomaly") / (F.col("anomaly") + F.col("normal"))
+    counts = component_labels(parsed, labels)
+    return counts.withColumn("anomaly_ratio", ratio).orderBy(F.desc("anomaly_ratio"), "component")
 
 
 def latency_stats(parsed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -158,19 +166,22 @@ def component_latency(parsed: DataFrame, labels: DataFrame | None = None) -> Dat
     spans = pairs.groupBy("BlockId").agg(
         F.min("pair_start").alias("block_start"), F.max("pair_end").alias("block_end")
     )
-    spans = spans.select("BlockId", ops.span_latency().alias("latency"))
     if labels is None:
         spans = spans.withColumn("copies", F.lit(1))
     else:
-        total = F.col("normal") + F.col("anomaly") + F.col("other")
-        counts = label_counts(labels).select("BlockId", total.alias("copies"))
-        spans = spans.join(counts, "BlockId", "left").withColumn(
-            "copies", F.coalesce("copies", F.lit(1))
-        )
+        spans = spans.join(ops.label_copies(labels), "BlockId", "left")
+    # The block's span covers the pair's.  Reading both keeps the two uses of ``pairs`` equal, so that
+    # its shuffle is written once and the log scanned once.
+    rows = pairs.join(spans, "BlockId").select(
+        "component",
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.greatest("block_end", "pair_end").alias("block_end"),
+        F.least("block_start", "pair_start").alias("block_start"),
+    )
+    latency = ops.span_latency() * F.col("copies")
     return (
-        pairs.join(spans, "BlockId")
-        .groupBy("component")
-        .agg((F.sum(F.col("latency") * F.col("copies")) / F.sum("copies")).alias("avg_latency"))
+        rows.groupBy("component")
+        .agg((F.sum(latency) / F.sum("copies")).alias("avg_latency"))
         .orderBy(F.desc("avg_latency"), "component")
     )
 

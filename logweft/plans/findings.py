@@ -1,6 +1,7 @@
 """Tables derived from the analyses: rankings, pivots, shares and single findings.
 
-Their inputs are already aggregated to one row per component, level or hour.
+Their inputs are aggregated to one row per component, level or hour.  Functions that use an input
+more than once say so; pass those a settled table.
 """
 
 from __future__ import annotations
@@ -8,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweft.plans.lines import rank_components
+from logweft.plans.lines import top_components
 
 OTHER = "Other Components"
 
 
 def top_error_components(errors: DataFrame, k: int = 10) -> DataFrame:
     """Components by their sum of errors and warnings."""
-    return rank_components(errors, k)
+    return top_components(errors, k)
 
 
 def top_anomaly_ratio(ratios: DataFrame, k: int = 10) -> DataFrame:
@@ -55,8 +56,9 @@ def latency_top_and_other(latencies: DataFrame, k: int = 5) -> DataFrame:
     """The slowest ``k`` components and one row that sums the averages of all others.
 
     ``share`` is each row's percentage of the sum of averages; it compares averages, not time spent.
+    ``latencies`` is used twice.
     """
-    top = slowest_components(latencies, k).select("component", "avg_latency")
+    top = slowest_components(latencies, k)
     rest = latencies.join(F.broadcast(top.select("component")), "component", "left_anti")  # k rows
     other = rest.agg(
         F.lit(OTHER).alias("component"), F.coalesce(F.sum("avg_latency"), F.lit(0.0)).alias("avg_latency")
@@ -81,6 +83,8 @@ def key_findings(
     """The leading subject of each analysis, one row per finding.
 
     The error finding falls back to warnings if none of the top components logged an error.
+    ``errors`` and ``hourly`` are best taken from one settled ``activity_counts``, and
+    ``top_levels``, which is used twice, from its ``level_counts``.
     """
     share = F.sum(F.when(F.col("level") == F.col("wanted"), F.col("percentage")).otherwise(0.0))
     has_errors = F.bool_or(F.col("level") == "ERROR").over(Window.partitionBy(F.lit(0)))
@@ -91,7 +95,7 @@ def key_findings(
         return marked.groupBy("component").agg(share.alias("share"))
 
     findings = [
-        _finding("most_issues", rank_components(errors, 1), "component", F.col("count")),
+        _finding("most_issues", top_components(errors, 1), "component", F.col("count")),
         _finding("peak_hour", hourly, "hour", F.col("count")),
         _finding("highest_anomaly_ratio", ratios, "component", F.col("anomaly_ratio")),
         _finding("most_info", by_component(F.lit("INFO")), "component", F.col("share")),

@@ -1,39 +1,47 @@
-"""Analyses of parsed lines.  Each is one map-side-combined aggregate, then work on its few rows."""
+"""Analyses of parsed lines.
+
+Each is one map-side-combined aggregate, then work on its few rows.  All of them also take
+``activity_counts``, the same lines already counted, so that several analyses can share one scan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEVERE = ("ERROR", "WARN")
 
 
-def error_frequencies(parsed: DataFrame, limit: int | None = None) -> DataFrame:
+def activity_counts(parsed: DataFrame) -> DataFrame:
+    """Lines by component, level and hour of day."""
+    hour = F.hour("timestamp").alias("hour")
+    return parsed.groupBy("component", "level", hour).agg(F.count("*").alias("count"))
+
+
+def _lines(rows: DataFrame) -> Column:
+    counted = "count" in rows.columns
+    return (F.sum("count") if counted else F.count("*")).alias("count")
+
+
+def error_frequencies(rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Error and warning lines by component and level, most frequent first."""
-    counts = (
-        parsed.filter(F.col("level").isin(*SEVERE))
-        .groupBy("component", "level")
-        .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), "component", "level")
-    )
+    severe = rows.filter(F.col("level").isin(*SEVERE))
+    counts = level_counts(severe).orderBy(F.desc("count"), "component", "level")
     return counts if limit is None else counts.limit(limit)
 
 
-def hourly_activity(parsed: DataFrame) -> DataFrame:
+def hourly_activity(rows: DataFrame) -> DataFrame:
     """Lines by hour of day; lines without a time are in the NULL hour."""
-    return (
-        parsed.groupBy(F.hour("timestamp").alias("hour"))
-        .agg(F.count("*").alias("count"))
-        .orderBy("hour")
-    )
+    hour = F.col("hour") if "hour" in rows.columns else F.hour("timestamp").alias("hour")
+    return rows.groupBy(hour).agg(_lines(rows)).orderBy("hour")
 
 
 def peak_hours(hourly: DataFrame, k: int = 3) -> DataFrame:
     return hourly.orderBy(F.desc("count"), F.asc_nulls_last("hour")).limit(k)
 
 
-def level_counts(parsed: DataFrame) -> DataFrame:
-    return parsed.groupBy("component", "level").agg(F.count("*").alias("count"))
+def level_counts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("component", "level").agg(_lines(rows))
 
 
 def level_shares(counts: DataFrame) -> DataFrame:
@@ -44,36 +52,25 @@ def level_shares(counts: DataFrame) -> DataFrame:
     )
 
 
-def level_distribution(parsed: DataFrame) -> DataFrame:
-    return level_shares(level_counts(parsed)).orderBy("component", F.desc("count"), "level")
+def level_distribution(rows: DataFrame) -> DataFrame:
+    return level_shares(level_counts(rows)).orderBy("component", F.desc("count"), "level")
 
 
-def rank_components(counts: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` components with the highest sum of ``count``."""
-    return (
-        counts.groupBy("component")
-        .agg(F.sum("count").alias("count"))
-        .orderBy(F.desc("count"), "component")
-        .limit(k)
-    )
+def top_components(rows: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` components with the most lines."""
+    counts = rows.groupBy("component").agg(_lines(rows))
+    return counts.orderBy(F.desc("count"), "component").limit(k)
 
 
-def top_components(parsed: DataFrame, k: int = 10) -> DataFrame:
-    return (
-        parsed.groupBy("component")
-        .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), "component")
-        .limit(k)
-    )
-
+def level_distribution_top(counts: DataFrame, k: int = 10) -> DataFrame:
+    """Level shares of the ``k`` busiest components.
 
-def level_distribution_top(parsed: DataFrame, k: int = 10) -> DataFrame:
-    """``level_distribution`` of the ``k`` busiest components."""
-    counts = level_counts(parsed)
-    busiest = rank_components(counts, k).select("component")
+    ``counts`` is used twice, so pass a settled table of counts rather than parsed lines.
+    """
+    busiest = top_components(counts, k).select("component")
     kept = counts.join(F.broadcast(busiest), "component", "left_semi")  # k rows
-    return level_shares(kept).orderBy("component", "level")
+    return level_shares(level_counts(kept))
 
 
-def distinct_components(parsed: DataFrame) -> DataFrame:
-    return parsed.select("component").distinct()
+def distinct_components(rows: DataFrame) -> DataFrame:
+    return rows.select("component").distinct()

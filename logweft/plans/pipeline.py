@@ -131,10 +131,11 @@ class LogAnalyzer:
         return self.results
 
     def key_findings(self) -> DataFrame:
+        activity = sources.settle(lines.activity_counts(self.parsed))
         return findings.key_findings(
-            lines.error_frequencies(self.parsed),
-            lines.hourly_activity(self.parsed),
-            blocks.component_anomaly_ratio(blocks.component_by_label(self.in_blocks, self.labels)),
-            lines.level_distribution_top(self.parsed),
+            lines.error_frequencies(activity),
+            lines.hourly_activity(activity),
+            blocks.component_anomaly_ratio(self.in_blocks, self.labels),
+            lines.level_distribution_top(lines.level_counts(activity)),
             blocks.component_latency(self.in_blocks, self.labels),
         )

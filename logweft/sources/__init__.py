@@ -6,7 +6,7 @@ from logweft.sources.files import (
     read_truth,
     truth_event_counts,
 )
-from logweft.sources.scratch import new_folder, use_checkpoints
+from logweft.sources.scratch import new_folder, settle, use_checkpoints
 
 __all__ = [
     "LINE_ORDER",
@@ -15,6 +15,7 @@ __all__ = [
     "read_log",
     "read_templates",
     "read_truth",
+    "settle",
     "truth_event_counts",
     "use_checkpoints",
 ]

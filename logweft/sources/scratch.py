@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -29,3 +29,9 @@ def use_checkpoints(spark: SparkSession) -> None:
     folder = _shared_folder(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def settle(small: DataFrame) -> DataFrame:
+    """Evaluate an aggregated table once, on disk, before several branches of a query use it."""
+    use_checkpoints(small.sparkSession)
+    return small.checkpoint()
