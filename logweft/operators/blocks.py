@@ -25,9 +25,11 @@ from logweft.operators.labels import (
 )
 from logweft.operators.skew import BlockProfile, profile_blocks
 from logweft.sources.files import LINE_ORDER
-from logweft.sources.scratch import use_checkpoints
+from logweft.sources.scratch import settle
 
 SEGMENT_LINES = 100_000
+# What ordering the lines of a block needs.
+ORDER_COLUMNS = ("BlockId", "timestamp", *LINE_ORDER)
 RECORD_COLUMNS = (
     "BlockId",
     "segment",
@@ -61,13 +63,9 @@ def _order_in_task(parsed: DataFrame) -> DataFrame:
 
 def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
     """Number the lines of each block with the block spread over range partitions."""
-    use_checkpoints(parsed.sparkSession)
+    ranged = parsed.repartitionByRange(slices, "BlockId", "timestamp", *LINE_ORDER)
     # The slice ids come from sampled bounds, so they are fixed on disk before two branches use them.
-    sliced = (
-        parsed.repartitionByRange(slices, "BlockId", "timestamp", *LINE_ORDER)
-        .withColumn("slice", F.spark_partition_id())
-        .checkpoint()
-    )
+    sliced = settle(ranged.withColumn("slice", F.spark_partition_id()), "slices")
     in_slice = Window.partitionBy("BlockId", "slice").orderBy("timestamp", *LINE_ORDER)
     numbered = sliced.select(
         "*",
@@ -109,7 +107,8 @@ def by_route(
     """Order the lines of each route, finish each, and put the results together.
 
     ``prepare(lines, hot)`` and ``finish(ordered, hot)`` run per route, so that the ordinary route
-    keeps its partitioning by block id from one step to the next.
+    keeps its partitioning by block id from one step to the next.  ``prepare`` should leave only the
+    columns that ``finish`` needs: the hot route writes what it orders.
     """
     result = finish(_order_in_task(prepare(profile.ordinary(parsed), False)), False)
     if profile.hot:
@@ -179,11 +178,14 @@ def _records(
 ) -> DataFrame:
     profile = profile or profile_blocks(parsed)
 
+    def prepare(rows: DataFrame, hot: bool) -> DataFrame:
+        return rows.select(*ORDER_COLUMNS, "EventId", "level", "component", "pid")
+
     def finish(ordered: DataFrame, hot: bool) -> DataFrame:
         reduced = profile.only_hot(reduce, labels) if hot else reduce(labels)
         return attach(_assemble(ordered), reduced).select(*RECORD_COLUMNS)
 
-    return by_route(parsed, profile, finish)
+    return by_route(parsed, profile, finish, prepare)
 
 
 def block_records(

@@ -84,7 +84,8 @@ def anomaly_sequences(
     # The label filter comes first, so only anomalous blocks are ordered.
     def prepare(rows: DataFrame, hot: bool) -> DataFrame:
         known = profile.only_hot(copies, labels) if hot else copies(labels)
-        return rows.join(known, "BlockId")
+        needed = rows.select(*ops.ORDER_COLUMNS, "EventId")
+        return needed.join(known, "BlockId")
 
     parts = ops.by_route(parsed, profile, finish, prepare)
     keys = ["part", "event_sequence"]

@@ -61,6 +61,8 @@ class LogPipeline:
         if strict and self.expected is not None:
             ops.check_parsed(parsed, self.expected)
         self.parsed = parsed
+        for derived in ("in_blocks", "profile"):
+            self.__dict__.pop(derived, None)
         return self
 
     def group(
@@ -72,11 +74,21 @@ class LogPipeline:
 
         ``default_normal`` labels a block without a known label 0 instead of NULL.
         """
-        kept = fn.drop_missing_blocks(self.parsed)
+        rows = layout(self.in_blocks) if layout else self.in_blocks
         build = ops.block_records_default0 if default_normal else ops.block_records
-        self.blocks = build(layout(kept) if layout else kept, self.labels, ops.profile_blocks(kept))
+        self.blocks = build(rows, self.labels, self.profile)
         return self
 
+    @cached_property
+    def in_blocks(self) -> DataFrame:
+        """The parsed lines that name a block."""
+        return fn.drop_missing_blocks(self.parsed)
+
+    @cached_property
+    def profile(self) -> ops.BlockProfile:
+        """Block sizes, counted once for everything that orders lines."""
+        return ops.profile_blocks(self.in_blocks)
+
     def pipeline(self) -> "LogPipeline":
         return self.load().parse().group()
 
@@ -85,14 +97,12 @@ class LogAnalyzer:
     """The five analyses over a parsed pipeline."""
 
     def __init__(self, pipeline: LogPipeline):
+        self.pipeline = pipeline
         self.parsed = pipeline.parsed
+        self.in_blocks = pipeline.in_blocks
         self.labels = pipeline.labels
         self.results: dict[str, DataFrame | dict[str, DataFrame]] = {}
 
-    @cached_property
-    def in_blocks(self) -> DataFrame:
-        return fn.drop_missing_blocks(self.parsed)
-
     def analyze_error_frequencies(self) -> DataFrame:
         self.results["error_frequencies"] = lines.error_frequencies(self.parsed)
         return self.results["error_frequencies"]
@@ -102,7 +112,7 @@ class LogAnalyzer:
         return self.results["peak_activity_times"]
 
     def analyze_failure_patterns(self) -> DataFrame:
-        sequences = blocks.anomaly_sequences(self.in_blocks, self.labels)
+        sequences = blocks.anomaly_sequences(self.in_blocks, self.labels, self.pipeline.profile)
         self.results["failure_patterns"] = {
             "anomaly_events": sequences,
             "component_comparison": blocks.component_by_label(self.in_blocks, self.labels),

@@ -6,7 +6,7 @@ from logweft.sources.files import (
     read_truth,
     truth_event_counts,
 )
-from logweft.sources.scratch import new_folder, settle, use_checkpoints
+from logweft.sources.scratch import new_folder, settle
 
 __all__ = [
     "LINE_ORDER",
@@ -17,5 +17,4 @@ __all__ = [
     "read_truth",
     "settle",
     "truth_event_counts",
-    "use_checkpoints",
 ]
