@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft import functions as fn
@@ -24,12 +24,10 @@ EVENT_TYPES = {
 BLOCK = "concat('blk_', if({0} % 2 = 1, '-', ''), {0})"
 
 
-def _per_type(values: dict[str, str]) -> Column:
-    column = None
-    for event_type, value in values.items():
-        match = F.col("event_type") == event_type
-        column = F.when(match, value) if column is None else column.when(match, value)
-    return column
+def _per_type(place: int) -> str:
+    """SQL for one of the three values of a row's event type."""
+    cases = " ".join(f"WHEN '{kind}' THEN '{values[place]}'" for kind, values in EVENT_TYPES.items())
+    return f"CASE event_type {cases} END"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,41 +35,28 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    block = F.expr(BLOCK.format("(event_id div 3)"))
-    severe = F.when(F.col("event_type") == "error", "ERROR").when(
-        F.col("event_type") == "purchase", "WARN"
-    )
-    line = F.concat(
-        F.date_format("ts", "yyMMdd HHmmss"),
-        F.lit(" "),
-        F.get_json_object("props", "$.k"),
-        F.lit(" "),
-        severe.otherwise("INFO"),
-        F.expr("concat(' svc.Node', (user_id + event_id) % 7, ': ')"),
-        _per_type({k: verb for k, (verb, _, _) in EVENT_TYPES.items()}),
-        F.when(F.expr("event_id % 97 = 0"), "none").otherwise(block),
-    )
-    broken = F.when(F.expr("event_id % 101 = 0"), F.concat(F.lit("malformed "), block))
-    return _events(spark, sf_dir).select(
-        broken.otherwise(line).alias("value"),
-        F.lit("events").alias("file"),
-        F.lit(0).cast("bigint").alias("split_start"),
-        F.col("event_id").alias("line_no"),
-    )
+    block = BLOCK.format("(event_id div 3)")
+    value = f"""
+        CASE WHEN event_id % 101 = 0 THEN concat('malformed ', {block})
+          ELSE concat(date_format(ts, 'yyMMdd HHmmss'), ' ', get_json_object(props, '$.k'), ' ',
+            CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END,
+            ' svc.Node', (user_id + event_id) % 7, ': ', {_per_type(0)},
+            if(event_id % 97 = 0, 'none', {block})) END AS value"""
+    place = ["'events' AS file", "0L AS split_start", "event_id AS line_no"]
+    return _events(spark, sf_dir).selectExpr(value, *place)
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return rows.select(
-        F.expr(BLOCK.format("doc_id")).alias("BlockId"),
-        F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0).alias("Label"),
-        F.col("doc_id").alias("label_order"),
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr(
+        f"{BLOCK.format('doc_id')} AS BlockId",
+        "if(toxic = 1 OR quality = 0, 1, 0) AS Label",
+        "doc_id AS label_order",
     )
 
 
 def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels(spark, sf_dir).select(
-        "BlockId", F.when(F.col("Label") == 1, "Anomaly").otherwise("Normal").alias("Label")
+    return labels(spark, sf_dir).selectExpr(
+        "BlockId", "if(Label = 1, 'Anomaly', 'Normal') AS Label"
     )
 
 
@@ -90,23 +75,17 @@ def mined_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         _events(spark, sf_dir)
         .groupBy(F.expr("(user_id + event_id) % 7").alias("node"), "event_type")
         .agg(F.min("event_id").alias("priority"))
-        .select(
+        .selectExpr(
             "priority",
-            F.expr("concat(event_type, '-', node)").alias("EventId"),
-            F.concat(
-                F.expr("concat('svc.Node', node, ': ')"),
-                _per_type({k: verb for k, (verb, _, _) in EVENT_TYPES.items()}),
-                F.lit("[*]"),
-            ).alias("EventTemplate"),
+            "concat(event_type, '-', node) AS EventId",
+            f"concat('svc.Node', node, ': ', {_per_type(0)}, '[*]') AS EventTemplate",
         )
     )
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event sequences per block; the block rule gives a block at most three events."""
-    event = F.when(F.expr("event_id % 101 = 0"), "Unknown").otherwise(
-        _per_type({k: event_id for k, (_, event_id, _) in EVENT_TYPES.items()})
-    )
+    event = F.expr(f"if(event_id % 101 = 0, 'Unknown', {_per_type(1)})")
     return (
         _events(spark, sf_dir)
         .groupBy(F.expr("event_id div 3").alias("block"))

@@ -1,5 +1,7 @@
 """Fields, times, templates and labels on single lines."""
 
+import random
+
 import brute
 import pytest
 
@@ -47,6 +49,19 @@ def test_times(spark, text, expected):
     assert (time and str(time)) == expected
 
 
+def test_fields_of_random_lines(spark):
+    rng = random.Random(3)
+    pieces = ["240105 010203", "24010 1", " ", " ", ":", "INFO", "a.b", "blk_", "-", "7", "٣", "é", "$", "\t"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    rows = brute.parsed(spark, texts).orderBy("line_no").collect()
+    for text, row in zip(texts, rows):
+        expected = brute.parse(text)
+        assert {k: row[k] for k in expected if k != "time"} == {
+            k: v for k, v in expected.items() if k != "time"
+        }, text
+        assert row["timestamp"] == expected["time"], text
+
+
 def test_bad_time_keeps_the_other_fields(spark):
     row = fn.parse_timestamp(fn.parse_fields(brute.log(spark, ["991332 235959 1 WARN c: x"]))).head()
     assert row["timestamp"] is None and row["level"] == "WARN"
