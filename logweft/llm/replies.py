@@ -71,17 +71,24 @@ def ranked_leaves(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     found = links.join(above, F.expr("conv_id <=> c AND parent = p"), "left")
     state = settle(found.select("conv_id", "node", F.col("p").alias("up"), "score"), "jumps")
     most = links.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    jumps = []
-    while state.filter("up IS NOT NULL").limit(1).count() and len(jumps) <= most.bit_length():
-        jumps.append(state.filter("up IS NOT NULL").select("conv_id", "node", "up"))
+    jumps, finished = [], []
+    while len(jumps) <= most.bit_length() and state.filter("up IS NOT NULL").limit(1).count():
+        climbing = state.filter("up IS NOT NULL")
+        jumps.append(climbing.select("conv_id", "node", "up"))
+        # Trees in which every message knows its root take no part in further rounds.
+        active = climbing.select(F.col("conv_id").alias("c")).distinct()
+        in_active = F.expr("conv_id <=> c")
+        finished.append(state.join(active, in_active, "left_anti"))
+        state = state.join(active, in_active, "left_semi")
         upper = state.select(
             F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("score").alias("more")
         )
-        joined = state.join(upper, F.expr("conv_id <=> c AND up = n"), "left")
-        state = settle(
-            joined.select("conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")),
-            "jumps",
+        joined = climbing.join(upper, F.expr("conv_id <=> c AND up = n")).select(
+            "conv_id", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score")
         )
+        state = settle(joined.unionByName(state.filter("up IS NULL")), "jumps")
+    for trees in finished:
+        state = state.unionByName(trees)
     answered = links.filter("parent IS NOT NULL").select(F.col("conv_id").alias("c"), F.col("parent").alias("p")).distinct()
     leaves = state.filter("up IS NULL").join(answered, F.expr("conv_id <=> c AND node = p"), "left_anti")
     best = Window.partitionBy("conv_id").orderBy(F.desc("score"), "node")
