@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from logweft.llm import bpe, replies, simhash
+from logweft.llm import bpe, lines, replies, simhash
 
 QUERIES = {
     "op4_reply_trees": replies.op4_reply_trees,
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op10_line_dedup": lines.op10_line_dedup,
     "op7_simhash": simhash.op7_simhash,
 }
 ORACLE = {"op4_reply_trees": replies.ORACLE}
