@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from logweft.llm import bpe, lines, replies, simhash
+from logweft.llm import bpe, lines, replies, simhash, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op4_reply_trees": replies.op4_reply_trees,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op10_line_dedup": lines.op10_line_dedup,

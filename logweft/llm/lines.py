@@ -2,12 +2,12 @@
 
 Equal lines are one first: they are counted under 128 bits of hash, and from then on only distinct lines
 are worked on.  The signature of a line is taken over its character shingles.  A shingle's hash falls
-into one of ``BANDS`` bins; of each bin the least hash under ``ROWS`` orders is kept (an order is the hash
+into one of ``BANDS`` bins; of each bin the least hash under two orders is kept (an order is the hash
 combined with a constant by exclusive or, under which each member of a random set is the least with equal
-chance).  The ``ROWS`` values of a bin are a band.  Lines with a band in common meet the least of them,
-and pairs of at least the wanted Jaccard similarity over their whole shingle sets are links; what the
-least does not reach is compared with the rest of its band.  Distributed union-find then gives the
-components, and the first line of each is kept.
+chance).  The values of two neighbouring bins are a band, four in all.  Lines with a band in common meet the
+least of them, and pairs of at least the wanted Jaccard similarity over their whole shingle sets are
+links; where the least does not reach all of a band, its lines are compared further.  Distributed
+union-find then gives the components, and the first line of each is kept.
 
 A line of fewer characters than a shingle has itself as only shingle.  Lines of white space alone are
 never duplicates.
@@ -25,13 +25,10 @@ from logweft.sources.scratch import settle
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS = 12
-ROWS = 4
 #: Lines of a bucket that are all compared with each other.
 SMALL = 16
-#: Rows of 8 to 24 bytes up to which a table is broadcast.
-BROADCAST_ROWS = 4_000_000
 #: Constants that give a hash further orders.
-ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3, 0x38495AB5A1B2C3D7, 0x7FEB352D846CA68B)
+ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3)
 _SECOND = 0x5BD1E995
 
 
@@ -56,36 +53,36 @@ def _shingles(wide: str) -> Column:
 
 
 def bands(distinct: DataFrame) -> DataFrame:
-    """(h1, band): the bands of each distinct line (h1, h2, line), which is partitioned by h1 and h2."""
+    """(h1, band): the bands of each distinct line of (h1, h2, line).
+
+    A band of two empty bins, which only short lines have, is none.  Without an exchange of its own if
+    ``distinct`` is partitioned by h1 and h2: shingles exist only within one stage.
+    """
     last = f"greatest(1, octet_length(wide) div 4 - {SHINGLE - 1})"
     hashed = (
         distinct.select("h1", "h2", _wide("line").alias("wide"))
         .select("h1", "h2", "wide", F.expr(f"explode(sequence(1, {last})) AS i"))
         .select("h1", "h2", F.expr(f"xxhash64(substring(wide, 4 * i - 3, {4 * SHINGLE})) AS h"))
+        .select("h1", "h2", "h", F.expr(f"pmod(h, {BANDS}) AS bin"))
     )
-    binned = hashed.select("h1", "h2", F.expr(f"pmod(h, {BANDS}) AS bin"), "h")
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(order))).alias(f"m{k}") for k, order in enumerate(ORDERS[:ROWS])]
-    rows = binned.groupBy("h1", "h2", "bin").agg(*least)
-    return rows.select("h1", F.xxhash64("bin", *(f"m{k}" for k in range(ROWS))).alias("band"))
-
-
-def bounded(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows``, a written table, ready to broadcast if it is small; joined by a shuffle if it is not."""
-    return F.broadcast(rows) if rows.count() <= limit else rows.hint("shuffle_hash")
-
-
-def _pairs(members: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (u, v) of the buckets of ``members`` (key, h1, n), and the stars of the large ones.
-
-    A bucket of up to ``SMALL`` lines gives all its pairs, at most ``SMALL`` per line.  In a larger one
-    each line meets the least, (key, u, v).
-    """
-    few = members.filter(f"n <= {SMALL}")
-    one, other = few.select(key, F.col("h1").alias("v")), few.select(key, F.col("h1").alias("u"))
-    near = one.join(other, key).filter("v < u").select("u", "v").distinct()
-    many = members.filter(f"n > {SMALL}").select(key, F.col("h1").alias("u"))
-    low = many.groupBy(key).agg(F.min("u").alias("v"))
-    return near, many.join(low, key).filter("u <> v")
+    least = [
+        F.min(F.when(F.col("bin") == k, F.col("h").bitwiseXOR(F.lit(order)))).alias(f"m{k}_{j}")
+        for k in range(BANDS)
+        for j, order in enumerate(ORDERS)
+    ]
+    rows = hashed.groupBy("h1", "h2").agg(*least)
+    keys = []
+    for k in range(BANDS):
+        bins = (k, (k + 1) % BANDS)
+        values = [F.col(f"m{b}_{j}") for b in bins for j in range(len(ORDERS))]
+        keys.append(F.when(F.coalesce(*values).isNotNull(), F.xxhash64(F.lit(k), *values)))
+    return rows.select("h1", F.explode(F.array_compact(F.array(*keys))).alias("band"))
+
+
+def _stars(members: DataFrame, key: str) -> DataFrame:
+    """(key, n, u, v): each line u of a bucket of ``members`` (key, h1, n) with the least one, v."""
+    low = members.groupBy(key).agg(F.min("h1").alias("v"))
+    return members.join(low, key).filter("h1 <> v").select(key, "n", F.col("h1").alias("u"), "v")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
@@ -105,25 +102,29 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
     banded = settle(bands(distinct), "bands")
     shared = settle(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    members = settle(banded.join(bounded(shared), "band"), "members")
+    members = settle(banded.join(tables.bounded(shared), "band"), "members")
     wanted = settle(members.select("h1").distinct(), "wanted")
-    texts = settle(lines.join(bounded(wanted), "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "texts")
-    near, stars = _pairs(members, "band")
-    first = settle(_verified(near.unionByName(stars.select("u", "v")).distinct(), texts, similarity), "verified")
+    texts = settle(lines.join(tables.bounded(wanted), "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "texts")
+    stars = settle(_stars(members, "band"), "stars")
+    first = settle(_verified(stars.select("u", "v").distinct(), texts, similarity), "verified")
     links = first.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    # Where a large bucket's least line does not reach all, its lines meet again where they share a second band.
+    # Buckets whose least line does not reach all the others.
     failed = first.filter("NOT alike").select("u", "v")
-    torn = settle(stars.join(failed, ["u", "v"]).select("band").distinct(), "torn")
+    torn = settle(members.join(stars.join(failed, ["u", "v"]).select("band").distinct(), "band"), "torn")
     if torn.limit(1).count():
-        again = members.join(torn, "band").select("band", "h1")
-        own = bands(texts).withColumnRenamed("band", "second")
-        twice = again.join(own, "h1").filter("band <> second").select(
-            F.xxhash64(F.least("band", "second"), F.greatest("band", "second")).alias("both"), "h1"
-        ).distinct()
+        # Small ones give all their pairs, fewer than ``SMALL`` for each line.
+        few = torn.filter(f"n <= {SMALL}")
+        one, other = few.select("band", F.col("h1").alias("v")), few.select("band", F.col("h1").alias("u"))
+        more = one.join(other, "band").filter("v < u").select("u", "v")
+        # Lines of large ones meet again where they share a second band.
+        own = bands(texts.join(torn.filter(f"n > {SMALL}").select("h1").distinct(), "h1", "left_semi"))
+        again = torn.filter(f"n > {SMALL}").select("h1", "band").join(own.withColumnRenamed("band", "second"), "h1")
+        both = F.xxhash64(F.least("band", "second"), F.greatest("band", "second"))
+        twice = settle(again.filter("band <> second").select(both.alias("both"), "h1").distinct(), "twice")
         sizes = twice.groupBy("both").agg(F.count("*").alias("n")).filter("n > 1")
-        near, stars = _pairs(settle(twice.join(sizes, "both"), "members"), "both")
-        more = near.unionByName(stars.select("u", "v")).distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
-        found = _verified(more, texts, similarity).filter("alike")
+        more = more.unionByName(_stars(settle(twice.join(sizes, "both"), "members"), "both").select("u", "v"))
+        new = more.distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
+        found = _verified(new, texts, similarity).filter("alike")
         links = links.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return links
 

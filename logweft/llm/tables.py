@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 import logweft
 
+#: Rows of a few numbers each up to which a table is broadcast.
+BROADCAST_ROWS = 4_000_000
+
 _shipped: set[str] = set()
 
 
@@ -49,3 +52,11 @@ def fold(id_column: Column | str, folds: int) -> Column:
     """The fold of a row: crc32 of its id as text, modulo ``folds`` (a null id as empty text)."""
     column = F.col(id_column) if isinstance(id_column, str) else id_column
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds
+
+
+def bounded(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows``, a table of few narrow columns read from files, ready to broadcast if it is small.
+
+    Above ``limit`` rows it is joined by a shuffle; the result is the same.
+    """
+    return F.broadcast(rows) if rows.count() <= limit else rows.hint("shuffle_hash")
