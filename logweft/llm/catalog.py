@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from logweft.llm import bpe, chunks, leaks, lines, neighbours, replies, simhash, toxicity
+from logweft.llm import bpe, chunks, ctw, leaks, lines, neighbours, replies, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_decontamination": leaks.op1_decontamination,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_context_tree": ctw.op3_context_tree,
     "op4_reply_trees": replies.op4_reply_trees,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_chunk_dedup": chunks.op6_chunk_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_cross_polytope": neighbours.op8_cross_polytope,
+    "op9_secret_forest": secrets.op9_secret_forest,
     "op10_line_dedup": lines.op10_line_dedup,
 }
 ORACLE = {"op4_reply_trees": replies.ORACLE}

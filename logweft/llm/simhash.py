@@ -237,21 +237,49 @@ def fingerprint_links(values: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """(doc_id, value, component_id) for each row of ``docs`` (doc_id, text).
+    """(doc_id, value, component_id, text_hash) for each row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id that links reach; rows with equal fingerprints are linked,
     empty texts too.  A null id never is the smallest; a component of null ids alone has null.
     Repeated rows come back repeated.  An empty table gives an empty result.
     """
-    marked = settle(docs.select("doc_id", fingerprint_of("text", shingle).alias("value")), "fingerprints")
+    return _components(docs, shingle, distance).drop("root")
+
+
+def _components(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """``near_duplicates`` with the component's least fingerprint, ``root``."""
+    marked = docs.select("doc_id", fingerprint_of("text", shingle).alias("value"), F.xxhash64("text").alias("text_hash"))
+    marked = settle(marked, "fingerprints")
     classes = settle(marked.groupBy("value").agg(F.min("doc_id").alias("low")), "classes")
     roots = components(fingerprint_links(classes.select("value"), distance))
     linked = classes.join(roots.withColumnRenamed("node", "value"), "value", "left").select(
         "value", "low", F.coalesce("root", "value").alias("root")
     )
     least = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = linked.join(least, "root").select("value", "component_id")
-    return marked.join(named, "value").select("doc_id", "value", "component_id")
+    named = linked.join(least, "root").select("value", "root", "component_id")
+    return marked.join(named, "value").select("doc_id", "value", "component_id", "text_hash", "root")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each component: that of the smallest doc_id.
+
+    Null ids come last; of rows with the same id that of the smaller text hash stays, of equal rows any.
+    """
+    found = _components(tables.texts(docs), shingle, distance)
+    last = F.col("doc_id").isNull()
+    winners = found.groupBy("root").agg(F.min(F.struct(last, "doc_id", "text_hash")).alias("w"))
+    winners = settle(winners.select("root", F.col("w.doc_id").alias("_llm_id"), F.col("w.text_hash").alias("_llm_hash")), "winners")
+    mine = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("_llm_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_llm_hash"))
+    kept = docs.join(tables.bounded(winners.select("_llm_id", "_llm_hash")), mine, "left_semi")
+    # Equal rows share id and text; then the row itself has to be told apart.
+    wins = found.join(winners, "root").filter("doc_id <=> _llm_id AND text_hash = _llm_hash")
+    repeated = wins.groupBy("root").count().filter("count > 1").limit(1).count()
+    return _once(kept) if repeated else kept
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("_llm_hash")
+    return rows.withColumn("_llm_hash", key).dropDuplicates(["doc_id", "_llm_hash"]).drop("_llm_hash")
 
 
 def op7_simhash(spark, sf_dir):
