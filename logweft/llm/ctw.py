@@ -7,6 +7,9 @@ weight for its own estimate and half for the product of its children's.  The wei
 aggregation per depth; the mixture's prediction comes top-down as an affine map of the deepest
 estimate, one join per depth.  The result is a code length for every sequence of ``DEPTH`` + 1 bytes.
 
+Words, which only the baseline needs, are entries of the same tables under a negative code, 63 bits of
+their hash: among a billion words the chance of any collision is about one in twenty.
+
 All tables are distributed.  Texts are read in blocks of ``BLOCK_ROWS`` rows of a file.  A block's distinct
 sequences and words are counted first; their values come back to the block by joins, and the block's
 texts are scored against this dictionary of their own.  So nothing that grows with the corpus is
@@ -20,8 +23,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +37,10 @@ DEPTH = 5
 #: A byte that no UTF-8 text has: before a text and, as a symbol to be predicted, after it.
 EDGE = 0xFF
 #: Stands for the end token among words, which have no white space.
-END = " "
-BLOCK_ROWS = 8192
+END = b" "
+BLOCK_ROWS = 4096
 #: Bytes whose sequences are counted or looked up at a time.
-PIECE = 1 << 22
+PIECE = 1 << 23
 
 
 def sequences(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -73,32 +76,65 @@ def _folded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def counted(batch: pd.DataFrame) -> pd.DataFrame:
-    """(word, code, n) of a block (text, held): its distinct words and sequences with training counts."""
+def word_codes(words: list[bytes]) -> np.ndarray:
+    """A negative code for each word."""
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return -1 - (hashed >> np.uint64(1)).astype(np.int64)
+
+
+def counted(held: list[bool], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of the words and sequences of some texts, and how often training texts have them."""
     words: Counter = Counter()
-    known: set[bytes] = set()
-    parts, seen = [], []
-    for held, group in batch.groupby("held"):
-        texts = [_folded(t) for t in group.text]
-        for text in texts:
-            if held:
-                known.update(text.split())
-            else:
-                words.update(text.split())
-        for codes in sequences(texts):
-            value, n = np.unique(codes, return_counts=True)
-            parts.append(value)
-            seen.append(np.zeros(len(n), np.int64) if held else n)
-        if not held:
-            words[END.encode()] += len(texts)
-    for word in known:
-        words.setdefault(word, 0)
-    words.setdefault(END.encode(), 0)
-    code, where = np.unique(np.concatenate(parts), return_inverse=True)
-    n = np.bincount(where, np.concatenate(seen)).astype(np.int64)
-    one = pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in words], "code": -1, "n": list(words.values())})
-    other = pd.DataFrame({"word": None, "code": code, "n": n})
-    return pd.concat([one, other])
+    known: set[bytes] = {END}
+    values, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for kind in (False, True):
+        mine = [_folded(t) for h, t in zip(held, texts, strict=True) if h == kind]
+        for text in mine:
+            (known if kind else words).update(text.split())
+        if not kind:
+            words[END] += len(mine)
+        for codes in sequences(mine):
+            value, many = np.unique(codes, return_counts=True)
+            values.append(value)
+            times.append(many * (not kind))
+    value, many = np.concatenate(values), np.concatenate(times)
+    order = np.argsort(value, kind="stable")
+    value, many = value[order], many[order]
+    first = np.flatnonzero(np.r_[np.ones(min(1, len(value)), bool), value[1:] != value[:-1]])
+    code, n = value[first], np.add.reduceat(many, first) if len(first) else many
+    more = list(known - words.keys())
+    spelled = word_codes([*words, *more])
+    return np.concatenate([code, spelled]), np.concatenate([n, np.fromiter(words.values(), np.int64, len(words)), np.zeros(len(more), np.int64)])
+
+
+class Lookup:
+    """Values by code: an open table with the codes' products by a constant as places."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(len(codes) * 3).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits)
+        at, left = self._place(codes), np.arange(len(codes))
+        while len(left):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = codes[left[free]]
+            done = self.keys[at] == codes[left]
+            self.values[at[done]] = values[left[done]]
+            at, left = (at[~done] + 1) & (len(self.keys) - 1), left[~done]
+
+    def _place(self, codes: np.ndarray) -> np.ndarray:
+        mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def total(self, codes: np.ndarray) -> float:
+        """Sum of the values of ``codes``, all of which are there."""
+        at, out = self._place(codes), 0.0
+        while True:
+            hit = self.keys[at] == codes
+            if hit.all():
+                return out + float(self.values[at].sum())
+            out += float(self.values[at[hit]].sum())
+            at, codes = (at[~hit] + 1) & (len(self.keys) - 1), codes[~hit]
 
 
 def blocked(docs: DataFrame) -> DataFrame:
@@ -107,7 +143,7 @@ def blocked(docs: DataFrame) -> DataFrame:
         placed = docs.select("*", "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
         placed = settle(docs, "docs").select("*", "_metadata.file_path", "_metadata.row_index")
-    block = F.concat_ws(":", F.xxhash64("file_path").cast("string"), F.expr(f"cast(row_index div {BLOCK_ROWS} as string)"))
+    block = F.xxhash64("file_path", F.expr(f"row_index div {BLOCK_ROWS}"))
     return placed.select(
         block.alias("block"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -117,18 +153,20 @@ def blocked(docs: DataFrame) -> DataFrame:
 
 
 def block_counts(docs: DataFrame) -> DataFrame:
-    """(block, word, code, n): the entries of each part of a block that one task reads."""
+    """(block, code, n): the entries of a block, or of each part of it that comes in one batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
-            for block, part in frame.groupby("block"):
-                out = counted(part[["text", "held"]])
-                out.insert(0, "block", block)
-                yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
+            block, held, text = (batch.column(c).to_pylist() for c in ("block", "held", "text"))
+            for name in dict.fromkeys(block):
+                mine = [k for k, b in enumerate(block) if b == name]
+                code, n = counted([held[k] for k in mine], [text[k] for k in mine])
+                for at in range(0, len(code), 1 << 17):
+                    some = slice(at, at + (1 << 17))
+                    named = pa.array(np.full(len(code[some]), name))
+                    yield pa.RecordBatch.from_arrays([named, pa.array(code[some]), pa.array(n[some])], ["block", "code", "n"])
 
-    schema = pa.schema([("block", pa.string()), ("word", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
-    return docs.select("block", "text", "held").mapInArrow(run, "block string, word string, code bigint, n bigint")
+    return docs.select("block", "text", "held").mapInArrow(run, "block bigint, code bigint, n bigint")
 
 
 def _log_kt(zeros: str, ones: str) -> Column:
@@ -203,38 +241,41 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     """
     placed = blocked(docs.select("doc_id", "text"))
     entries = settle(block_counts(placed), "entries")
-    grams = entries.filter("word IS NULL").groupBy("code").agg(F.sum("n").alias("n"))
-    lengths = settle(code_lengths(settle(grams, "grams")), "lengths")
-    words = settle(entries.filter("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "words")
+    grams = entries.filter("code >= 0").groupBy("code").agg(F.sum("n").alias("n"))
+    lengths = code_lengths(settle(grams, "grams"))
+    words = settle(entries.filter("code < 0").groupBy("code").agg(F.sum("n").alias("c")), "words")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    by_code = entries.filter("word IS NULL").select("block", "code").distinct().join(lengths, "code")
-    by_word = entries.filter("word IS NOT NULL").select("block", "word").distinct().join(words, "word")
-    known = by_code.selectExpr("block", "CAST(NULL AS string) AS word", "code", "log10_p AS value").unionByName(
-        by_word.selectExpr("block", "word", "-1L AS code", "CAST(c AS double) AS value")
-    )
+    values = settle(lengths.withColumnRenamed("log10_p", "value").unionByName(words.select("code", F.col("c").cast("double").alias("value"))), "values")
+    known = entries.select("block", "code").join(values, "code").select("block", "code", "value")
     smooth = math.log10(total + distinct + 1)
 
-    def score(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        code = known[known.code >= 0].sort_values("code")
-        keys, values = code.code.to_numpy(), code.value.to_numpy()
-        named = known[known.code < 0]
-        count = {w.encode(): int(c) for w, c in zip(named.word, named.value, strict=True)}
-        log = {w: math.log10(c + 1) for w, c in count.items()}
-        end = END.encode()
-        rows = []
-        for doc, held, text in zip(texts.doc_id, texts.held, texts.text, strict=True):
+    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
+        code, value = known["code"].to_numpy(), known["value"].to_numpy()
+        table = Lookup(code[code >= 0], value[code >= 0])
+        order = np.argsort(code[code < 0])
+        named, times = code[code < 0][order], value[code < 0][order]
+        count: dict[bytes, int] = {}
+        log: dict[bytes, float] = {}
+        columns = [[] for _ in range(5)]
+        for text in texts["text"].to_pylist():
             data = _folded(text)
-            tokens = [*data.split(), end]
-            seen = sum(map(bool, map(count.__getitem__, tokens)))
+            tokens = [*data.split(), END]
+            if fresh := [w for w in set(tokens) if w not in count]:
+                c = times[np.searchsorted(named, word_codes(fresh))]
+                count.update(zip(fresh, c.tolist(), strict=True))
+                log.update(zip(fresh, np.log10(c + 1).tolist(), strict=True))
             base = math.fsum(map(log.__getitem__, tokens)) - len(tokens) * smooth
-            bits = sum(float(values[np.searchsorted(keys, c)].sum()) for c in sequences([data]))
-            rows.append((doc, held, len(tokens), seen, total, base, bits))
-        frame = pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame
+            seen = len(tokens) - list(map(count.__getitem__, tokens)).count(0)
+            found = (len(tokens), seen, total, base, math.fsum(table.total(c) for c in sequences([data])))
+            for column, one in zip(columns, found, strict=True):
+                column.append(one)
+        kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+        names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        arrays = [texts["doc_id"], texts["held"], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))]
+        return pa.table(dict(zip(["doc_id", "held_out", *names], arrays, strict=True)))
 
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return placed.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(score, kinds)
+    return placed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score, kinds)
 
 
 def op3_context_tree(spark, sf_dir):
