@@ -69,6 +69,8 @@ def edits(window: str, region: str, most: int) -> tuple[int, int] | None:
     if at >= 0:
         return 0, at + len(window)
     slack = len(region) - len(window) + most
+    if slack < 0:
+        return None
     r = np.concatenate([_codes(region), np.zeros(len(window) + slack + 2, np.uint32)])
     offsets = np.arange(-most, slack + 1)
     # row[i] holds, per diagonal, the cost of the first i characters ending at that diagonal.
