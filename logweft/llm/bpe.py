@@ -27,7 +27,7 @@ LEAF = 24
 #: Characters of a text that are split into pre-tokens at a time.
 PIECE = 1 << 18
 #: Pre-tokens whose ids a worker remembers, a bound on its memory.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Where a text may be cut without cutting a pre-token: before a single space between other characters.
 SEAM = regex.compile(r"(?<=\S)(?= \S)")
 

@@ -189,7 +189,9 @@ def _log_kt(zeros: str, ones: str) -> Column:
 def code_lengths(counts: DataFrame) -> DataFrame:
     """(code, log10_p) of the distinct sequences of ``counts`` (code, n), n being training counts, also 0."""
     bits = "explode(transform(sequence(0, 7), i -> struct(cast(shiftleft(1, i) | shiftright(code & 255, 8 - i) as int) AS node, cast(shiftright(code, 7 - i) & 1 as int) AS bit)))"
-    decided = counts.select("code", "n", F.expr("shiftright(code, 8) AS context"), F.expr(bits).alias("d")).select("code", "n", "context", "d.*")
+    grams = counts.select("code", "n", F.expr("shiftright(code, 8) AS context"))
+    # Dealt by context, so that the eight decisions of a code stay where it is.
+    decided = grams.repartition("context").select("n", "context", F.expr(bits).alias("d")).select("n", "context", "d.*")
     leaf = decided.groupBy("context", "node").agg(
         F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones")
     )
@@ -226,9 +228,12 @@ def code_lengths(counts: DataFrame) -> DataFrame:
         )
         if depth < 2:
             above = F.broadcast(above)  # 255 decisions in at most 256 contexts
-    one = level.select("context", "node", (F.col("add") + F.col("scale") * F.col("kt")).alias("one"))
-    p = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
-    return decided.join(one, ["context", "node"]).groupBy("code").agg(F.sum(F.log10(p)).alias("log10_p"))
+    one = F.col("add") + F.col("scale") * F.col("kt")
+    tree = level.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("node", one.alias("one")))).alias("tree"))  # 255 decisions at most
+    asked = grams.select("code", "context").join(tree, "context").select("context", "code", "tree", F.expr(bits).alias("d"))
+    p = F.element_at("tree", F.col("d.node"))
+    p = F.when(F.col("d.bit") == 1, p).otherwise(1 - p)
+    return asked.groupBy("context", "code").agg(F.sum(F.log10(p)).alias("log10_p")).select("code", "log10_p")
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:

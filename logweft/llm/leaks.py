@@ -189,7 +189,7 @@ def _marked(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in batches:
+        for batch in tables.slices(batches):
             found = []
             for text in batch.column("text").to_pylist():
                 found.append([{"item_id": index.ids[n], "start": a, "end": b, "edits": e} for n, a, b, e in index.find(normal(text))])

@@ -97,7 +97,7 @@ def findings(docs: DataFrame, words: frozenset[str]) -> DataFrame:
     """(doc_id, start, size, label, features) of each candidate in ``docs`` (doc_id, text, path)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.slices(batches):
             rows = []
             for doc, text, path in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "path")), strict=True):
                 for hit in CANDIDATE.finditer(text or ""):

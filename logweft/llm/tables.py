@@ -40,6 +40,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches of at most ``rows`` rows, so that long texts are Python objects for a moment only."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id bigint, text string) of a document table, null texts as empty ones."""
     return docs.select(

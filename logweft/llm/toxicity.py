@@ -30,7 +30,7 @@ STEMS = 2000
 #: Least and most characters of a stem; texts it has to be in, and how clearly it has to tell.
 SHORTEST, LONGEST, LEAST_DOCS, LEAST_Z, LEAST_ODDS = 4, 12, 4, 5.0, 1.5
 #: Pre-read words a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 # Closed word classes of the grammar, in English, German, French and Spanish.
 THREATS = "kill hurt destroy shoot stab beat burn murder töten umbringen schlagen tuer frapper brûler matar golpear quemar".split()
@@ -203,7 +203,7 @@ def _featured(docs: DataFrame, stems: dict[str, float], keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(stems)
-        for batch in batches:
+        for batch in tables.slices(batches):
             found = [grammar.features(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.list_(pa.float64()))], [*names, "features"])
 
@@ -245,7 +245,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(model.stems)
-        for batch in batches:
+        for batch in tables.slices(batches):
             found = [model.score(grammar.features(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "_llm_score"])
 
