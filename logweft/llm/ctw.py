@@ -38,9 +38,9 @@ DEPTH = 5
 EDGE = 0xFF
 #: Stands for the end token among words, which have no white space.
 END = b" "
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16384
 #: Bytes whose sequences are counted or looked up at a time.
-PIECE = 1 << 23
+PIECE = 1 << 22
 
 
 def sequences(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -233,7 +233,9 @@ def code_lengths(counts: DataFrame) -> DataFrame:
     asked = grams.select("code", "context").join(tree, "context").select("context", "code", "tree", F.expr(bits).alias("d"))
     p = F.element_at("tree", F.col("d.node"))
     p = F.when(F.col("d.bit") == 1, p).otherwise(1 - p)
-    return asked.groupBy("context", "code").agg(F.sum(F.log10(p)).alias("log10_p")).select("code", "log10_p")
+    # Kept in single precision: half of the bytes that go back to every block.
+    log10_p = F.sum(F.log10(p)).cast("float").cast("double")
+    return asked.groupBy("context", "code").agg(log10_p.alias("log10_p")).select("code", "log10_p")
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
