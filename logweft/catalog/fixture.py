@@ -6,8 +6,6 @@ FIXTURES.md, as lazy DataFrames over the whole tables.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +37,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = f"""
         CASE WHEN event_id % 101 = 0 THEN concat('malformed ', {block})
           ELSE concat(date_format(ts, 'yyMMdd HHmmss'), ' ', get_json_object(props, '$.k'), ' ',
-            CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END,
+            CASE WHEN event_id % 53 = 0 THEN 'DEBUG' WHEN event_id % 59 = 0 THEN 'FATAL'
+              WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END,
             ' svc.Node', (user_id + event_id) % 7, ': ', {_per_type(0)},
             if(event_id % 97 = 0, 'none', {block})) END AS value"""
     place = ["'events' AS file", "0L AS split_start", "event_id AS line_no"]
@@ -60,7 +59,6 @@ def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=1)
 def markers(spark: SparkSession) -> list[tuple[str, list[str]]]:
     """The five templates of the log, as metadata for classification."""
     rows = [(i, e, t) for i, (_, e, t) in enumerate(EVENT_TYPES.values(), 1)]

@@ -8,7 +8,8 @@ STEPS = {
         SELECT event_id AS line_no, event_type,
           CASE WHEN event_id % 101 = 0 THEN 'malformed ' || blk
             ELSE strftime(ts, '%y%m%d %H%M%S') || ' ' || regexp_extract(props, '([0-9]+)', 1) || ' '
-              || CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END
+              || CASE WHEN event_id % 53 = 0 THEN 'DEBUG' WHEN event_id % 59 = 0 THEN 'FATAL'
+                   WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END
               || ' svc.Node' || (user_id + event_id) % 7 || ': ' || verb
               || CASE WHEN event_id % 97 = 0 THEN 'none' ELSE blk END END AS value
         FROM (SELECT *, 'blk_' || CASE WHEN (event_id // 3) % 2 = 1 THEN '-' ELSE '' END
@@ -80,10 +81,10 @@ STEPS = {
           sum(CASE WHEN level = 'WARN' THEN percentage ELSE 0 END) AS WARN
         FROM top_shares GROUP BY 1""",
     "long": r"""
-        SELECT component, 'BLANK' AS level, BLANK AS percentage FROM wide
-        UNION ALL SELECT component, 'ERROR', ERROR FROM wide
-        UNION ALL SELECT component, 'INFO', INFO FROM wide
-        UNION ALL SELECT component, 'WARN', WARN FROM wide""",
+        SELECT component, CASE WHEN level = '' THEN 'BLANK' ELSE level END AS level,
+          coalesce(percentage, 0) AS percentage
+        FROM (SELECT DISTINCT component FROM top_shares) CROSS JOIN (SELECT DISTINCT level FROM top_shares)
+          LEFT JOIN top_shares USING (component, level)""",
     "errors": r"""
         SELECT component, level, count(*) AS "count" FROM parsed
         WHERE level IN ('ERROR', 'WARN') GROUP BY 1, 2""",
@@ -212,9 +213,9 @@ ORACLE = {
     "top_components": _query("busiest", "SELECT * FROM busiest"),
     "distinct_components": _query("parsed", "SELECT DISTINCT component FROM parsed"),
     "level_pivot": _query(
-        "wide",
-        """SELECT component, round(BLANK, 6) AS BLANK, round(ERROR, 6) AS ERROR,
-             round(INFO, 6) AS INFO, round(WARN, 6) AS WARN FROM wide""",
+        "long",
+        """SELECT * FROM (PIVOT (SELECT component, level, round(percentage, 6) AS percentage FROM long)
+             ON level USING sum(percentage) GROUP BY component)""",
     ),
     "level_unpivot": _query(
         "long", "SELECT component, level, round(percentage, 6) AS percentage FROM long"

@@ -15,7 +15,6 @@ from logweft.plans import blocks, findings, lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-PIVOT_LEVELS = ["BLANK", "ERROR", "INFO", "WARN"]
 COMPONENT = "svc.Node3"
 
 
@@ -93,7 +92,7 @@ def classify_events(spark, sf):
 
 @query
 def classify_events_join(spark, sf):
-    lined = fn.classify_by_set(fx.log_lines(spark, sf), fx.markers(spark))
+    lined = fn.classify(fx.log_lines(spark, sf), fx.markers(spark), width=2)
     return lined.select("line_no", "EventId")
 
 
@@ -252,12 +251,13 @@ def distinct_components(spark, sf):
 
 
 def _pivot(spark, sf) -> DataFrame:
-    return findings.level_pivot(_top_levels(spark, sf), PIVOT_LEVELS)
+    return findings.level_pivot(_top_levels(spark, sf))
 
 
 @query
 def level_pivot(spark, sf):
-    return _rounded(_pivot(spark, sf), *PIVOT_LEVELS)
+    wide = _pivot(spark, sf)
+    return _rounded(wide, *(c for c in wide.columns if c != "component"))
 
 
 @query

@@ -1,10 +1,8 @@
 from logweft.functions.arrays import array_to_string, register_functions
 from logweft.functions.events import (
     classify,
-    classify_by_set,
     collect_markers,
     event_by_chain,
-    event_by_set,
     with_markers,
 )
 from logweft.functions.fields import (
@@ -21,13 +19,11 @@ __all__ = [
     "FIELD_PATTERNS",
     "array_to_string",
     "classify",
-    "classify_by_set",
     "collect_markers",
     "drop_missing_blocks",
     "encode_label",
     "encode_labels",
     "event_by_chain",
-    "event_by_set",
     "field",
     "parse_fields",
     "parse_time",

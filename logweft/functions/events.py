@@ -6,16 +6,12 @@ markers all occur in it as substrings.  Matching is narrow: no line is shuffled
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
-# A chain of conditions is compiled; beyond this many templates it would outgrow one JVM method.
-CHAIN_TEMPLATES = 200
-# Templates are metadata held on the driver and in the plan; a table above this size is not one.
-MAX_TEMPLATES = 50_000
+# Templates of one chain of conditions; longer tables are chains one after the other, each compiled.
+CHAIN_TEMPLATES = 100
 
 
 def with_markers(templates: DataFrame) -> DataFrame:
@@ -29,52 +25,39 @@ def with_markers(templates: DataFrame) -> DataFrame:
 
 
 def collect_markers(templates: DataFrame) -> list[tuple[str, list[str]]]:
-    """(EventId, markers) in match order.  A repeated id keeps its first place and last words."""
+    """(EventId, markers) in match order.  A repeated id keeps its first place and last words.
+
+    Rows without an id or without a template are no templates.
+    """
     rows = (
-        with_markers(templates)
+        with_markers(templates.filter("trim(EventId) <> '' AND EventTemplate IS NOT NULL"))
         .groupBy("EventId")
         .agg(F.min("priority").alias("first"), F.max_by("markers", "priority").alias("markers"))
-        .limit(MAX_TEMPLATES + 1)
         .collect()
     )
-    if len(rows) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
     return [(r["EventId"], r["markers"]) for r in sorted(rows, key=lambda r: r["first"])]
 
 
-def event_by_chain(markers: list[tuple[str, list[str]]], line: Column | str = "value") -> Column:
-    """The event of a line as one compiled, short-circuiting chain of conditions."""
-    text = F.col(line) if isinstance(line, str) else line
-    chain = None
-    for event_id, words in markers:
-        # A template without words matches every line.
-        match = F.lit(True)
-        for word in words:
-            match = match & text.contains(word)
-        chain = F.when(match, event_id) if chain is None else chain.when(match, event_id)
-    return F.lit(UNKNOWN) if chain is None else chain.otherwise(UNKNOWN)
-
-
-def event_by_set(markers: list[tuple[str, list[str]]], line: Column | str = "value") -> Column:
-    """The event of a line as the first match in the whole template set, held as one array."""
-    if not markers:
-        return F.lit(UNKNOWN)
+def event_by_chain(
+    markers: list[tuple[str, list[str]]], line: Column | str = "value", width: int = CHAIN_TEMPLATES
+) -> Column:
+    """The event of a line: chains of at most ``width`` compiled conditions, tried until one matches."""
     text = F.col(line) if isinstance(line, str) else line
-    rows = json.dumps([{"EventId": event_id, "markers": words} for event_id, words in markers])
-    # Constant folding turns this into one literal before the query runs.
-    templates = F.from_json(F.lit(rows), "array<struct<EventId string, markers array<string>>>")
-    matches = F.filter(
-        templates, lambda t: F.forall(t["markers"], lambda word: F.contains(text, word))
-    )
-    return F.coalesce(F.get(matches, F.lit(0))["EventId"], F.lit(UNKNOWN))
-
-
-def classify(lines: DataFrame, markers: list[tuple[str, list[str]]]) -> DataFrame:
+    chains = []
+    for start in range(0, len(markers), width):
+        chain = None
+        for event_id, words in markers[start : start + width]:
+            # A template without words matches every line.
+            match = F.lit(True)
+            for word in words:
+                match = match & text.contains(word)
+            chain = F.when(match, event_id) if chain is None else chain.when(match, event_id)
+        chains.append(chain)
+    return F.coalesce(*chains, F.lit(UNKNOWN))
+
+
+def classify(
+    lines: DataFrame, markers: list[tuple[str, list[str]]], width: int = CHAIN_TEMPLATES
+) -> DataFrame:
     """Add ``EventId`` to each line."""
-    event = event_by_chain if len(markers) <= CHAIN_TEMPLATES else event_by_set
-    return lines.withColumn("EventId", event(markers))
-
-
-def classify_by_set(lines: DataFrame, markers: list[tuple[str, list[str]]]) -> DataFrame:
-    """``classify`` in the form for large template tables, whatever the size."""
-    return lines.withColumn("EventId", event_by_set(markers))
+    return lines.withColumn("EventId", event_by_chain(markers, width=width))

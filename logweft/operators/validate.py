@@ -31,10 +31,19 @@ def missing_blocks(parsed: DataFrame) -> DataFrame:
 
 
 def check_parsed(parsed: DataFrame, expected: DataFrame) -> None:
-    """Strict mode: raise ValueError on the first violation."""
-    wrong = event_count_violations(parsed, expected).select("EventId", "expected", "actual").head(1)
-    if wrong:
-        raise ValueError(f"Event Mismatch: {wrong[0].asDict()}")
-    missing = missing_blocks(parsed).head()["missing"]
-    if missing:
-        raise ValueError(f"Blocks Missing: {missing} lines")
+    """Strict mode: raise ValueError on the first violation.  Reads the lines once.
+
+    What is collected is a row for each violated event and, at most, one for lines without a block.
+    """
+    blank = F.col("BlockId").isNull() | (F.col("BlockId") == "")
+    actual = parsed.groupBy("EventId").agg(F.count("*").alias("actual"), F.count_if(blank).alias("missing"))
+    both = expected.join(actual, "EventId", "full").select(
+        "EventId", "expected", F.coalesce("actual", F.lit(0)).alias("actual"), F.coalesce("missing", F.lit(0)).alias("missing")
+    )
+    wrong = F.col("expected").isNotNull() & (F.col("actual") != F.col("expected"))
+    first = F.min(F.when(wrong, F.struct("EventId", "expected", "actual")))
+    found = both.agg(first.alias("wrong"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing")).head()
+    if found["wrong"]:
+        raise ValueError(f"Event Mismatch: {found['wrong'].asDict()}")
+    if found["missing"]:
+        raise ValueError(f"Blocks Missing: {found['missing']} lines")

@@ -85,7 +85,7 @@ def test_repeated_event_has_first_place_and_last_words(spark):
     assert fn.collect_markers(templates(spark, *rows)) == [("A", ["three"]), ("B", ["two"])]
 
 
-@pytest.mark.parametrize("classify", [fn.classify, fn.classify_by_set])
+@pytest.mark.parametrize("classify", [fn.classify, lambda df, markers: fn.classify(df, markers, width=1)])
 def test_first_match_wins(spark, classify):
     markers = [("A", ["Fetch", "started"]), ("B", ["Fetch"]), ("C", []), ("D", ["never"])]
     lines = ["started a Fetch", "xFetchx", "fetch", "", "never"]
@@ -93,13 +93,13 @@ def test_first_match_wins(spark, classify):
     assert [r["EventId"] for r in result] == ["A", "B", "C", "C", "C"]
 
 
-@pytest.mark.parametrize("classify", [fn.classify, fn.classify_by_set])
+@pytest.mark.parametrize("classify", [fn.classify, lambda df, markers: fn.classify(df, markers, width=1)])
 def test_no_match_is_unknown(spark, classify):
     assert classify(brute.log(spark, ["x"]), [("A", ["y"])]).head()["EventId"] == "Unknown"
     assert classify(brute.log(spark, ["x"]), []).head()["EventId"] == "Unknown"
 
 
-def test_many_templates_take_the_set_form(spark):
+def test_many_templates_take_several_chains(spark):
     markers = [(f"E{i}", [f"word{i}x", "msg"]) for i in range(2000)]
     lines = brute.log(spark, ["msg word1999x", "word3x msg", "msg word3"])
     assert [r["EventId"] for r in fn.classify(lines, markers).orderBy("line_no").collect()] == [
@@ -109,6 +109,11 @@ def test_many_templates_take_the_set_form(spark):
     ]
 
 
+def test_rows_without_id_or_template_are_no_templates(spark):
+    rows = [(None, "a"), (" ", "b"), ("C", None), ("D", "d[*]")]
+    assert fn.collect_markers(templates(spark, *rows)) == [("D", ["d"])]
+
+
 def test_labels(spark):
     df = spark.createDataFrame([("Normal",), ("Anomaly",), ("odd",)], "Label string")
     assert [r[0] for r in fn.encode_labels(df).collect()] == [0, 1, None]
