@@ -427,3 +427,13 @@ def test_pipeline(spark):
     apart = np.bitwise_count(np.array(fingerprints)[:, None] ^ np.array(fingerprints)[None, :])
     assert (apart + 64 * np.eye(len(apart)) > 2).all()
     assert not brute_lines([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_reply_trees_sql(spark):
+    import check
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    assert "pipeline" in entry.queries() and "op4_reply_trees" in entry.oracle_sql()
+    assert check.compare(spark, check.connect(sf), "op4_reply_trees", sf) == ""
