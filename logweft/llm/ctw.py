@@ -38,7 +38,7 @@ DEPTH = 5
 EDGE = 0xFF
 #: Stands for the end token among words, which have no white space.
 END = b" "
-BLOCK_ROWS = 16384
+BLOCK_ROWS = 8192
 #: Bytes whose sequences are counted or looked up at a time.
 PIECE = 1 << 22
 
