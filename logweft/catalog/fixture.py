@@ -20,6 +20,10 @@ EVENT_TYPES = {
     "error": ("Exception while serving ", "E5", "Exception while[*]"),
 }
 BLOCK = "concat('blk_', if({0} % 2 = 1, '-', ''), {0})"
+# A third of the lines is in one block, an eighth in four more; the rest are short blocks.
+LINE_BLOCK = """CASE WHEN event_id % 3 = 0 THEN {0} WHEN event_id % 5 = 0 THEN {0} + 1 + event_id % 4
+    ELSE event_id div 3 END"""
+HOT = 1
 
 
 def _per_type(place: int) -> str:
@@ -33,7 +37,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    block = BLOCK.format("(event_id div 3)")
+    block = BLOCK.format(f"({LINE_BLOCK.format(HOT)})")
     value = f"""
         CASE WHEN event_id % 101 = 0 THEN concat('malformed ', {block})
           ELSE concat(date_format(ts, 'yyMMdd HHmmss'), ' ', get_json_object(props, '$.k'), ' ',
@@ -41,22 +45,23 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END,
             ' svc.Node', (user_id + event_id) % 7, ': ', {_per_type(0)},
             if(event_id % 97 = 0, 'none', {block})) END AS value"""
+    time = r"regexp_replace(cast(ts AS string), '^..(..)-(..)-(..) (..):(..):(..).*$', '$1$2$3 $4$5$6')"
     place = ["'events' AS file", "0L AS split_start", "event_id AS line_no"]
     return _events(spark, sf_dir).selectExpr(value, *place)
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr(
-        f"{BLOCK.format('doc_id')} AS BlockId",
-        "if(toxic = 1 OR quality = 0, 1, 0) AS Label",
-        "doc_id AS label_order",
-    )
+def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label rows as text; some texts are unknown and some blocks have a second, other label."""
+    bad = "(toxic = 1 OR quality = 0)"
+    one = f"CASE WHEN doc_id % 13 = 6 THEN 'Doubtful' WHEN {bad} THEN 'Anomaly' ELSE 'Normal' END"
+    other = f"if({bad}, 'Normal', 'Anomaly')"
+    first, second = f"struct({one}, 2 * doc_id)", f"struct({other}, 2 * doc_id + 1)"
+    rows = f"inline(if(doc_id % 11 = 4, array({first}, {second}), array({first}))) AS (Label, label_order)"
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr(f"{BLOCK.format('doc_id')} AS BlockId", rows)
 
 
-def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels(spark, sf_dir).selectExpr(
-        "BlockId", "if(Label = 1, 'Anomaly', 'Normal') AS Label"
-    )
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fn.encode_labels(label_texts(spark, sf_dir)).drop("LabelText")
 
 
 def markers(spark: SparkSession) -> list[tuple[str, list[str]]]:
@@ -82,8 +87,9 @@ def mined_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event sequences per block; the block rule gives a block at most three events."""
-    event = F.expr(f"if(event_id % 101 = 0, 'Unknown', {_per_type(1)})")
+    """Event sequences of three lines each.  Half of the unknown lines are said to be of an event E9."""
+    unknown = "if(event_id % 202 = 0, 'E9', 'Unknown')"
+    event = F.expr(f"if(event_id % 101 = 0, {unknown}, {_per_type(1)})")
     return (
         _events(spark, sf_dir)
         .groupBy(F.expr("event_id div 3").alias("block"))

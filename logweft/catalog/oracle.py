@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+
+
+def _records(prefix: str, lines: int) -> dict[str, str]:
+    """Steps for records of that many lines, with labels, and for the sequences of anomalous ones."""
+    return {
+        f"{prefix}records": f"""
+        SELECT BlockId, (seq_num - 1) // {lines} AS segment,
+          string_agg(EventId, ',' ORDER BY seq_num) AS events,
+          string_agg(CAST(interval_seconds AS VARCHAR), ',' ORDER BY seq_num) AS intervals,
+          CAST(sum(interval_seconds) AS BIGINT) AS latency,
+          string_agg(level, ',' ORDER BY seq_num) AS levels,
+          string_agg(component, ',' ORDER BY seq_num) AS components,
+          string_agg(pid, ',' ORDER BY seq_num) AS pids
+        FROM timed GROUP BY 1, 2""",
+        f"{prefix}labelled": f"""
+        SELECT r.*, b.Label FROM {prefix}records r LEFT JOIN block_labels b ON r.BlockId = b.BlockId""",
+        f"{prefix}sequences": f"""
+        SELECT sequence_id, segment AS part, events AS event_sequence, count(*) AS "count"
+        FROM (SELECT *, concat_ws('-', count(*) OVER b, sum(('0x' || substr(digest, 1, 15))::BIGINT::HUGEINT) OVER b,
+                  sum(('0x' || substr(digest, 16, 15))::BIGINT::HUGEINT) OVER b) AS sequence_id
+              FROM (SELECT *, sha256(segment || chr(10) || events) AS digest FROM {prefix}records)
+              WINDOW b AS (PARTITION BY BlockId)) s
+        JOIN block_labels l ON s.BlockId = l.BlockId WHERE l.Label = 1 GROUP BY 1, 2, 3""",
+    }
+
+
 # Named steps; a query sees those up to the one it names.
 STEPS = {
     "lines": r"""
@@ -12,14 +38,23 @@ STEPS = {
                    WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END
               || ' svc.Node' || (user_id + event_id) % 7 || ': ' || verb
               || CASE WHEN event_id % 97 = 0 THEN 'none' ELSE blk END END AS value
-        FROM (SELECT *, 'blk_' || CASE WHEN (event_id // 3) % 2 = 1 THEN '-' ELSE '' END
-                || (event_id // 3) AS blk,
+        FROM (SELECT *, 'blk_' || CASE WHEN b % 2 = 1 THEN '-' ELSE '' END || b AS blk,
               CASE event_type WHEN 'view' THEN 'Fetch started for ' WHEN 'click' THEN 'Fetch finished for '
                 WHEN 'signup' THEN 'BLOCK* allocate ' WHEN 'purchase' THEN 'Verify ok for '
-                ELSE 'Exception while serving ' END AS verb FROM events)""",
-    "block_labels": r"""
+                ELSE 'Exception while serving ' END AS verb
+              FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 5 = 0 THEN 2 + event_id % 4
+                      ELSE event_id // 3 END AS b FROM events))""",
+    "label_texts": r"""
         SELECT 'blk_' || CASE WHEN doc_id % 2 = 1 THEN '-' ELSE '' END || doc_id AS BlockId,
-          CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END AS Label, doc_id FROM labels""",
+          CASE WHEN doc_id % 13 = 6 THEN 'Doubtful' WHEN toxic = 1 OR quality = 0 THEN 'Anomaly'
+            ELSE 'Normal' END AS LabelText, 2 * doc_id AS label_order FROM labels
+        UNION ALL
+        SELECT 'blk_' || CASE WHEN doc_id % 2 = 1 THEN '-' ELSE '' END || doc_id,
+          CASE WHEN toxic = 1 OR quality = 0 THEN 'Normal' ELSE 'Anomaly' END, 2 * doc_id + 1
+        FROM labels WHERE doc_id % 11 = 4""",
+    "block_labels": r"""
+        SELECT BlockId, LabelText, label_order, CASE LabelText WHEN 'Anomaly' THEN 1
+          WHEN 'Normal' THEN 0 END AS Label FROM label_texts""",
     "templates": r"""
         SELECT event_type || '-' || node AS EventId, 'svc.Node' || node || ': '
           || CASE event_type WHEN 'view' THEN 'Fetch started for ' WHEN 'click' THEN 'Fetch finished for '
@@ -27,7 +62,7 @@ STEPS = {
                ELSE 'Exception while serving ' END || '[*]' AS EventTemplate
         FROM (SELECT DISTINCT event_type, (user_id + event_id) % 7 AS node FROM events)""",
     "truth": r"""
-        SELECT event_id // 3 AS block, list(CASE WHEN event_id % 101 = 0 THEN 'Unknown'
+        SELECT event_id // 3 AS block, list(CASE WHEN event_id % 202 = 0 THEN 'E9' WHEN event_id % 101 = 0 THEN 'Unknown'
           WHEN event_type = 'view' THEN 'E1' WHEN event_type = 'click' THEN 'E2'
           WHEN event_type = 'signup' THEN 'E3' WHEN event_type = 'purchase' THEN 'E4'
           ELSE 'E5' END) AS events FROM events GROUP BY 1""",
@@ -54,17 +89,10 @@ STEPS = {
           AS interval_seconds FROM placed""",
     "latencies": r"""
         SELECT BlockId, CAST(sum(interval_seconds) AS BIGINT) AS latency FROM timed GROUP BY 1""",
-    "records": r"""
-        SELECT t.BlockId, (seq_num - 1) // 100000 AS segment,
-          string_agg(EventId, ',' ORDER BY seq_num) AS events,
-          string_agg(CAST(interval_seconds AS VARCHAR), ',' ORDER BY seq_num) AS intervals,
-          any_value(latency) AS latency,
-          string_agg(level, ',' ORDER BY seq_num) AS levels,
-          string_agg(component, ',' ORDER BY seq_num) AS components,
-          string_agg(pid, ',' ORDER BY seq_num) AS pids
-        FROM timed t JOIN latencies l ON t.BlockId = l.BlockId GROUP BY 1, 2""",
-    "labelled": r"""
-        SELECT r.*, b.Label FROM records r LEFT JOIN block_labels b ON r.BlockId = b.BlockId""",
+    "block_rows": r"""
+        SELECT l.*, b.Label FROM latencies l LEFT JOIN block_labels b ON l.BlockId = b.BlockId""",
+    **_records("", 100000),
+    **_records("short_", 64),
     "level_shares": r"""
         SELECT component, level, count(*) AS "count",
           CAST(sum(count(*)) OVER (PARTITION BY component) AS BIGINT) AS total,
@@ -90,13 +118,10 @@ STEPS = {
         WHERE level IN ('ERROR', 'WARN') GROUP BY 1, 2""",
     "hours": r"""
         SELECT CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS "count" FROM parsed GROUP BY 1""",
-    "sequences": r"""
-        SELECT segment AS part, events AS event_sequence, count(*) AS "count"
-        FROM labelled WHERE Label = 1 GROUP BY 1, 2""",
     "by_label": r"""
         SELECT CASE Label WHEN 1 THEN 'anomaly' ELSE 'normal' END AS type, component,
           count(*) AS "count"
-        FROM kept k JOIN block_labels b ON k.BlockId = b.BlockId GROUP BY 1, 2""",
+        FROM kept k JOIN block_labels b ON k.BlockId = b.BlockId WHERE Label IS NOT NULL GROUP BY 1, 2""",
     "ratios": r"""
         SELECT component, anomaly, normal, anomaly / CAST(anomaly + normal AS DOUBLE) AS anomaly_ratio
         FROM (SELECT component,
@@ -106,7 +131,7 @@ STEPS = {
     "slowness": r"""
         SELECT component, avg(latency) AS avg_latency
         FROM (SELECT DISTINCT BlockId, component FROM kept) k
-        JOIN labelled l ON k.BlockId = l.BlockId GROUP BY 1""",
+        JOIN block_rows l ON k.BlockId = l.BlockId GROUP BY 1""",
 }
 
 
@@ -125,7 +150,7 @@ ORACLE = {
     "template_scan": _query("templates", "SELECT EventId, EventTemplate FROM templates"),
     "label_scan": _query(
         "block_labels",
-        "SELECT BlockId, CASE Label WHEN 1 THEN 'Anomaly' ELSE 'Normal' END AS Label FROM block_labels",
+        "SELECT BlockId, LabelText AS Label FROM block_labels",
     ),
     "truth_event_counts": _query(
         "truth",
@@ -146,7 +171,7 @@ ORACLE = {
     ),
     "classify_events": _query("parsed", "SELECT line_no, EventId FROM parsed"),
     "classify_events_join": _query("parsed", "SELECT line_no, EventId FROM parsed"),
-    "encode_labels": _query("block_labels", "SELECT BlockId, Label FROM block_labels"),
+    "encode_labels": _query("block_labels", "SELECT BlockId, Label, LabelText FROM block_labels"),
     "drop_missing_blocks": _query("kept", "SELECT line_no, BlockId FROM kept"),
     "event_counts": _query("parsed", 'SELECT EventId, count(*) AS "count" FROM parsed GROUP BY 1'),
     "validate_event_counts": _query(
@@ -173,9 +198,15 @@ ORACLE = {
     "block_records_default0": _query(
         "records",
         """SELECT r.*, coalesce(b.Label, 0) AS Label FROM records r
-           LEFT JOIN (SELECT BlockId, arg_min(Label, doc_id) AS Label FROM block_labels GROUP BY 1) b
+           LEFT JOIN (SELECT BlockId, Label FROM block_labels
+                      QUALIFY row_number() OVER (PARTITION BY BlockId ORDER BY label_order) = 1) b
              ON r.BlockId = b.BlockId""",
     ),
+    "event_intervals_hot": _query(
+        "timed", "SELECT BlockId, line_no, seq_num, interval_seconds FROM timed"
+    ),
+    "block_records_segments": _query("short_labelled", "SELECT * FROM short_labelled"),
+    "anomaly_sequences_segments": _query("short_sequences", "SELECT * FROM short_sequences"),
     "block_latency": _query("latencies", "SELECT * FROM latencies"),
     "array_to_string": _query(
         "truth", "SELECT block, array_to_string(list_sort(events), ',') AS events FROM truth"
@@ -227,16 +258,16 @@ ORACLE = {
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS base FROM long""",
     ),
     "label_summary": _query(
-        "labelled",
+        "block_rows",
         """SELECT normal, anomaly, normal + anomaly AS total,
              round(100.0 * normal / nullif(normal + anomaly, 0), 6) AS normal_pct,
              round(100.0 * anomaly / nullif(normal + anomaly, 0), 6) AS anomaly_pct
            FROM (SELECT count(*) FILTER (WHERE Label = 0) AS normal,
-                   count(*) FILTER (WHERE Label = 1) AS anomaly FROM labelled)""",
+                   count(*) FILTER (WHERE Label = 1) AS anomaly FROM block_rows)""",
     ),
     "anomaly_sequences": _query("sequences", "SELECT * FROM sequences"),
     "anomaly_sequences_top5": _query(
-        "sequences", 'SELECT * FROM sequences ORDER BY "count" DESC, event_sequence LIMIT 5'
+        "sequences", 'SELECT * FROM sequences ORDER BY "count" DESC, event_sequence, sequence_id LIMIT 5'
     ),
     "component_by_label": _query(
         "by_label",
@@ -249,11 +280,11 @@ ORACLE = {
         "ratios", f"SELECT {_RATIO} FROM ratios ORDER BY ratios.anomaly_ratio DESC, component LIMIT 10"
     ),
     "latency_stats": _query(
-        "labelled",
+        "block_rows",
         """SELECT min(latency) AS min_latency, max(latency) AS max_latency,
              round(avg(latency), 6) AS avg_latency,
              round(quantile_cont(latency, 0.5), 6) AS median_latency,
-             round(quantile_cont(latency, 0.95), 6) AS p95_latency FROM labelled""",
+             round(quantile_cont(latency, 0.95), 6) AS p95_latency FROM block_rows""",
     ),
     "component_latency": _query("slowness", _SLOW),
     "component_latency_top10": _query(

@@ -13,8 +13,9 @@ FIELD_PATTERNS = {
     "component": r"^(?:\d{6} \d{6}) (?:\d+) (?:\w+) ([^:]+)",
     "BlockId": r"(blk_-?\d+)",
 }
-# Fixed value: two-digit years are 2000 to 2099.
-TIME_FORMAT = "yyMMdd HHmmss"
+# How a log time is spelled, and as a date and time; two-digit years are 2000 to 2099.
+TIME_PATTERN = r"^(\d\d)(\d\d)(\d\d) (\d\d)(\d\d)(\d\d)$"
+TIME_SPELLED = "20$1-$2-$3 $4:$5:$6"
 
 
 def field(name: str, line: Column | str = "value") -> Column:
@@ -27,10 +28,8 @@ def parse_fields(lines: DataFrame) -> DataFrame:
 
 
 def parse_time(date_time: Column | str = "date_time") -> Column:
-    """Log time in the session time zone, NULL if it is no valid time."""
-    text = F.col(date_time) if isinstance(date_time, str) else date_time
-    # The guard keeps lines without a prefix off the parser's exception path.
-    return F.when(text != "", F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
+    """Log time, which carries no zone (``timestamp_ntz``), NULL if it is no valid time."""
+    return F.regexp_replace(date_time, TIME_PATTERN, TIME_SPELLED).try_cast("timestamp_ntz")
 
 
 def parse_timestamp(parsed: DataFrame) -> DataFrame:

@@ -13,4 +13,5 @@ def encode_label(label: Column | str = "Label") -> Column:
 
 
 def encode_labels(labels: DataFrame) -> DataFrame:
-    return labels.withColumn("Label", encode_label())
+    """``Label`` as a number; ``LabelText`` keeps what was written, known or not."""
+    return labels.withColumns({"LabelText": F.col("Label"), "Label": encode_label()})

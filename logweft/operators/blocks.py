@@ -4,9 +4,10 @@ Two routes lead to the same rows.  Ordinary blocks take one shuffle by block id,
 window.  Blocks above the profile's limit are range-sorted over many tasks instead: each task orders
 its slice, and per-slice totals, one small row each, shift the slices into place.
 
-Records hold at most ``SEGMENT_LINES`` lines, so no array grows with the largest block.  A block up to
-that length, which is any block in practice, is exactly one record, with ``segment`` 0; a longer one
-continues in segments 1, 2, ...
+(BlockId, segment) is the key of a record, which holds at most ``segment_lines`` lines, so no array grows
+with the largest block.  Segment 0 has the first lines of a block, segment 1 the next, and so on, at every
+size.  ``latency`` is the sum of a record's own intervals, so sums over a block's segments are those of the
+block.  A label belongs to the block: count blocks by their segment 0.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from logweft.operators.skew import BlockProfile, profile_blocks
 from logweft.sources.files import LINE_ORDER
 from logweft.sources.scratch import settle
 
+# Lines of a record where the caller names no other length.
 SEGMENT_LINES = 100_000
 # What ordering the lines of a block needs.
 ORDER_COLUMNS = ("BlockId", "timestamp", *LINE_ORDER)
@@ -45,19 +47,17 @@ RECORD_COLUMNS = (
 
 def _seconds(later: Column | str, earlier: Column | str) -> Column:
     """Whole seconds between two times, 0 if either is missing."""
-    return F.coalesce(F.unix_timestamp(later) - F.unix_timestamp(earlier), F.lit(0).cast("bigint"))
+    later, earlier = (F.col(c) if isinstance(c, str) else c for c in (later, earlier))
+    return F.coalesce((later - earlier).cast("interval second").cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _order_in_task(parsed: DataFrame) -> DataFrame:
     """Number the lines of each block with one window; a block stays in one task."""
     ordered = Window.partitionBy("BlockId").orderBy("timestamp", *LINE_ORDER)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return parsed.select(
         "*",
         F.row_number().over(ordered).cast("bigint").alias("seq_num"),
         F.lag("timestamp").over(ordered).alias("prev_timestamp"),
-        F.min("timestamp").over(whole).alias("block_start"),
-        F.max("timestamp").over(whole).alias("block_end"),
     )
 
 
@@ -74,10 +74,9 @@ def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
     )
     # One row per slice and block: at most one per slice plus one per hot block.
     totals = sliced.groupBy("BlockId", "slice").agg(
-        F.count("*").alias("n"), F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
+        F.count("*").alias("n"), F.max("timestamp").alias("hi")
     )
-    block = Window.partitionBy("BlockId")
-    in_order = block.orderBy("slice")
+    in_order = Window.partitionBy("BlockId").orderBy("slice")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     places = totals.select(
         "BlockId",
@@ -85,16 +84,12 @@ def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
         # Missing times sort first, so the last time of a slice is its largest.
         F.lag("hi").over(in_order).alias("slice_prev"),
-        F.min("lo").over(block).alias("block_start"),
-        F.max("hi").over(block).alias("block_end"),
     )
     placed = numbered.join(F.broadcast(places), ["BlockId", "slice"])
     return placed.select(
         *parsed.columns,
         (F.col("row") + F.col("offset")).alias("seq_num"),
         F.when(F.col("row") == 1, F.col("slice_prev")).otherwise(F.col("prev")).alias("prev_timestamp"),
-        "block_start",
-        "block_end",
     )
 
 
@@ -127,7 +122,7 @@ def sequence_events(parsed: DataFrame, profile: BlockProfile | None = None) -> D
     Lines are ordered by time, missing times first, and by line order within a second.
     """
     profile = profile or profile_blocks(parsed)
-    return by_route(parsed, profile, lambda ordered, hot: ordered.drop("block_start", "block_end"))
+    return by_route(parsed, profile, lambda ordered, hot: ordered)
 
 
 def event_intervals(parsed: DataFrame, profile: BlockProfile | None = None) -> DataFrame:
@@ -135,11 +130,11 @@ def event_intervals(parsed: DataFrame, profile: BlockProfile | None = None) -> D
     return _with_interval(sequence_events(parsed, profile))
 
 
-def segment_of() -> Column:
-    return F.expr(f"(seq_num - 1) div {SEGMENT_LINES}").alias("segment")
+def segment_of(segment_lines: int) -> Column:
+    return F.expr(f"(seq_num - 1) div {segment_lines}").alias("segment")
 
 
-def _assemble(ordered: DataFrame) -> DataFrame:
+def _assemble(ordered: DataFrame, segment_lines: int) -> DataFrame:
     lines = F.sort_array(
         F.collect_list(
             F.struct("seq_num", "EventId", "interval_seconds", "level", "component", "pid")
@@ -147,13 +142,9 @@ def _assemble(ordered: DataFrame) -> DataFrame:
     )
     grouped = (
         _with_interval(ordered)
-        .withColumn("segment", segment_of())
+        .withColumn("segment", segment_of(segment_lines))
         .groupBy("BlockId", "segment")
-        .agg(
-            lines.alias("lines"),
-            F.min("block_start").alias("block_start"),
-            F.max("block_end").alias("block_end"),
-        )
+        .agg(lines.alias("lines"), F.sum("interval_seconds").alias("latency"))
     )
 
     # A field of an array of structs is the array of that field, in the same order.
@@ -162,7 +153,7 @@ def _assemble(ordered: DataFrame) -> DataFrame:
         "segment",
         F.col("lines.EventId").alias("events"),
         F.col("lines.interval_seconds").alias("intervals"),
-        _seconds("block_end", "block_start").alias("latency"),
+        "latency",
         F.col("lines.level").alias("levels"),
         F.col("lines.component").alias("components"),
         F.col("lines.pid").alias("pids"),
@@ -173,6 +164,7 @@ def _records(
     parsed: DataFrame,
     labels: DataFrame,
     profile: BlockProfile | None,
+    segment_lines: int,
     reduce: Callable[[DataFrame], DataFrame],
     attach: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
@@ -183,27 +175,32 @@ def _records(
 
     def finish(ordered: DataFrame, hot: bool) -> DataFrame:
         reduced = profile.only_hot(reduce, labels) if hot else reduce(labels)
-        return attach(_assemble(ordered), reduced).select(*RECORD_COLUMNS)
+        return attach(_assemble(ordered, segment_lines), reduced).select(*RECORD_COLUMNS)
 
     return by_route(parsed, profile, finish, prepare)
 
 
 def block_records(
-    parsed: DataFrame, labels: DataFrame, profile: BlockProfile | None = None
+    parsed: DataFrame,
+    labels: DataFrame,
+    profile: BlockProfile | None = None,
+    segment_lines: int = SEGMENT_LINES,
 ) -> DataFrame:
     """Block records with their label, NULL if there is none; a repeated label repeats the record.
 
-    ``levels``, ``components`` and ``pids`` are aligned with ``events``.  ``latency`` is that of the
-    whole block, also on each record of a block with several segments.
+    ``levels``, ``components`` and ``pids`` are aligned with ``events``.
     """
-    return _records(parsed, labels, profile, label_rows, attach_labels)
+    return _records(parsed, labels, profile, segment_lines, label_rows, attach_labels)
 
 
 def block_records_default0(
-    parsed: DataFrame, labels: DataFrame, profile: BlockProfile | None = None
+    parsed: DataFrame,
+    labels: DataFrame,
+    profile: BlockProfile | None = None,
+    segment_lines: int = SEGMENT_LINES,
 ) -> DataFrame:
     """Block records with the first label the block has, 0 if it has none or an unknown one."""
-    return _records(parsed, labels, profile, first_labels, attach_first_label)
+    return _records(parsed, labels, profile, segment_lines, first_labels, attach_first_label)
 
 
 def block_spans(parsed: DataFrame) -> DataFrame:

@@ -9,24 +9,31 @@ from pyspark.sql import functions as F
 
 from logweft.operators.blocks import block_spans, span_latency
 
-# The widths and layouts that are compared.
+# The widths that are compared, in eighths of the cluster's cores.
 SHUFFLE_WIDTHS = (1, 2, 4, 8, 16, 32, 64)
+
+
+def cores(lines: DataFrame, eighths: int) -> int:
+    """That many eighths of the session's cores, as a number of partitions; never below two."""
+    return max(2, eighths * lines.sparkSession.sparkContext.defaultParallelism // 8)
+
+
 LAYOUTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "repartition": lambda lines: lines.repartition(16),
-    "up": lambda lines: lines.repartition(32),
-    "down": lambda lines: lines.repartition(32).repartition(8),
-    "coalesce": lambda lines: lines.repartition(32).coalesce(8),
+    "repartition": lambda lines: lines.repartition(cores(lines, 16)),
+    "up": lambda lines: lines.repartition(cores(lines, 32)),
+    "down": lambda lines: lines.repartition(cores(lines, 32)).repartition(cores(lines, 8)),
+    "coalesce": lambda lines: lines.repartition(cores(lines, 32)).coalesce(cores(lines, 8)),
 }
 
 
 def latency_at_width(parsed: DataFrame, width: int) -> DataFrame:
-    """Block latency with the grouping shuffle ``width`` partitions wide.
+    """Block latency with the grouping shuffle ``width`` eighths of the cores wide.
 
     Spans are combined first, so the wide shuffle moves one row per block, and a hot block is one row.
     """
     regrouped = (
         block_spans(parsed)
-        .repartition(width, "BlockId")
+        .repartition(cores(parsed, width), "BlockId")
         .groupBy("BlockId")
         .agg(F.min("block_start").alias("block_start"), F.max("block_end").alias("block_end"))
     )

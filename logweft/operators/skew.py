@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweft.sources.scratch import settle
+
 # Lines of one block that a single task may order.
 TASK_LINES = 1_000_000
 # A block above 1/MAX_HOT of the log is always hot, so at most MAX_HOT blocks can be: the id list, and
@@ -57,7 +59,8 @@ class BlockProfile:
 
 def profile_blocks(parsed: DataFrame, task_lines: int = TASK_LINES) -> BlockProfile:
     """Count the lines per block and pick the blocks too large for one task."""
-    sizes = parsed.groupBy("BlockId").agg(F.count("*").alias("n"))
+    # Written, so that the lines are counted once however many passes over the sizes follow.
+    sizes = settle(parsed.groupBy("BlockId").agg(F.count("*").alias("n")), "sizes")
     total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     limit = max(task_lines, -(-total // MAX_HOT))
     if largest <= limit:

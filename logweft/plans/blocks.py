@@ -15,6 +15,7 @@ from logweft.functions.arrays import array_to_string
 from logweft.operators import blocks as ops
 from logweft.operators.labels import label_counts
 from logweft.operators.skew import BlockProfile, profile_blocks
+from logweft.sources.scratch import settle
 
 
 def label_summary(parsed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -45,15 +46,17 @@ def _fingerprint(*parts: Column | str) -> list[Column]:
 
 
 def anomaly_sequences(
-    parsed: DataFrame, labels: DataFrame, profile: BlockProfile | None = None
+    parsed: DataFrame,
+    labels: DataFrame,
+    profile: BlockProfile | None = None,
+    segment_lines: int = ops.SEGMENT_LINES,
 ) -> DataFrame:
-    """How often each event sequence occurs among anomalous blocks.
+    """(sequence_id, part, event_sequence, count): how often each sequence occurs in anomalous blocks.
 
-    A sequence up to ``SEGMENT_LINES`` events is one row with ``part`` 0.  A longer one has a row per
-    part, all with the count of the whole sequence and its ``sequence_id``.
+    A sequence has a row per part of ``segment_lines`` events, all with its ``sequence_id`` and with the
+    count of the whole sequence.  The id depends on the sequence and the part length alone.
     """
     profile = profile or profile_blocks(parsed)
-    long_blocks = profile.largest > ops.SEGMENT_LINES
 
     def copies(rows: DataFrame) -> DataFrame:
         counts = label_counts(rows).filter("anomaly > 0")
@@ -62,14 +65,12 @@ def anomaly_sequences(
     def finish(ordered: DataFrame, hot: bool) -> DataFrame:
         events = F.sort_array(F.collect_list(F.struct("seq_num", "EventId")))
         parts = (
-            ordered.withColumn("part", ops.segment_of())
+            ordered.withColumn("part", ops.segment_of(segment_lines))
             .groupBy("BlockId", "part", "copies")
             .agg(events.alias("lines"))
             .withColumn("event_sequence", array_to_string(F.col("lines.EventId")))
             .drop("lines")
         )
-        if not long_blocks:
-            return parts
         h1, h2 = _fingerprint(F.col("part").cast("string"), F.col("event_sequence"))
         parts = parts.withColumns({"h1": h1, "h2": h2})
         sums = {"n": F.count("*"), "h1": F.sum("h1"), "h2": F.sum("h2")}
@@ -88,26 +89,22 @@ def anomaly_sequences(
         return needed.join(known, "BlockId")
 
     parts = ops.by_route(parsed, profile, finish, prepare)
-    keys = ["part", "event_sequence"]
-    counts = parts.groupBy(*keys, *(["sequence_id"] if long_blocks else [])).agg(
-        F.sum("copies").alias("count")
-    )
-    if not long_blocks:
-        counts = counts.withColumn("sequence_id", F.sha2("event_sequence", 256))
+    counts = parts.groupBy("sequence_id", "part", "event_sequence").agg(F.sum("copies").alias("count"))
     return counts.orderBy(F.desc("count"), "event_sequence", "sequence_id", "part")
 
 
 def top_sequences(
-    parsed: DataFrame, labels: DataFrame, k: int = 5, profile: BlockProfile | None = None
+    parsed: DataFrame,
+    labels: DataFrame,
+    k: int = 5,
+    profile: BlockProfile | None = None,
+    segment_lines: int = ops.SEGMENT_LINES,
 ) -> DataFrame:
     """All parts of the ``k`` most frequent sequences; ties go by the text of the first part."""
-    profile = profile or profile_blocks(parsed)
-    sequences = anomaly_sequences(parsed, labels, profile)
+    sequences = settle(anomaly_sequences(parsed, labels, profile, segment_lines), "sequences")
     order = [F.desc("count"), "event_sequence", "sequence_id"]
-    if profile.largest <= ops.SEGMENT_LINES:
-        return sequences.orderBy(*order).limit(k)
     first = sequences.filter("part = 0").orderBy(*order).limit(k).select("sequence_id")
-    return sequences.join(F.broadcast(first), "sequence_id", "left_semi")  # k rows
+    return sequences.join(F.broadcast(first), "sequence_id", "left_semi").orderBy(*order, "part")  # k rows
 
 
 def component_labels(parsed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,21 +138,58 @@ def component_anomaly_ratio(parsed: DataFrame, labels: DataFrame) -> DataFrame:
     return counts.withColumn("anomaly_ratio", ratio).orderBy(F.desc("anomaly_ratio"), "component")
 
 
+#: Bits of a latency that tell the values of one coarse bin apart: two hundred years of seconds are at
+#: most 100,000 bins of at most 65,536 values.
+BIN_BITS = 16
+
+
+def _ranked(histogram: DataFrame, ranks: list[int]) -> DataFrame:
+    """One row with the value at each rank (from 0) of ``histogram`` (latency, n), as ``r0``, ``r1``, ...
+
+    Coarse bins are counted first; only the bins that hold a rank are then looked into.
+    """
+    binned = histogram.withColumn("bin", F.shiftright("latency", BIN_BITS))
+    sizes = binned.groupBy("bin").agg(F.sum("n").alias("size"))
+    upto = F.sum("size").over(Window.orderBy("bin"))
+    placed = sizes.select("bin", (upto - F.col("size")).alias("before"), upto.alias("upto"))
+    holds = F.lit(False)
+    for rank in ranks:
+        holds = holds | ((F.col("before") <= rank) & (F.col("upto") > rank))
+    wanted = placed.filter(holds).select("bin", "before")  # a bin for each rank at most
+    fine = Window.partitionBy("bin").orderBy("latency")
+    found = binned.join(F.broadcast(wanted), "bin").select(
+        "latency", (F.col("before") + F.sum("n").over(fine)).alias("upto")
+    )
+    return found.agg(
+        *[F.min(F.when(F.col("upto") > r, F.col("latency"))).alias(f"r{i}") for i, r in enumerate(ranks)]
+    )
+
+
 def latency_stats(parsed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Minimum, maximum, mean, and interpolated exact 50th and 95th percentile of block latency.
 
-    Blocks fold into a histogram of whole-second latencies first, so the percentiles see one row per
-    distinct latency, which the time span of the log bounds, not one per block.
+    Blocks fold into a histogram of whole-second latencies, written once; the percentiles come from the
+    values at the ranks next to them.  A log without blocks gives a row of NULLs.
     """
     latency = ops.block_latency(parsed, labels)
     copies = F.lit(1) if labels is None else F.col("copies")
-    histogram = latency.groupBy("latency").agg(F.sum(copies).alias("n"))
-    return histogram.agg(
-        F.min("latency").alias("min_latency"),
-        F.max("latency").alias("max_latency"),
-        (F.sum(F.col("latency") * F.col("n")) / F.sum("n")).alias("avg_latency"),
-        F.percentile("latency", F.lit(0.5), F.col("n")).alias("median_latency"),
-        F.percentile("latency", F.lit(0.95), F.col("n")).alias("p95_latency"),
+    histogram = settle(latency.groupBy("latency").agg(F.sum(copies).alias("n")), "histogram")
+    mean = F.sum(F.col("latency") * F.col("n")) / F.sum("n")
+    total, low, high, mean = histogram.agg(F.sum("n"), F.min("latency"), F.max("latency"), mean).first()
+    # Ranks as whole hundredths: no rounding at any count.
+    places = [divmod(percent * ((total or 1) - 1), 100) for percent in (50, 95)]
+    values = _ranked(histogram, [rank for at, rest in places for rank in (at, at + (rest > 0))])
+
+    def between(i: int) -> Column:
+        low, share = F.col(f"r{2 * i}"), places[i][1] / 100
+        return low + (F.col(f"r{2 * i + 1}") - low) * share
+
+    return values.select(
+        F.lit(low).cast("bigint").alias("min_latency"),
+        F.lit(high).cast("bigint").alias("max_latency"),
+        F.lit(mean).cast("double").alias("avg_latency"),
+        between(0).alias("median_latency"),
+        between(1).alias("p95_latency"),
     )
 
 

@@ -86,7 +86,7 @@ def joined_records(df):
         known = result.setdefault(row["BlockId"], defaultdict(list))
         for name in ("events", "intervals", "levels", "components", "pids"):
             known[name] += row[name]
-        known["latency"] = row["latency"]
+        known["latency"] = row["latency"] + (known["latency"] or 0)
     return {block: dict(record) for block, record in result.items()}
 
 

@@ -10,7 +10,6 @@ import pytest
 
 from logweft import functions as fn
 from logweft import operators as ops
-from logweft.operators import blocks as block_ops
 from logweft.operators import labels as label_ops
 from logweft.operators import skew
 from logweft.plans import blocks
@@ -42,9 +41,8 @@ def profile(kept, limit):
 
 
 @pytest.mark.parametrize("limit, segment", [(10**6, 100_000), (10**6, 64), (150, 100_000), (40, 64)])
-def test_records(spark, kept, labels, lines, limit, segment, monkeypatch):
-    monkeypatch.setattr(block_ops, "SEGMENT_LINES", segment)
-    found = ops.block_records_default0(kept, labels, profile(kept, limit))
+def test_records(kept, labels, lines, limit, segment):
+    found = ops.block_records_default0(kept, labels, profile(kept, limit), segment)
     expected = brute.records(lines)
     assert brute.joined_records(found) == expected
     sizes = [len(r["events"]) for r in found.select("events").collect()]
@@ -90,9 +88,8 @@ def test_places(kept, limit):
 
 
 @pytest.mark.parametrize("limit, segment", [(10**6, 100_000), (10**6, 64), (150, 100_000), (40, 64)])
-def test_sequences(spark, kept, labels, lines, limit, segment, monkeypatch):
-    monkeypatch.setattr(block_ops, "SEGMENT_LINES", segment)
-    rows = blocks.anomaly_sequences(kept, labels, profile(kept, limit)).collect()
+def test_sequences(kept, labels, lines, limit, segment):
+    rows = blocks.anomaly_sequences(kept, labels, profile(kept, limit), segment).collect()
     whole = {}
     for r in sorted(rows, key=lambda r: r["part"]):
         text, _ = whole.get(r["sequence_id"], ("", 0))
@@ -100,18 +97,44 @@ def test_sequences(spark, kept, labels, lines, limit, segment, monkeypatch):
     assert Counter(dict(whole.values())) == brute.sequences(lines, LABELS)
 
 
-def test_equal_long_sequences_count_together(spark, monkeypatch):
-    monkeypatch.setattr(block_ops, "SEGMENT_LINES", 5)
+def test_a_long_block_changes_no_other(spark):
+    short = [f"240101 00000{s} 1 INFO c: Fetch blk_{b}" for s in range(3) for b in (1, 2)]
+    long = short + [f"240101 0000{s:02d} 1 INFO c: Fetch blk_9" for s in range(40)]
+    labels = brute.labels(spark, [(f"blk_{b}", 1) for b in (1, 2, 9)])
+    seen = []
+    for lines, limit in ((short, 10), (long, 10), (long, 1000)):
+        kept = brute.parsed(spark, lines)
+        found = ops.profile_blocks(kept, limit)
+        records = ops.block_records(kept, labels, found, 7).filter("BlockId <> 'blk_9'").collect()
+        sequences = blocks.anomaly_sequences(kept, labels, found, 7).filter("count = 2").collect()
+        seen.append((sorted(records), sequences))
+    assert len(seen[0][0]) == 2 and len(seen[0][1]) == 1
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_times_have_no_zone(spark):
+    lines = [f"240310 {t} 1 INFO c: Fetch blk_1" for t in ("015959", "023000", "033000")]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        kept = brute.parsed(spark, lines)
+        record = ops.block_records(kept, brute.labels(spark, [("blk_2", 0)])).head()
+        assert (record["intervals"], record["latency"]) == ([0, 1801, 3600], 5401)
+        assert [r[0] for r in kept.selectExpr("hour(timestamp) AS h").orderBy("h").collect()] == [1, 2, 3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_equal_long_sequences_count_together(spark):
     lines = [f"240101 0000{s:02d} 1 INFO c: Fetch {'started' if s % 3 else ''} blk_{b}"
              for s in range(12) for b in (1, 2, 3)]
     lines.append("240101 000059 1 INFO c: Fetch blk_3")
     kept = brute.parsed(spark, lines)
     labels = brute.labels(spark, [("blk_1", 1), ("blk_2", 1), ("blk_3", 1)])
     for limit in (100, 12, 3):
-        found = blocks.anomaly_sequences(kept, labels, ops.profile_blocks(kept, limit))
+        found = blocks.anomaly_sequences(kept, labels, ops.profile_blocks(kept, limit), 5)
         counts = sorted((r["count"], r["part"]) for r in found.collect())
         assert counts == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]
-        top = blocks.top_sequences(kept, labels, 1, ops.profile_blocks(kept, limit))
+        top = blocks.top_sequences(kept, labels, 1, ops.profile_blocks(kept, limit), 5)
         assert sorted((r["count"], r["part"]) for r in top.collect()) == [(2, 0), (2, 1), (2, 2)]
 
 
@@ -124,6 +147,15 @@ def test_latency(kept, lines):
         assert {r[0]: r[1] for r in ops.block_latency(layout(kept)).collect()} == found
 
 
+@pytest.mark.parametrize("bits", [0, 3, 16])
+def test_ranked(spark, bits, monkeypatch):
+    monkeypatch.setattr(blocks, "BIN_BITS", bits)
+    rows = [(0, 3), (5, 1), (9, 4), (70_000, 2), (200_000, 1)]
+    values = [v for v, n in rows for _ in range(n)]
+    found = blocks._ranked(spark.createDataFrame(rows, "latency bigint, n bigint"), list(range(len(values))))
+    assert list(found.head()) == values
+
+
 def weighted(lines):
     """(latency, components, label) per record, repeated labels repeated."""
     for block, record in brute.records(lines).items():

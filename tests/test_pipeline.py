@@ -115,7 +115,7 @@ def test_saved_lines_are_read_by_column_and_filtered_in_the_scan(spark, data_dir
     assert "ReadSchema: struct<level:string,component:string>" in text
     assert "PushedFilters: [In(level, [ERROR,WARN])]" in text
     text = plan(ops.block_latency(fn.drop_missing_blocks(pipe.parsed)))
-    assert "ReadSchema: struct<BlockId:string,timestamp:timestamp>" in text
+    assert "ReadSchema: struct<BlockId:string,timestamp:timestamp_ntz>" in text
 
 
 def test_component_latency_reads_the_log_once(spark, data_dir):
