@@ -437,3 +437,18 @@ def test_reply_trees_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert "pipeline" in entry.queries() and "op4_reply_trees" in entry.oracle_sql()
     assert check.compare(spark, check.connect(sf), "op4_reply_trees", sf) == ""
+
+
+@pytest.mark.parametrize("size", [1, 500, 1 << 16])
+def test_line_pairs_against_sets(size):
+    rng = random.Random(3)
+    left = ["".join(rng.choice("abcd é𝄞\0") for _ in range(rng.randrange(60))) for _ in range(300)] + ["", "abc"]
+    right = [x[:5] + rng.choice(["", "x"]) + x[5:] for x in left[:-2]] + ["", "abc\0"]
+    sets = [[{x[k : k + lines.SHINGLE] for k in range(max(1, len(x) - lines.SHINGLE + 1))} for x in side] for side in (left, right)]
+    want = [len(a & b) >= 0.8 * len(a | b) for a, b in zip(*sets, strict=True)]
+    got = [alike for some in lines._chunks(left, right, size=size) for alike in lines.similar(left[some], right[some], 0.8)]
+    assert got == want and 0 < sum(want) < len(want)
+    place, band = lines.signatures(left)
+    twice, same = lines.signatures(left * 2)
+    assert band.tolist() * 2 == same.tolist() and set(place) == set(range(len(left)))
+    assert list(lines._chunks([])) == []
