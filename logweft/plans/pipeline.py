@@ -1,7 +1,8 @@
 """The pipeline over a data directory, and the analyses over its tables.
 
 A thin front for callers who want ``load``, ``parse``, ``group`` and the five analyses by name.  All of
-it stays lazy except the strict check, the size profile and an optional write of the parsed lines.
+it stays lazy except the strict check, the size profile, the shared counts of the analyses and an
+optional write of the parsed lines.
 """
 
 from __future__ import annotations
@@ -103,12 +104,17 @@ class LogAnalyzer:
         self.labels = pipeline.labels
         self.results: dict[str, DataFrame | dict[str, DataFrame]] = {}
 
+    @cached_property
+    def activity(self) -> DataFrame:
+        """Lines by component, level and hour, counted once and written: three analyses read these."""
+        return sources.settle(lines.activity_counts(self.parsed), "activity")
+
     def analyze_error_frequencies(self) -> DataFrame:
-        self.results["error_frequencies"] = lines.error_frequencies(self.parsed)
+        self.results["error_frequencies"] = lines.error_frequencies(self.activity)
         return self.results["error_frequencies"]
 
     def analyze_peak_activity_times(self) -> DataFrame:
-        self.results["peak_activity_times"] = lines.hourly_activity(self.parsed)
+        self.results["peak_activity_times"] = lines.hourly_activity(self.activity)
         return self.results["peak_activity_times"]
 
     def analyze_failure_patterns(self) -> DataFrame:
@@ -121,7 +127,7 @@ class LogAnalyzer:
         return sequences
 
     def analyze_log_level_distribution(self) -> DataFrame:
-        self.results["log_level_distribution"] = lines.level_distribution(self.parsed)
+        self.results["log_level_distribution"] = lines.level_distribution(self.activity)
         return self.results["log_level_distribution"]
 
     def analyze_performance_metrics(self) -> DataFrame:
@@ -141,7 +147,7 @@ class LogAnalyzer:
         return self.results
 
     def key_findings(self) -> DataFrame:
-        activity = sources.settle(lines.activity_counts(self.parsed))
+        activity = self.activity
         return findings.key_findings(
             lines.error_frequencies(activity),
             lines.hourly_activity(activity),
