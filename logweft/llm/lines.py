@@ -43,10 +43,10 @@ _EMPTY = np.uint64(2**64 - 1)
 
 
 def split(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, h1, h2) of each line with more than white space; h1, h2 identify its text."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(doc_id, text_hash, line_no, line, h1, h2) of each line with more than white space; h1, h2 identify its text."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return rows.filter(F.col("line").rlike(r"\S")).select(
-        "doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(_SECOND), "line").alias("h2")
+        "doc_id", "text_hash", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(_SECOND), "line").alias("h2")
     )
 
 
@@ -203,21 +203,27 @@ def line_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, line_no, kept_doc_id, kept_line_no) for each line of ``docs`` (doc_id, text) to be dropped.
 
     ``line_no`` counts from 0.  The kept line of a component is its first by doc_id, nulls first, and
-    line number.  In repeated rows with the same doc_id and line number the line is kept in each row or
-    dropped in each.  A table without repeated lines gives an empty result.
+    line number.  Rows with the same doc_id and different texts are documents of their own, in the order
+    of their text hashes; in repeated rows with the same text a line is kept in each or dropped in each.
+    A table without repeated lines gives an empty result.
     """
+    return _copies(docs, similarity).drop("text_hash")
+
+
+def _copies(docs: DataFrame, similarity: float) -> DataFrame:
+    """``line_copies`` with the hash of the row's text, ``text_hash``."""
     lines = split(docs)
     roots = components(line_links(lines.select("h1", "h2", "line"), similarity))
-    place = F.struct("doc_id", "line_no")
-    found = settle(lines.select("doc_id", "line_no", F.struct("h1", "h2").alias("id")), "lines")
+    place = F.struct("doc_id", "line_no", "text_hash")
+    found = settle(lines.select("doc_id", "text_hash", "line_no", F.struct("h1", "h2").alias("id")), "lines")
     first = found.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     joined = first.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     kept = joined.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))
     classes = joined.select("id", "root").join(kept.filter("total > 1"), "root").select("id", "kept")
     return (
         found.join(classes, "id")
-        .filter("NOT (doc_id <=> kept.doc_id AND line_no = kept.line_no)")
-        .select("doc_id", "line_no", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"))
+        .filter("NOT (doc_id <=> kept.doc_id AND line_no = kept.line_no AND text_hash = kept.text_hash)")
+        .select("doc_id", "text_hash", "line_no", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"))
     )
 
 
@@ -226,11 +232,13 @@ def without_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     All columns stay.  Documents in which nothing repeats come back as they are, empty ones included.
     """
-    gone = line_copies(tables.texts(docs), similarity)
-    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_llm_key"), "line_no")
-    gone = gone.groupBy("_llm_key").agg(F.collect_set("line_no").alias("_llm_gone"))
+    key = ["_llm_key", "_llm_hash"]
+    gone = _copies(tables.texts(docs), similarity)
+    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_llm_key"), F.col("text_hash").alias("_llm_hash"), "line_no")
+    gone = gone.groupBy(*key).agg(F.collect_set("line_no").alias("_llm_gone"))
     marked = docs.withColumn("_llm_key", F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")))
-    joined = marked.join(gone, "_llm_key", "left")
+    marked = marked.withColumn("_llm_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = marked.join(gone, key, "left")
     kept = F.expr("array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains(_llm_gone, i)), '\n')")
     edited = joined.withColumn("text", F.when(F.col("_llm_gone").isNull(), F.col("text")).otherwise(kept))
     left = edited.filter(F.col("_llm_gone").isNull() | F.col("text").rlike(r"\S"))

@@ -401,6 +401,16 @@ def test_lines(spark):
     assert lines.line_copies(tables.texts(odd(spark, CASES).limit(0))).count() == 0
 
 
+def test_lines_of_texts_with_one_id(spark):
+    """Texts that share an id, or have none, lose their own lines only."""
+    texts = ["a line\nb line", "b line\nc line", "b line\nc line"]
+    for i in (None, 7):
+        left = [r["text"] for r in lines.without_copies(odd(spark, [(i, t) for t in texts])).collect()]
+        assert sorted(left) in (["a line", *texts[1:]], [texts[0], "c line", "c line"])
+        assert {x for t in left for x in t.split("\n")} == {"a line", "b line", "c line"}
+        assert lines.line_copies(tables.texts(odd(spark, [(i, t) for t in texts]))).count() in (1, 2)
+
+
 def test_lines_in_large_buckets(spark):
     """Lines that share a passage but are not alike, among others that are."""
     rng = random.Random(10)
