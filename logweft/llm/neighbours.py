@@ -4,7 +4,8 @@ A table of the index turns the unit vectors by a pseudo-rotation, three rounds o
 Hadamard transform, and assigns each to the nearest signed axis.  Every vector is in every table.  A query
 looks into the ``PROBES`` axes it is nearest to in each table, and what it meets there is ranked by exact
 cosine in double precision.  One hash of d dimensions has 2 d cells; from ``CELL_ROWS`` rows a cell on,
-tables use one more hash.
+tables use a second hash, and queries look into ``PROBES_TWO`` cells, so that recall stays what it was.
+There is no third one: cells of two hashes grow with the input and are cut into parts.
 
 Equal vectors are one row of the index with their least ids, as many as a query can return, so copies of
 one vector make no bucket large.  Cells with more than ``PART`` rows are split by a salt that queries are
@@ -30,6 +31,8 @@ K = 5
 EVERY = 50
 TABLES = 12
 PROBES = 8
+#: Cells looked into where tables have two hashes; 64 of them meet too few of a query's neighbours.
+PROBES_TWO = 512
 CELL_ROWS = 50_000
 PART = 20_000
 #: Queries compared with all rows at a time.
@@ -104,7 +107,8 @@ def _dealt(rows: DataFrame, hashes: int, queries: bool, probes: int) -> DataFram
     """(dim, tab, cell, id, v) for every table: one cell each, or the probed ones of queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A query is many rows, and all pairs of its nearest axes for a moment.
+        for batch in tables.slices(batches, max(1, (1 << 15) // probes)) if queries else batches:
             frame = batch.to_pandas()
             for dim, part in frame.groupby("dim"):
                 x = np.stack(part.v.to_numpy())
@@ -173,9 +177,9 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, probes: int = PR
     if not total:
         return queries.selectExpr("query AS query_id", "0 AS rank", "query AS vec_id", "0D AS score")
     span = 2 << max(0, widest - 1).bit_length()
-    hashes = max(1, math.ceil(math.log(max(1, total / CELL_ROWS)) / math.log(span)))
+    hashes = 1 if total <= CELL_ROWS * span else 2
     dealt = _dealt(index, hashes, False, probes)
-    sought = _dealt(asked, hashes, True, probes**hashes)
+    sought = _dealt(asked, hashes, True, probes if hashes == 1 else max(PROBES_TWO, probes**2))
     keys = ["dim", "tab", "cell"]
     counts = settle(dealt.groupBy(*keys).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "cells")
     parts = tables.bounded(counts)

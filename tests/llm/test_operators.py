@@ -355,6 +355,25 @@ def test_neighbours(spark):
     assert neighbours.nearest(both.limit(0)).count() == 0
 
 
+def test_neighbours_by_two_hashes(spark, monkeypatch):
+    """Recall of the form for large tables, against brute force, is that of the form for small ones."""
+    vectors = tables.read(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
+    rows = {r["vec_id"]: r["embedding"] for r in vectors.collect()}
+    ids = np.array(sorted(rows))
+    x = np.array([rows[i] for i in ids], float)
+    asked = ids[ids % 50 == 0]
+    score = neighbours.cosines(x[ids % 50 == 0], x)
+    score[asked[:, None] == ids[None, :]] = -2
+    fifth = np.sort(score, axis=1)[:, -5]
+    for cell_rows in (neighbours.CELL_ROWS, 1):
+        monkeypatch.setattr(neighbours, "CELL_ROWS", cell_rows)
+        got = neighbours.nearest(vectors).select("query_id", "score").toPandas()
+        least = dict(zip(asked.tolist(), fifth.tolist(), strict=True))
+        hits = sum(s >= least[q] - 1e-12 for q, s in zip(got.query_id, got.score, strict=True))
+        print("recall", cell_rows, hits / (5 * len(asked)))
+        assert len(got) == 5 * len(asked) and hits >= 0.9 * 5 * len(asked)
+
+
 def test_secrets(spark):
     rng = random.Random(8)
     key = lambda: "".join(rng.choices("0123456789abcdef", k=40))
