@@ -9,8 +9,8 @@ into one of ``BANDS`` bins; of each bin the least hash under two orders is kept
 combined with a constant by exclusive or, under which each member of a random set is the least with equal
 chance).  The values of two neighbouring bins are a band, four in all.  Lines with a band in common meet the
 least of them, and pairs of at least the wanted Jaccard similarity over their whole shingle sets are
-links; where the least does not reach all of a band, its lines are compared further.  Distributed
-union-find then gives the components, and the first line of each is kept.
+links; where the least does not reach all of a band, all its lines are compared, in pairs of blocks, so
+every similar pair with a band in common is joined.  Distributed union-find then gives the components, and the first line of each is kept.
 
 A line of fewer characters than a shingle has itself as only shingle.  Lines of white space alone are
 never duplicates.
@@ -21,19 +21,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweft.llm import tables
 from logweft.llm.components import components
+from logweft.llm.simhash import _spanning
 from logweft.sources.scratch import settle
 
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS = 12
-#: Lines of a bucket that are all compared with each other.
+#: Lines of a bucket that are all compared with each other as pairs of rows; larger ones go in blocks.
 SMALL = 16
+#: Lines, and characters, of a block on average.
+BLOCK, BLOCK_CHARS = 512, 1 << 20
+#: Shingles counted in common at a time.
+COLUMNS = 4096
 #: Constants that give a hash further orders.
 ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3)
 _SECOND = 0x5BD1E995
@@ -127,6 +133,35 @@ def similar(left: list[str], right: list[str], similarity: float) -> np.ndarray:
     return common >= similarity * (counted(one) + counted(other) - common)
 
 
+def joined(left: list[str], right: list[str] | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join exactly the similar lines of ``left`` with those of ``right``, or with each other.
+
+    Places count through ``left`` and on through ``right``.  Links are spanning trees, not all pairs.
+    """
+    lines, n = [*left, *(right or [])], len(left)
+    owner, h = _hashed(lines)
+    names, code = np.unique(h, return_inverse=True)
+    both = np.unique(code * np.int64(len(lines)) + owner)
+    code, owner = both // len(lines), both % len(lines)
+    sizes = np.bincount(owner, minlength=len(lines)).astype(float)
+    many = np.bincount(code, minlength=len(names)) > 1  # the others are in one line only
+    place = np.cumsum(many) - 1
+    owner, code = owner[many[code]], place[code[many[code]]]
+    first = np.s_[:n]
+    second = first if right is None else np.s_[n:]
+    common = np.zeros((n, n if right is None else len(lines) - n), np.float32)
+    for start in range(0, int(many.sum()), COLUMNS):
+        some = slice(*np.searchsorted(code, [start, start + COLUMNS]))
+        has = np.zeros((len(lines), COLUMNS), np.float32)
+        has[owner[some], code[some] - start] = 1
+        common += has[first] @ has[second].T
+    alike = common >= similarity * (sizes[first][:, None] + sizes[second][None, :] - common)
+    i, j = np.nonzero(np.triu(alike, 1) if right is None else alike)
+    root = _spanning(len(lines), [(i, j if right is None else j + n)])
+    moved = np.flatnonzero(root != np.arange(len(lines)))
+    return moved, root[moved]
+
+
 def bands(distinct: DataFrame) -> DataFrame:
     """(h1, band): the bands of each distinct line of (h1, h2, line)."""
 
@@ -166,8 +201,34 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
     return found.select("u", "v", *ids, "alike")
 
 
+def _block_links(members: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): identities of lines that join all similar ones of each band of ``members`` (band, h1, h2, line).
+
+    A band's lines are dealt into blocks, and each two blocks are a group of their own.
+    """
+    sizes = members.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("line")) / BLOCK_CHARS)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "band").withColumn("mine", F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "h1", "h2", "line")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("mine", kind="stable")
+        cut = int((rows["mine"] == rows["low"]).sum())
+        line, own = rows["line"].tolist(), rows["low"].iloc[0] == rows["high"].iloc[0]
+        u, v = joined(line[:cut], None if own else line[cut:], similarity)
+        h1, h2 = rows["h1"].to_numpy(), rows["h2"].to_numpy()
+        return pd.DataFrame({"a1": h1[u], "a2": h2[u], "b1": h1[v], "b2": h2[v]})
+
+    found = dealt.groupBy("band", "low", "high").applyInPandas(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+    ids = [F.struct(F.col(f"{n}1").alias("h1"), F.col(f"{n}2").alias("h2")).alias(end) for n, end in (("a", "u"), ("b", "v"))]
+    return found.distinct().select(*ids)
+
+
 def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v): identities, structs of h1 and h2, of distinct similar lines among ``lines`` (h1, h2, line)."""
+    """(u, v): identities, structs of h1 and h2, of distinct lines among ``lines`` (h1, h2, line).
+
+    They join the similar ones with a band in common, by way of others too.
+    """
     tables.ship(lines.sparkSession)
     distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
     banded = settle(bands(distinct), "bands")
@@ -186,16 +247,12 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         few = torn.filter(f"n <= {SMALL}")
         one, other = few.select("band", F.col("h1").alias("v")), few.select("band", F.col("h1").alias("u"))
         more = one.join(other, "band").filter("v < u").select("u", "v")
-        # Lines of large ones meet again where they share a second band.
-        own = bands(texts.join(torn.filter(f"n > {SMALL}").select("h1").distinct(), "h1", "left_semi"))
-        again = torn.filter(f"n > {SMALL}").select("h1", "band").join(own.withColumnRenamed("band", "second"), "h1")
-        both = F.xxhash64(F.least("band", "second"), F.greatest("band", "second"))
-        twice = settle(again.filter("band <> second").select(both.alias("both"), "h1").distinct(), "twice")
-        sizes = twice.groupBy("both").agg(F.count("*").alias("n")).filter("n > 1")
-        more = more.unionByName(_stars(settle(twice.join(sizes, "both"), "members"), "both").select("u", "v"))
         new = more.distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
         found = _verified(new, texts, similarity).filter("alike")
         links = links.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        large = torn.filter(f"n > {SMALL}").select("band", "h1")
+        if large.limit(1).count():
+            links = links.unionByName(_block_links(large.join(texts, "h1"), similarity))
     return links
 
 

@@ -441,6 +441,37 @@ def test_lines_in_large_buckets(spark):
     assert got == brute_lines(rows)
 
 
+def template_lines(size, copies, field=28):
+    """Lines of one template with a varying field, pairwise just under the threshold, and near copies of some."""
+    rng = random.Random(12)
+    text = lambda n: "".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(n))
+    shared = text(207)
+    base = [shared + text(field) for _ in range(size)]
+    return base + [x[:-2] + "##" for x in base[:copies]]
+
+
+@pytest.mark.parametrize("field", [28, 29, 33])
+def test_line_blocks(field, monkeypatch):
+    """Every near copy is joined, and nothing else: background similarity 0.75 to 0.78."""
+    monkeypatch.setattr(lines, "COLUMNS", 512)
+    rows = template_lines(300, 60, field)
+    sets = [{x[k : k + lines.SHINGLE] for k in range(len(x) - lines.SHINGLE + 1)} for x in rows]
+    assert 0.75 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.8
+    want = grouped((min(k, k - 300 if k >= 300 else k), k) for k in range(360))
+    root = list(range(360))
+    for u, v in zip(*lines.joined(rows, None, 0.8), strict=True):
+        root[u] = int(v)
+    assert grouped((root[k], k) for k in range(360)) == want
+    across = lines.joined(rows[:300], rows[300:], 0.8)
+    assert sorted(zip(*(x.tolist() for x in across), strict=True)) == [(300 + k, k) for k in range(60)]
+
+
+def test_lines_of_a_template(spark):
+    rows = list(enumerate(template_lines(2000, 200)))
+    got = {r["doc_id"]: r["kept_doc_id"] for r in lines.line_copies(tables.texts(odd(spark, rows))).collect()}
+    assert got == {2000 + k: k for k in range(200)}
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     stages = dict(corpus_pipeline.STAGES)
