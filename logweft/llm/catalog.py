@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logweft.llm import bpe, chunks, ctw, leaks, lines, neighbours, replies, secrets, simhash, toxicity
+from logweft.llm import bpe, chunks, ctw, infill, leaks, lines, neighbours, records, replies, resample, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_decontamination": leaks.op1_decontamination,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_cross_polytope": neighbours.op8_cross_polytope,
     "op9_secret_forest": secrets.op9_secret_forest,
     "op10_line_dedup": lines.op10_line_dedup,
+    "op11_records": records.op11_records,
+    "op12_resample": resample.op12_resample,
+    "op13_infill": infill.op13_infill,
 }
-ORACLE = {"op4_reply_trees": replies.ORACLE}
+ORACLE = {"op4_reply_trees": replies.ORACLE, "op13_infill": infill.ORACLE}
