@@ -32,10 +32,10 @@ from logweft.sources.scratch import new_folder, settle
 
 #: Bytes of a block, and blocks of a shard.
 BLOCK, SHARD = 1 << 20, 16
-#: Characters of texts that are encoded at a time.
-PIECE = 1 << 22
+#: Bytes of texts that are encoded at a time.
+PIECE = 1 << 23
 #: Words whose ids a worker remembers, a bound on its memory.
-REMEMBERED = 600_000
+REMEMBERED = 2_000_000
 #: The reflected Castagnoli polynomial and the constant of the mask.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
 #: Bytes that the checksums of many runs go through in step.
@@ -122,7 +122,8 @@ class Encoder:
 
     The names of special tokens in a text are read as the library reads them by default.  As no pre-token
     goes beyond a space, a text's ids are those of the words between its spaces and line ends, in order.
-    Of a batch, distinct words are looked up, and those not known are encoded in one call.
+    Of a batch, distinct words are looked up among those already seen, which are two Arrow arrays, and
+    the others are encoded in one call.
     """
 
     def __init__(self, path: str):
@@ -131,38 +132,49 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.width = np.dtype(self.type).itemsize
-        self.known: dict[str, bytes] = {}
         mark = self._ids("\0")
         #: The id of a NUL, which sets words apart in a call; no other word has it.
         self.mark = mark[0] if len(mark) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "\0" not in w] if self.mark is not None else []
-        if plain:
+    def _learned(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each of ``words``."""
+        odd = [k for k, w in enumerate(words) if "\0" in w] if self.mark is not None else range(len(words))
+        plain = [w for w in words if "\0" not in w] if odd else words
+        found: list[bytes] = []
+        if plain and self.mark is not None:
             joined = self.tokenizer.encode_batch_fast([" \0 ".join([*plain, ""])], add_special_tokens=False)[0].ids
             ids = np.array(joined, self.type)
-            stops = np.flatnonzero(ids == self.mark)
-            packed, start = ids.tobytes(), 0
-            for word, stop in zip(plain, (stops * self.width).tolist(), strict=True):
-                self.known[word] = packed[start:stop]
-                start = stop + self.width
-        for word in words if self.mark is None else (w for w in words if "\0" in w):
-            self.known[word] = self._ids(word).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            stops = (np.flatnonzero(ids == self.mark) * self.width).tolist()
+            starts = [0, *(stop + self.width for stop in stops[:-1])]
+            packed = ids.tobytes()
+            found = [packed[a:b] for a, b in zip(starts, stops, strict=True)]
+        for k in odd:
+            found.insert(k, self._ids(words[k]).tobytes())
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Packed ids of each of ``texts``."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        if len(self.words) > REMEMBERED:
+            self._forget()
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self.known])
-        ids = pa.array([self.known[w] for w in words], pa.large_binary()).take(coded.indices)
+        place = pc.index_in(coded.dictionary, value_set=self.words)
+        new = coded.dictionary.filter(place.is_null())
+        at = place.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        at[at < 0] = len(self.words) + np.arange(len(new))
+        self.ids = pa.concat_arrays([self.ids, pa.array(self._learned(new.to_pylist()), pa.binary())])
+        self.words = pa.concat_arrays([self.words, new])
+        own = self.ids.take(pa.array(at)).cast(pa.large_binary())
+        ids = own.take(coded.indices)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
-        stops = ends[np.frombuffer(split.buffers()[1], np.int32)[: len(split) + 1]]
+        stops = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
         packed = ids.buffers()[2]
         packed = packed.to_pybytes() if packed else b""
         return [packed[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
@@ -174,33 +186,32 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _pieces(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """Lists of (place, part of a text) of about ``PIECE`` characters; a text is cut at spaces only."""
-    held, size = [], 0
-    for place, text in enumerate(texts):
-        start = 0
-        while True:
-            seam = text.find(" ", start + PIECE) if len(text) - start > PIECE else -1
-            part = text[start : seam if seam >= 0 else len(text)]
-            held.append((place, part))
-            size += len(part)
-            if size >= PIECE:
-                yield held
-                held, size = [], 0
-            if seam < 0:
-                break
-            start = seam + 1
-    if held:
-        yield held
-
-
-def encoded(texts: list[str], path: str, end_id: int) -> list[bytes]:
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of runs of rows of up to ``PIECE`` bytes; a longer text comes in parts, cut at spaces."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        stop = int(np.searchsorted(upto, before + PIECE, "right"))
+        if stop > start:
+            yield start, texts.slice(start, stop - start)
+            start = stop
+            continue
+        text, cut = texts[start].as_py(), 0
+        while cut >= 0:
+            seam = text.find(" ", cut + PIECE)
+            yield start, pa.array([text[cut : seam if seam >= 0 else len(text)]], pa.string())
+            cut = seam + 1 if seam >= 0 else -1
+        start += 1
+
+
+def encoded(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
     """Packed ids of each of ``texts``, ``end_id`` last."""
     own = encoder(path)
-    found: list[list[bytes]] = [[] for _ in texts]
-    for some in _pieces(texts):
-        for (place, _), ids in zip(some, own.encode([part for _, part in some]), strict=True):
-            found[place].append(ids)
+    found: list[list[bytes]] = [[] for _ in range(len(texts))]
+    for start, some in _parts(texts):
+        for k, ids in enumerate(own.encode(some)):
+            found[start + k].append(ids)
     end = np.array([end_id], own.type).tobytes()
     return [b"".join([*ids, end]) for ids in found]
 
@@ -221,9 +232,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int) -> None:
         width = encoder(path).width
         held: list[bytes] = []
         size = 0
-        for batch in tables.slices(batches, 1024):
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for name, ids in zip(names, encoded(texts, path, end_id), strict=True):
+        for batch in tables.slices(batches, 4096):
+            names = batch.column("doc_id").to_pylist()
+            for name, ids in zip(names, encoded(batch.column("text"), path, end_id), strict=True):
                 held.append(struct.pack(HEAD, name or 0, name is None, width) + ids)
                 size += len(held[-1])
                 if size >= BLOCK:
