@@ -86,6 +86,20 @@ def mined_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pid_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of templates: one for each process, component and event type in the log, in that order too."""
+    return (
+        _events(spark, sf_dir)
+        .groupBy(F.expr("get_json_object(props, '$.k')").alias("pid"), F.expr("(user_id + event_id) % 7").alias("node"), "event_type")
+        .agg(F.min("event_id").alias("priority"))
+        .selectExpr(
+            "priority",
+            "concat_ws('-', event_type, node, pid) AS EventId",
+            f"concat('[*] ', pid, ' [*] svc.Node', node, ': ', {_per_type(0)}, '[*]') AS EventTemplate",
+        )
+    )
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event sequences of three lines each.  Half of the unknown lines are said to be of an event E9."""
     unknown = "if(event_id % 202 = 0, 'E9', 'Unknown')"

@@ -59,8 +59,18 @@ STEPS = {
         SELECT event_type || '-' || node AS EventId, 'svc.Node' || node || ': '
           || CASE event_type WHEN 'view' THEN 'Fetch started for ' WHEN 'click' THEN 'Fetch finished for '
                WHEN 'signup' THEN 'BLOCK* allocate ' WHEN 'purchase' THEN 'Verify ok for '
-               ELSE 'Exception while serving ' END || '[*]' AS EventTemplate
-        FROM (SELECT DISTINCT event_type, (user_id + event_id) % 7 AS node FROM events)""",
+               ELSE 'Exception while serving ' END || '[*]' AS EventTemplate,
+          row_number() OVER (ORDER BY first) AS priority
+        FROM (SELECT event_type, (user_id + event_id) % 7 AS node, min(event_id) AS first FROM events GROUP BY 1, 2)""",
+    "pid_templates": r"""
+        SELECT *, 'svc.Node' || node || ':' AS w2, event_type || '-' || node || '-' || pid AS EventId,
+          CASE event_type WHEN 'view' THEN 'started' WHEN 'click' THEN 'finished' WHEN 'signup' THEN 'BLOCK*'
+            WHEN 'purchase' THEN 'Verify' ELSE 'Exception' END AS w3,
+          CASE event_type WHEN 'view' THEN 'Fetch' WHEN 'click' THEN 'Fetch' WHEN 'signup' THEN 'allocate'
+            WHEN 'purchase' THEN 'ok' ELSE 'while' END AS w4,
+          CASE event_type WHEN 'signup' THEN '' WHEN 'error' THEN 'serving' ELSE 'for' END AS w5
+        FROM (SELECT event_type, (user_id + event_id) % 7 AS node, regexp_extract(props, '([0-9]+)', 1) AS pid,
+                min(event_id) AS priority FROM events GROUP BY 1, 2, 3)""",
     "truth": r"""
         SELECT event_id // 3 AS block, list(CASE WHEN event_id % 202 = 0 THEN 'E9' WHEN event_id % 101 = 0 THEN 'Unknown'
           WHEN event_type = 'view' THEN 'E1' WHEN event_type = 'click' THEN 'E2'
@@ -147,7 +157,7 @@ _SLOW = "SELECT component, round(avg_latency, 6) AS avg_latency FROM slowness"
 
 ORACLE = {
     "log_scan": _query("lines", "SELECT value FROM lines"),
-    "template_scan": _query("templates", "SELECT EventId, EventTemplate FROM templates"),
+    "template_scan": _query("templates", "SELECT EventId, EventTemplate, priority FROM templates"),
     "label_scan": _query(
         "block_labels",
         "SELECT BlockId, LabelText AS Label FROM block_labels",
@@ -171,6 +181,12 @@ ORACLE = {
     ),
     "classify_events": _query("parsed", "SELECT line_no, EventId FROM parsed"),
     "classify_events_join": _query("parsed", "SELECT line_no, EventId FROM parsed"),
+    "classify_events_indexed": _query(
+        "fields",
+        """SELECT line_no, coalesce(min_by(t.EventId, t.priority), 'Unknown') AS EventId
+           FROM lines l LEFT JOIN pid_templates t ON contains(value, w2) AND contains(value, w3)
+             AND contains(value, w4) AND contains(value, w5) AND contains(value, pid) GROUP BY 1""",
+    ),
     "encode_labels": _query("block_labels", "SELECT BlockId, Label, LabelText FROM block_labels"),
     "drop_missing_blocks": _query("kept", "SELECT line_no, BlockId FROM kept"),
     "event_counts": _query("parsed", 'SELECT EventId, count(*) AS "count" FROM parsed GROUP BY 1'),
@@ -245,8 +261,12 @@ ORACLE = {
     "distinct_components": _query("parsed", "SELECT DISTINCT component FROM parsed"),
     "level_pivot": _query(
         "long",
-        """SELECT * FROM (PIVOT (SELECT component, level, round(percentage, 6) AS percentage FROM long)
-             ON level USING sum(percentage) GROUP BY component)""",
+        "SELECT component, "
+        + ", ".join(
+            f"round(sum(CASE WHEN level = '{level}' THEN percentage ELSE 0 END), 6) AS {level}"
+            for level in ("BLANK", "DEBUG", "ERROR", "FATAL", "INFO", "WARN")
+        )
+        + " FROM long GROUP BY 1",
     ),
     "level_unpivot": _query(
         "long", "SELECT component, level, round(percentage, 6) AS percentage FROM long"
@@ -267,7 +287,9 @@ ORACLE = {
     ),
     "anomaly_sequences": _query("sequences", "SELECT * FROM sequences"),
     "anomaly_sequences_top5": _query(
-        "sequences", 'SELECT * FROM sequences ORDER BY "count" DESC, event_sequence, sequence_id LIMIT 5'
+        "sequences",
+        """SELECT * FROM sequences WHERE sequence_id IN (SELECT sequence_id FROM sequences WHERE part = 0
+             ORDER BY "count" DESC, event_sequence, sequence_id LIMIT 5)""",
     ),
     "component_by_label": _query(
         "by_label",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweft import functions as fn
@@ -43,11 +43,18 @@ def log_scan(spark, sf):
     return sources.read_log(spark, path).select("value")
 
 
+def _scanned(spark, templates: DataFrame) -> DataFrame:
+    """Templates written as CSV in their order and read back."""
+    path = sources.new_folder(spark, "templates")
+    templates.orderBy("priority").drop("priority").write.csv(path, header=True)
+    return sources.read_templates(spark, path)
+
+
 @query
 def template_scan(spark, sf):
-    path = sources.new_folder(spark, "templates")
-    fx.mined_templates(spark, sf).drop("priority").write.csv(path, header=True)
-    return sources.read_templates(spark, path).select("EventId", "EventTemplate")
+    scanned = _scanned(spark, fx.mined_templates(spark, sf))
+    rank = F.row_number().over(Window.orderBy("priority")).cast("bigint")  # a row for each template
+    return scanned.select("EventId", "EventTemplate", rank.alias("priority"))
 
 
 @query
@@ -89,8 +96,14 @@ def classify_events(spark, sf):
 
 @query
 def classify_events_join(spark, sf):
-    lined = fn.classify(fx.log_lines(spark, sf), fx.markers(spark), width=2)
-    return lined.select("line_no", "EventId")
+    event = fn.event_by_chain(fx.markers(spark), width=2).alias("EventId")
+    return fx.log_lines(spark, sf).select("line_no", event)
+
+
+@query
+def classify_events_indexed(spark, sf):
+    markers = fn.collect_markers(_scanned(spark, fx.pid_templates(spark, sf)))
+    return fn.classify_by_index(fx.log_lines(spark, sf), markers).select("line_no", "EventId")
 
 
 @query

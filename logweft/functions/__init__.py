@@ -1,8 +1,10 @@
 from logweft.functions.arrays import array_to_string, register_functions
 from logweft.functions.events import (
     classify,
+    classify_by_index,
     collect_markers,
     event_by_chain,
+    event_by_index,
     with_markers,
 )
 from logweft.functions.fields import (
@@ -19,11 +21,13 @@ __all__ = [
     "FIELD_PATTERNS",
     "array_to_string",
     "classify",
+    "classify_by_index",
     "collect_markers",
     "drop_missing_blocks",
     "encode_label",
     "encode_labels",
     "event_by_chain",
+    "event_by_index",
     "field",
     "parse_fields",
     "parse_time",

@@ -85,7 +85,11 @@ def test_repeated_event_has_first_place_and_last_words(spark):
     assert fn.collect_markers(templates(spark, *rows)) == [("A", ["three"]), ("B", ["two"])]
 
 
-@pytest.mark.parametrize("classify", [fn.classify, lambda df, markers: fn.classify(df, markers, width=1)])
+def by_chains(lines, markers):
+    return lines.withColumn("EventId", fn.event_by_chain(markers, width=1)) if markers else fn.classify(lines, markers)
+
+
+@pytest.mark.parametrize("classify", [fn.classify, fn.classify_by_index, by_chains])
 def test_first_match_wins(spark, classify):
     markers = [("A", ["Fetch", "started"]), ("B", ["Fetch"]), ("C", []), ("D", ["never"])]
     lines = ["started a Fetch", "xFetchx", "fetch", "", "never"]
@@ -93,13 +97,26 @@ def test_first_match_wins(spark, classify):
     assert [r["EventId"] for r in result] == ["A", "B", "C", "C", "C"]
 
 
-@pytest.mark.parametrize("classify", [fn.classify, lambda df, markers: fn.classify(df, markers, width=1)])
+@pytest.mark.parametrize("classify", [fn.classify, fn.classify_by_index, by_chains])
 def test_no_match_is_unknown(spark, classify):
     assert classify(brute.log(spark, ["x"]), [("A", ["y"])]).head()["EventId"] == "Unknown"
     assert classify(brute.log(spark, ["x"]), []).head()["EventId"] == "Unknown"
 
 
-def test_many_templates_take_several_chains(spark):
+def test_index_agrees_with_chains(spark):
+    rng = random.Random(9)
+    words = ["ab", "b", "abc", "ca", "BLOCK*", "é", "c:", "x.y", "a"]
+    markers = [(f"E{i}", rng.choices(words, k=rng.randrange(1, 4))) for i in range(150)]
+    texts = [None, *("".join(rng.choices([*"abc.:x *é", "BLOCK*", "x.y"], k=rng.randrange(9))) for _ in range(2000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "line_no int, value string")
+    for some in (markers, [*markers[:20], ("all", []), *markers[20:]]):
+        one = rows.select("line_no", fn.event_by_chain(some).alias("EventId"))
+        other = fn.classify(rows, some).select("line_no", "EventId")
+        assert sorted(one.collect()) == sorted(other.collect())
+    assert len(fn.classify(rows, markers)._jdf.queryExecution().toString()) < 3000
+
+
+def test_thousands_of_templates(spark):
     markers = [(f"E{i}", [f"word{i}x", "msg"]) for i in range(2000)]
     lines = brute.log(spark, ["msg word1999x", "word3x msg", "msg word3"])
     assert [r["EventId"] for r in fn.classify(lines, markers).orderBy("line_no").collect()] == [
