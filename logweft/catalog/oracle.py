@@ -157,6 +157,7 @@ _SLOW = "SELECT component, round(avg_latency, 6) AS avg_latency FROM slowness"
 
 ORACLE = {
     "log_scan": _query("lines", "SELECT value FROM lines"),
+    "line_numbers": _query("lines", "SELECT row_number() OVER (ORDER BY line_no) - 1 AS line_number, value FROM lines"),
     "template_scan": _query("templates", "SELECT EventId, EventTemplate, priority FROM templates"),
     "label_scan": _query(
         "block_labels",

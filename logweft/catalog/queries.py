@@ -69,6 +69,13 @@ def truth_event_counts(spark, sf):
     return sources.truth_event_counts(fx.truth(spark, sf))
 
 
+@query
+def line_numbers(spark, sf):
+    path = sources.new_folder(spark, "log")
+    fx.log_lines(spark, sf).repartitionByRange(5, "line_no").sortWithinPartitions("line_no").select("value").write.text(path)
+    return sources.number_lines(sources.settle(sources.read_log(spark, path))).select("line_number", "value")
+
+
 # Fields, events, labels
 
 
@@ -141,14 +148,16 @@ def validate_missing_blocks(spark, sf):
 
 @query
 def sequence_events(spark, sf):
-    return ops.sequence_events(fx.in_blocks(spark, sf)).select(
+    kept = fx.in_blocks(spark, sf)
+    return ops.sequence_events(kept.select(*ops.order_columns(kept), "EventId")).select(
         "BlockId", "line_no", "EventId", "seq_num", _time("timestamp"), _time("prev_timestamp")
     )
 
 
 @query
 def event_intervals(spark, sf):
-    timed = ops.event_intervals(fx.in_blocks(spark, sf))
+    kept = fx.in_blocks(spark, sf)
+    timed = ops.event_intervals(kept.select(*ops.order_columns(kept)))
     return timed.select("BlockId", "seq_num", "interval_seconds")
 
 

@@ -4,6 +4,7 @@ from logweft.operators.blocks import (
     block_records_default0,
     block_spans,
     event_intervals,
+    order_columns,
     sequence_events,
 )
 from logweft.operators.labels import first_labels, label_counts
@@ -34,6 +35,7 @@ __all__ = [
     "label_counts",
     "latency_at_width",
     "missing_blocks",
+    "order_columns",
     "profile_blocks",
     "sequence_events",
 ]

@@ -25,13 +25,11 @@ from logweft.operators.labels import (
     label_rows,
 )
 from logweft.operators.skew import BlockProfile, profile_blocks
-from logweft.sources.files import LINE_ORDER
+from logweft.sources.files import line_order, number_lines
 from logweft.sources.scratch import settle
 
 # Lines of a record where the caller names no other length.
 SEGMENT_LINES = 100_000
-# What ordering the lines of a block needs.
-ORDER_COLUMNS = ("BlockId", "timestamp", *LINE_ORDER)
 RECORD_COLUMNS = (
     "BlockId",
     "segment",
@@ -51,9 +49,14 @@ def _seconds(later: Column | str, earlier: Column | str) -> Column:
     return F.coalesce((later - earlier).cast("interval second").cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def order_columns(parsed: DataFrame) -> list[str]:
+    """What ordering the lines of a block needs."""
+    return ["BlockId", "timestamp", *line_order(parsed)]
+
+
 def _order_in_task(parsed: DataFrame) -> DataFrame:
     """Number the lines of each block with one window; a block stays in one task."""
-    ordered = Window.partitionBy("BlockId").orderBy("timestamp", *LINE_ORDER)
+    ordered = Window.partitionBy("BlockId").orderBy("timestamp", *line_order(parsed))
     return parsed.select(
         "*",
         F.row_number().over(ordered).cast("bigint").alias("seq_num"),
@@ -63,10 +66,10 @@ def _order_in_task(parsed: DataFrame) -> DataFrame:
 
 def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
     """Number the lines of each block with the block spread over range partitions."""
-    ranged = parsed.repartitionByRange(slices, "BlockId", "timestamp", *LINE_ORDER)
+    ranged = parsed.repartitionByRange(slices, *order_columns(parsed))
     # The slice ids come from sampled bounds, so they are fixed on disk before two branches use them.
     sliced = settle(ranged.withColumn("slice", F.spark_partition_id()), "slices")
-    in_slice = Window.partitionBy("BlockId", "slice").orderBy("timestamp", *LINE_ORDER)
+    in_slice = Window.partitionBy("BlockId", "slice").orderBy("timestamp", *line_order(parsed))
     numbered = sliced.select(
         "*",
         F.row_number().over(in_slice).cast("bigint").alias("row"),
@@ -95,16 +98,22 @@ def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
 
 def by_route(
     parsed: DataFrame,
-    profile: BlockProfile,
+    profile: BlockProfile | None,
     finish: Callable[[DataFrame, bool], DataFrame],
     prepare: Callable[[DataFrame, bool], DataFrame] = lambda rows, hot: rows,
 ) -> DataFrame:
     """Order the lines of each route, finish each, and put the results together.
 
     ``prepare(lines, hot)`` and ``finish(ordered, hot)`` run per route, so that the ordinary route
-    keeps its partitioning by block id from one step to the next.  ``prepare`` should leave only the
-    columns that ``finish`` needs: the hot route writes what it orders.
+    keeps its partitioning by block id from one step to the next.  ``parsed`` should have only the
+    columns that these need.  Without a profile it is written first, so that text is parsed once: the
+    profile, the line numbers, which then stand for file and split in every sort, and the lines are
+    read from there.
     """
+    if profile is None:
+        parsed = settle(parsed, "lines")
+        profile = profile_blocks(parsed)
+        parsed = number_lines(parsed) if "line_number" not in parsed.columns else parsed
     result = finish(_order_in_task(prepare(profile.ordinary(parsed), False)), False)
     if profile.hot:
         rows = prepare(profile.oversized(parsed), True)
@@ -121,8 +130,8 @@ def sequence_events(parsed: DataFrame, profile: BlockProfile | None = None) -> D
 
     Lines are ordered by time, missing times first, and by line order within a second.
     """
-    profile = profile or profile_blocks(parsed)
-    return by_route(parsed, profile, lambda ordered, hot: ordered)
+    columns = [*parsed.columns, "seq_num", "prev_timestamp"]
+    return by_route(parsed, profile, lambda ordered, hot: ordered.select(*columns))
 
 
 def event_intervals(parsed: DataFrame, profile: BlockProfile | None = None) -> DataFrame:
@@ -168,16 +177,13 @@ def _records(
     reduce: Callable[[DataFrame], DataFrame],
     attach: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
-    profile = profile or profile_blocks(parsed)
-
-    def prepare(rows: DataFrame, hot: bool) -> DataFrame:
-        return rows.select(*ORDER_COLUMNS, "EventId", "level", "component", "pid")
+    needed = parsed.select(*order_columns(parsed), "EventId", "level", "component", "pid")
 
     def finish(ordered: DataFrame, hot: bool) -> DataFrame:
         reduced = profile.only_hot(reduce, labels) if hot else reduce(labels)
         return attach(_assemble(ordered, segment_lines), reduced).select(*RECORD_COLUMNS)
 
-    return by_route(parsed, profile, finish, prepare)
+    return by_route(needed, profile, finish)
 
 
 def block_records(

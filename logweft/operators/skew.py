@@ -1,8 +1,8 @@
 """Finding the blocks that are too large for one task.
 
 Ordering a block's lines with a window puts the whole block into one task.  That is the cheapest plan
-for ordinary blocks and a bad one for a block with a large share of the log, so the sizes are measured
-first, by one map-side-combined count.  Oversized ("hot") blocks then take another route; see
+for ordinary blocks and a bad one for a block with a large share of the log, so large blocks are looked
+for first, with a fixed number of counters.  Oversized ("hot") blocks then take another route; see
 ``operators.blocks``.
 """
 
@@ -11,24 +11,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweft.sources.scratch import settle
-
 # Lines of one block that a single task may order.
 TASK_LINES = 1_000_000
 # A block above 1/MAX_HOT of the log is always hot, so at most MAX_HOT blocks can be: the id list, and
 # with it every broadcast made from it, is bounded whatever the input.
 MAX_HOT = 50_000
+# Counters of a profile; with few blocks above the limit, nearly all of them stay far below it.
+BUCKETS = 1 << 20
 
 
 @dataclass(frozen=True)
 class BlockProfile:
-    """Sizes of the blocks of one log."""
+    """The size of a log and its oversized blocks."""
 
     lines: int
-    largest: int
     limit: int
     hot_lines: int = 0
     hot: tuple[str, ...] = field(default=(), repr=False)
@@ -57,15 +56,27 @@ class BlockProfile:
         return self.hot_lines // self.limit + 1
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("BlockId"), F.lit(BUCKETS)).cast("int")
+
+
 def profile_blocks(parsed: DataFrame, task_lines: int = TASK_LINES) -> BlockProfile:
-    """Count the lines per block and pick the blocks too large for one task."""
-    # Written, so that the lines are counted once however many passes over the sizes follow.
-    sizes = settle(parsed.groupBy("BlockId").agg(F.count("*").alias("n")), "sizes")
-    total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    """Find the blocks too large for one task, without a count for every block.
+
+    Lines are counted by a hash of their block in ``BUCKETS`` counters.  A block above the limit makes its
+    counter exceed it, so only the blocks of such counters, of which there are ``MAX_HOT`` at most, are
+    counted one by one; mostly there are none, and one pass over one column is all.
+    """
+    counters = parsed.groupBy(_bucket().alias("bucket")).agg(F.count("*").alias("n"))
+    large = F.collect_list(F.when(F.col("n") > task_lines, F.struct("bucket", "n"))).alias("large")
+    total, large = counters.agg(F.coalesce(F.sum("n"), F.lit(0)), large).first()
     limit = max(task_lines, -(-total // MAX_HOT))
-    if largest <= limit:
-        return BlockProfile(total, largest, limit)
-    hot = sizes.filter(F.col("n") > limit).collect()
+    suspects = [(r["bucket"],) for r in large if r["n"] > limit]
+    if not suspects:
+        return BlockProfile(total, limit)
+    wanted = F.broadcast(parsed.sparkSession.createDataFrame(suspects, "bucket int"))
+    rows = parsed.select("BlockId", _bucket().alias("bucket")).join(wanted, "bucket", "left_semi")
+    hot = rows.groupBy("BlockId").agg(F.count("*").alias("n")).filter(F.col("n") > limit).collect()
     return BlockProfile(
-        total, largest, limit, sum(r["n"] for r in hot), tuple(sorted(r["BlockId"] for r in hot))
+        total, limit, sum(r["n"] for r in hot), tuple(sorted(r["BlockId"] for r in hot))
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logweft.functions.arrays import array_to_string
 from logweft.operators import blocks as ops
 from logweft.operators.labels import label_counts
-from logweft.operators.skew import BlockProfile, profile_blocks
+from logweft.operators.skew import BlockProfile
 from logweft.sources.scratch import settle
 
 
@@ -56,7 +56,7 @@ def anomaly_sequences(
     A sequence has a row per part of ``segment_lines`` events, all with its ``sequence_id`` and with the
     count of the whole sequence.  The id depends on the sequence and the part length alone.
     """
-    profile = profile or profile_blocks(parsed)
+    needed = parsed.select(*ops.order_columns(parsed), "EventId")
 
     def copies(rows: DataFrame) -> DataFrame:
         counts = label_counts(rows).filter("anomaly > 0")
@@ -85,10 +85,9 @@ def anomaly_sequences(
     # The label filter comes first, so only anomalous blocks are ordered.
     def prepare(rows: DataFrame, hot: bool) -> DataFrame:
         known = profile.only_hot(copies, labels) if hot else copies(labels)
-        needed = rows.select(*ops.ORDER_COLUMNS, "EventId")
-        return needed.join(known, "BlockId")
+        return rows.join(known, "BlockId")
 
-    parts = ops.by_route(parsed, profile, finish, prepare)
+    parts = ops.by_route(needed, profile, finish, prepare)
     counts = parts.groupBy("sequence_id", "part", "event_sequence").agg(F.sum("copies").alias("count"))
     return counts.orderBy(F.desc("count"), "event_sequence", "sequence_id", "part")
 

@@ -62,7 +62,8 @@ class LogPipeline:
         if strict and self.expected is not None:
             ops.check_parsed(parsed, self.expected)
         self.parsed = parsed
-        for derived in ("in_blocks", "profile"):
+        self._saved = bool(save_to)
+        for derived in ("in_blocks", "in_order", "profile"):
             self.__dict__.pop(derived, None)
         return self
 
@@ -75,7 +76,7 @@ class LogPipeline:
 
         ``default_normal`` labels a block without a known label 0 instead of NULL.
         """
-        rows = layout(self.in_blocks) if layout else self.in_blocks
+        rows = layout(self.in_order) if layout else self.in_order
         build = ops.block_records_default0 if default_normal else ops.block_records
         self.blocks = build(rows, self.labels, self.profile)
         return self
@@ -85,9 +86,14 @@ class LogPipeline:
         """The parsed lines that name a block."""
         return fn.drop_missing_blocks(self.parsed)
 
+    @cached_property
+    def in_order(self) -> DataFrame:
+        """``in_blocks`` for what sorts lines; saved lines have one line number in place of file and split."""
+        return sources.number_lines(self.in_blocks) if self._saved else self.in_blocks
+
     @cached_property
     def profile(self) -> ops.BlockProfile:
-        """Block sizes, counted once for everything that orders lines."""
+        """The oversized blocks, found once for everything that orders lines."""
         return ops.profile_blocks(self.in_blocks)
 
     def pipeline(self) -> "LogPipeline":
@@ -118,7 +124,7 @@ class LogAnalyzer:
         return self.results["peak_activity_times"]
 
     def analyze_failure_patterns(self) -> DataFrame:
-        sequences = blocks.anomaly_sequences(self.in_blocks, self.labels, self.pipeline.profile)
+        sequences = blocks.anomaly_sequences(self.pipeline.in_order, self.labels, self.pipeline.profile)
         self.results["failure_patterns"] = {
             "anomaly_events": sequences,
             "component_comparison": blocks.component_by_label(self.in_blocks, self.labels),

@@ -1,5 +1,7 @@
 from logweft.sources.files import (
     LINE_ORDER,
+    line_order,
+    number_lines,
     read_labels,
     read_log,
     read_templates,
@@ -10,7 +12,9 @@ from logweft.sources.scratch import new_folder, settle
 
 __all__ = [
     "LINE_ORDER",
+    "line_order",
     "new_folder",
+    "number_lines",
     "read_labels",
     "read_log",
     "read_templates",

@@ -7,11 +7,13 @@ order can break.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # File, then split within the file, then a counter that grows within a split.
 LINE_ORDER = ("file", "split_start", "line_no")
+# Files' splits up to which the table of their line counts is broadcast.
+SPLITS = 500_000
 
 
 def _place() -> list:
@@ -27,6 +29,28 @@ def read_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select("value", *_place())
 
 
+def line_order(rows: DataFrame) -> tuple[str, ...]:
+    """The columns that give line order: ``line_number`` where rows have it."""
+    return ("line_number",) if "line_number" in rows.columns else LINE_ORDER
+
+
+def number_lines(rows: DataFrame) -> DataFrame:
+    """Add ``line_number``, one bigint in line order over all files, to rows with ``LINE_ORDER``.
+
+    If ``rows`` has every line, it is the line's number, from 0; else numbers of missing lines may be left
+    out.  Lines are counted per split, the counts of a split's predecessors are summed over a table with
+    a row for each split, and lines are shifted by them.  ``rows`` is read twice, so pass a settled table.
+    """
+    split = ["file", "split_start"]
+    sizes = rows.groupBy(*split).agg(F.min("line_no").alias("low"), F.max("line_no").alias("high"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.sum(F.col("high") - F.col("low") + 1).over(before), F.lit(0))
+    shifts = sizes.select(*split, (upto - F.col("low")).alias("shift"))
+    small = sizes.limit(SPLITS + 1).count() <= SPLITS
+    joined = rows.join(F.broadcast(shifts) if small else shifts, split)
+    return joined.select(*[F.col(c) for c in rows.columns], (F.col("line_no") + F.col("shift")).alias("line_number"))
+
+
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
     """Templates with ``priority``, an orderable value that follows the file order."""
     rows = spark.read.schema("EventId string, EventTemplate string").csv(path, header=True)

@@ -228,3 +228,21 @@ def test_profile_bounds_its_lists(spark, kept, monkeypatch):
     found = ops.profile_blocks(kept, task_lines=1)
     assert found.limit == -(-found.lines // 20)
     assert found.hot == ("blk_-7",) and found.slices <= 21
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 1 << 20])
+def test_profile_finds_every_large_block_and_no_other(kept, lines, buckets, monkeypatch):
+    monkeypatch.setattr(skew, "BUCKETS", buckets)
+    sizes = {b: len(r["events"]) for b, r in brute.records(lines).items()}
+    for limit in (1, 40, 150, 10**6):
+        found = ops.profile_blocks(kept, limit)
+        assert set(found.hot) == {b for b, n in sizes.items() if n > limit}
+        assert (found.lines, found.hot_lines) == (sum(sizes.values()), sum(n for n in sizes.values() if n > limit))
+
+
+def test_order_without_a_profile(kept, lines):
+    rows = ops.sequence_events(kept.drop("value"))
+    assert rows.columns == [*(c for c in kept.columns if c != "value"), "seq_num", "prev_timestamp"]
+    mine = {(r["BlockId"], r["line_no"]): r["seq_num"] for r in rows.collect()}
+    theirs = ops.sequence_events(kept, profile(kept, 10**6)).collect()
+    assert mine == {(r["BlockId"], r["line_no"]): r["seq_num"] for r in theirs}

@@ -61,6 +61,28 @@ def test_hot_route_from_files(spark, data_dir, texts, small_splits):
     assert brute.joined_records(found) == brute.records(texts)
 
 
+def test_line_numbers(spark, data_dir, texts, small_splits, monkeypatch):
+    from logweft.sources import files
+
+    logs = sources.read_log(spark, f"{data_dir}/HDFS.log")
+    assert logs.rdd.getNumPartitions() > 3
+    for splits in (files.SPLITS, 1):
+        monkeypatch.setattr(files, "SPLITS", splits)
+        rows = sources.number_lines(logs).orderBy("line_number").collect()
+        assert [r["line_number"] for r in rows] == list(range(len(texts)))
+        assert [r["value"] for r in rows] == texts
+    some = sources.number_lines(logs.filter("line_no % 3 = 1")).orderBy("line_number").collect()
+    assert [(r["file"], r["split_start"], r["line_no"]) for r in some] == sorted((r["file"], r["split_start"], r["line_no"]) for r in some)
+
+
+def test_saved_lines_are_sorted_by_number(spark, data_dir, texts, tmp_path, small_splits):
+    pipe = LogPipeline(spark, data_dir).load().parse(save_to=str(tmp_path / "parsed")).group()
+    assert brute.joined_records(pipe.blocks) == brute.records(texts)
+    text = plan(ops.sequence_events(pipe.in_order.select("BlockId", "timestamp", "line_number"), pipe.profile))
+    moved = [line for line in text.splitlines() if "Sort [BlockId" in line]
+    assert moved and all("line_number" in line and "file" not in line for line in moved)
+
+
 def test_strict_check(spark, data_dir):
     pipe = LogPipeline(spark, data_dir, truth="truth").load()
     with pytest.raises(ValueError):  # the log has lines without a block
@@ -95,10 +117,10 @@ def exchanges(text):
 def test_ordering_takes_one_shuffle_and_one_window(spark, data_dir):
     pipe = LogPipeline(spark, data_dir).load().parse()
     kept = fn.drop_missing_blocks(pipe.parsed)
-    text = plan(ops.event_intervals(kept))
+    text = plan(ops.event_intervals(kept, pipe.profile))
     assert (exchanges(text), text.count("Window [")) == (1, 1)
     # Assembly adds no shuffle of lines: the other exchanges are those of the label table.
-    text = plan(ops.block_records(kept, pipe.labels))
+    text = plan(ops.block_records(kept, pipe.labels, pipe.profile))
     assert text.count("Exchange hashpartitioning(BlockId") == 2 and "Python" not in text
 
 
