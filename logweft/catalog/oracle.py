@@ -200,6 +200,14 @@ ORACLE = {
            LEFT JOIN (SELECT EventId, count(*) AS actual FROM parsed GROUP BY 1) p
              ON t.EventId = p.EventId""",
     ),
+    "validate_on_write": _query(
+        "parsed",
+        """SELECT t.EventId, expected, coalesce(actual, 0) AS actual, expected = coalesce(actual, 0) AS matches
+           FROM (SELECT EventId, count(*) AS expected
+                 FROM (SELECT unnest(events) AS EventId FROM truth) GROUP BY 1) t
+           LEFT JOIN (SELECT EventId, count(*) AS actual FROM parsed GROUP BY 1) p ON t.EventId = p.EventId
+           UNION ALL SELECT 'lines without a block', 0, count(*), count(*) = 0 FROM parsed WHERE BlockId = ''""",
+    ),
     "validate_missing_blocks": _query(
         "parsed",
         """SELECT count(*) AS lines, count(*) FILTER (WHERE BlockId IS NULL OR BlockId = '') AS missing
@@ -278,6 +286,27 @@ ORACLE = {
              round(coalesce(sum(percentage) OVER (PARTITION BY component ORDER BY level
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS base FROM long""",
     ),
+    "level_maps": _query(
+        "top_shares",
+        """SELECT component, string_agg(CASE WHEN level = '' THEN 'BLANK' ELSE level END || '='
+             || CAST(CAST(percentage AS DECIMAL(18, 6)) AS VARCHAR), ','
+             ORDER BY CASE WHEN level = '' THEN 'BLANK' ELSE level END) AS levels FROM top_shares GROUP BY 1""",
+    ),
+    "level_map_stack": _query(
+        "top_shares",
+        """SELECT component, level, round(percentage, 6) AS percentage, round(coalesce(sum(percentage) OVER
+             (PARTITION BY component ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS base
+           FROM (SELECT component, CASE WHEN level = '' THEN 'BLANK' ELSE level END AS level, percentage FROM top_shares)""",
+    ),
+    "lines_one_pass": _query(
+        "hours",
+        """SELECT 'errors' AS analysis, component AS subject, level, "count" FROM errors
+           UNION ALL SELECT 'hours', CAST(hour AS VARCHAR), NULL, "count" FROM hours
+           UNION ALL SELECT 'levels', component, level, "count" FROM level_shares
+           UNION ALL SELECT 'busiest', component, NULL, "count" FROM busiest
+           UNION ALL (SELECT 'severe', component, NULL, CAST(sum("count") AS BIGINT) AS n FROM errors GROUP BY component
+             ORDER BY n DESC, component LIMIT 10)""",
+    ),
     "label_summary": _query(
         "block_rows",
         """SELECT normal, anomaly, normal + anomaly AS total,
@@ -290,7 +319,7 @@ ORACLE = {
     "anomaly_sequences_top5": _query(
         "sequences",
         """SELECT * FROM sequences WHERE sequence_id IN (SELECT sequence_id FROM sequences WHERE part = 0
-             ORDER BY "count" DESC, event_sequence, sequence_id LIMIT 5)""",
+             ORDER BY "count" DESC, sequence_id LIMIT 5)""",
     ),
     "component_by_label": _query(
         "by_label",
@@ -310,6 +339,7 @@ ORACLE = {
              round(quantile_cont(latency, 0.95), 6) AS p95_latency FROM block_rows""",
     ),
     "component_latency": _query("slowness", _SLOW),
+    "component_latency_bits": _query("slowness", _SLOW),
     "component_latency_top10": _query(
         "slowness", f"{_SLOW} ORDER BY slowness.avg_latency DESC, component LIMIT 10"
     ),

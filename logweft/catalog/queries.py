@@ -143,6 +143,16 @@ def validate_missing_blocks(spark, sf):
     return ops.missing_blocks(fx.parsed(spark, sf))
 
 
+@query
+def validate_on_write(spark, sf):
+    """Control totals taken by the job that writes the parsed lines."""
+    rows, counts = ops.watched(fx.parsed(spark, sf), sources.truth_event_counts(fx.truth(spark, sf)))
+    sources.settle(rows, "lines")
+    found = [*counts.rows(), ("lines without a block", 0, counts.missing)]
+    table = spark.createDataFrame(found, "EventId string, expected bigint, actual bigint")
+    return table.withColumn("matches", F.col("actual") == F.col("expected"))
+
+
 # Blocks
 
 
@@ -314,6 +324,39 @@ def level_stack(spark, sf):
     return _rounded(stack, "percentage", "base")
 
 
+@query
+def level_maps(spark, sf):
+    maps = findings.level_maps(_top_levels(spark, sf))
+    text = F.array_join(F.transform(F.map_entries("levels"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("decimal(18,6)"))), ",")
+    return maps.select("component", text.alias("levels"))
+
+
+@query
+def level_map_stack(spark, sf):
+    stack = findings.level_map_stack(findings.level_maps(_top_levels(spark, sf)))
+    return _rounded(stack, "percentage", "base")
+
+
+@query
+def lines_one_pass(spark, sf):
+    """Five analyses of lines from one scan, one under the other."""
+    counts = sources.settle(lines.grouped_counts(fx.parsed(spark, sf)), "grouped")
+    levels = lines.of_grouping(counts, lines.BY_LEVEL).drop("severe")
+    tables = {
+        "errors": lines.error_frequencies(levels),
+        "hours": lines.of_grouping(counts, lines.BY_HOUR).withColumn("component", F.col("hour").cast("string")),
+        "levels": levels,
+        "busiest": lines.top_components(lines.of_grouping(counts, lines.BY_COMPONENT)),
+        "severe": lines.top_severe(counts),
+    }
+    result = None
+    for name, rows in tables.items():
+        level = "level" if "level" in rows.columns else F.lit(None).cast("string").alias("level")
+        one = rows.select(F.lit(name).alias("analysis"), F.col("component").alias("subject"), level, "count")
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
 # Analyses of blocks
 
 
@@ -389,14 +432,14 @@ def blocks_with_component(spark, sf):
     return blocks.blocks_with_component(fx.in_blocks(spark, sf), COMPONENT)
 
 
+@query
+def component_latency_bits(spark, sf):
+    kept = fx.in_blocks(spark, sf)
+    names = sources.settle(lines.distinct_components(kept), "components")
+    return _rounded(blocks.component_latency_by_bits(kept, names, fx.labels(spark, sf)), "avg_latency")
+
+
 @query
 def key_findings(spark, sf):
-    activity = sources.settle(lines.activity_counts(fx.parsed(spark, sf)))
-    found = findings.key_findings(
-        lines.error_frequencies(activity),
-        lines.hourly_activity(activity),
-        _ratios(spark, sf),
-        lines.level_distribution_top(lines.level_counts(activity)),
-        _component_latency(spark, sf),
-    )
-    return _rounded(found, "value")
+    grouped = sources.settle(lines.grouped_counts(fx.parsed(spark, sf), blocks=True), "grouped")
+    return _rounded(findings.of_grouped(grouped, fx.labels(spark, sf)), "value")

@@ -16,6 +16,7 @@ from logweft.operators.validate import (
     event_count_violations,
     event_counts,
     missing_blocks,
+    watched,
 )
 
 __all__ = [
@@ -38,4 +39,5 @@ __all__ = [
     "order_columns",
     "profile_blocks",
     "sequence_events",
+    "watched",
 ]

@@ -45,17 +45,10 @@ def _fingerprint(*parts: Column | str) -> list[Column]:
     return [piece(1), piece(16)]
 
 
-def anomaly_sequences(
-    parsed: DataFrame,
-    labels: DataFrame,
-    profile: BlockProfile | None = None,
-    segment_lines: int = ops.SEGMENT_LINES,
+def _sequence_parts(
+    parsed: DataFrame, labels: DataFrame, profile: BlockProfile | None, segment_lines: int
 ) -> DataFrame:
-    """(sequence_id, part, event_sequence, count): how often each sequence occurs in anomalous blocks.
-
-    A sequence has a row per part of ``segment_lines`` events, all with its ``sequence_id`` and with the
-    count of the whole sequence.  The id depends on the sequence and the part length alone.
-    """
+    """(BlockId, part, copies, event_sequence, sequence_id) of the anomalous blocks."""
     needed = parsed.select(*ops.order_columns(parsed), "EventId")
 
     def copies(rows: DataFrame) -> DataFrame:
@@ -87,9 +80,29 @@ def anomaly_sequences(
         known = profile.only_hot(copies, labels) if hot else copies(labels)
         return rows.join(known, "BlockId")
 
-    parts = ops.by_route(needed, profile, finish, prepare)
-    counts = parts.groupBy("sequence_id", "part", "event_sequence").agg(F.sum("copies").alias("count"))
-    return counts.orderBy(F.desc("count"), "event_sequence", "sequence_id", "part")
+    return ops.by_route(needed, profile, finish, prepare)
+
+
+def _counted(parts: DataFrame) -> DataFrame:
+    """A row for each sequence and part.  Only ids are keys; equal ids have equal texts, and one travels."""
+    return parts.groupBy("sequence_id", "part").agg(
+        F.first("event_sequence").alias("event_sequence"), F.sum("copies").alias("count")
+    )
+
+
+def anomaly_sequences(
+    parsed: DataFrame,
+    labels: DataFrame,
+    profile: BlockProfile | None = None,
+    segment_lines: int = ops.SEGMENT_LINES,
+) -> DataFrame:
+    """(sequence_id, part, event_sequence, count): how often each sequence occurs in anomalous blocks.
+
+    A sequence has a row per part of ``segment_lines`` events, all with its ``sequence_id`` and with the
+    count of the whole sequence.  The id depends on the sequence and the part length alone.
+    """
+    counts = _counted(_sequence_parts(parsed, labels, profile, segment_lines))
+    return counts.orderBy(F.desc("count"), "sequence_id", "part")
 
 
 def top_sequences(
@@ -99,18 +112,36 @@ def top_sequences(
     profile: BlockProfile | None = None,
     segment_lines: int = ops.SEGMENT_LINES,
 ) -> DataFrame:
-    """All parts of the ``k`` most frequent sequences; ties go by the text of the first part."""
-    sequences = settle(anomaly_sequences(parsed, labels, profile, segment_lines), "sequences")
-    order = [F.desc("count"), "event_sequence", "sequence_id"]
-    first = sequences.filter("part = 0").orderBy(*order).limit(k).select("sequence_id")
-    return sequences.join(F.broadcast(first), "sequence_id", "left_semi").orderBy(*order, "part")  # k rows
+    """All parts of the ``k`` most frequent sequences; ties go by ``sequence_id``.
+
+    Ids are counted first, and the texts of the winners alone are looked up after that.
+    """
+    parts = settle(_sequence_parts(parsed, labels, profile, segment_lines), "sequences")
+    counts = parts.filter("part = 0").groupBy("sequence_id").agg(F.sum("copies").alias("count"))
+    first = counts.orderBy(F.desc("count"), "sequence_id").limit(k).select("sequence_id")
+    winners = parts.join(F.broadcast(first), "sequence_id", "left_semi")  # k rows
+    return _counted(winners).orderBy(F.desc("count"), "sequence_id", "part")
+
 
+def component_pairs(parsed: DataFrame) -> DataFrame:
+    """(BlockId, component, n, pair_start, pair_end): lines, first and last time of a component in a block.
+
+    The tables of components take this in place of lines, so that one settled copy serves them all.
+    """
+    return parsed.groupBy("BlockId", "component").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("pair_start"), F.max("timestamp").alias("pair_end")
+    )
 
-def component_labels(parsed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lines per component in anomalous and in normal blocks."""
-    pairs = parsed.groupBy("BlockId", "component").agg(F.count("*").alias("n"))
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows if "pair_start" in rows.columns else component_pairs(rows)
+
+
+def component_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Lines per component in anomalous and in normal blocks, from lines or ``component_pairs``."""
     return (
-        pairs.join(label_counts(labels), "BlockId")
+        _pairs(rows)
+        .join(label_counts(labels), "BlockId")
         .groupBy("component")
         .agg(
             F.sum(F.col("n") * F.col("anomaly")).alias("anomaly"),
@@ -120,20 +151,20 @@ def component_labels(parsed: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def component_by_label(parsed: DataFrame, labels: DataFrame) -> DataFrame:
+def component_by_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``component_labels`` with a row per type and component, and the share within each type."""
-    counts = component_labels(parsed, labels)
-    rows = counts.unpivot("component", ["anomaly", "normal"], "type", "count").filter("count > 0")
-    totals = rows.groupBy("type").agg(F.sum("count").alias("total"))  # two rows
-    return rows.join(F.broadcast(totals), "type").select(
+    counts = component_labels(rows, labels)
+    long = counts.unpivot("component", ["anomaly", "normal"], "type", "count").filter("count > 0")
+    totals = long.groupBy("type").agg(F.sum("count").alias("total"))  # two rows
+    return long.join(F.broadcast(totals), "type").select(
         "type", "component", "count", (F.col("count") / F.col("total") * 100).alias("percentage")
     )
 
 
-def component_anomaly_ratio(parsed: DataFrame, labels: DataFrame) -> DataFrame:
+def component_anomaly_ratio(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Per component, the share of its labelled lines that are in anomalous blocks."""
     ratio = F.col("anomaly") / (F.col("anomaly") + F.col("normal"))
-    counts = component_labels(parsed, labels)
+    counts = component_labels(rows, labels)
     return counts.withColumn("anomaly_ratio", ratio).orderBy(F.desc("anomaly_ratio"), "component")
 
 
@@ -192,11 +223,19 @@ def latency_stats(parsed: DataFrame, labels: DataFrame | None = None) -> DataFra
     )
 
 
-def component_latency(parsed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Average latency of the blocks that contain each component, slowest first."""
-    pairs = parsed.groupBy("BlockId", "component").agg(
-        F.min("timestamp").alias("pair_start"), F.max("timestamp").alias("pair_end")
-    )
+def _average_latency(rows: DataFrame) -> DataFrame:
+    """Average latency by component of rows (component, latency, copies), slowest first."""
+    weighted = F.sum(F.col("latency") * F.col("copies")) / F.sum("copies")
+    return rows.groupBy("component").agg(weighted.alias("avg_latency")).orderBy(F.desc("avg_latency"), "component")
+
+
+def component_latency(rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Average latency of the blocks that contain each component, slowest first.
+
+    ``rows`` are lines or ``component_pairs``.
+    """
+    # ``n`` would make the two uses of the pairs differ.
+    pairs = _pairs(rows).select("BlockId", "component", "pair_start", "pair_end")
     spans = pairs.groupBy("BlockId").agg(
         F.min("pair_start").alias("block_start"), F.max("pair_end").alias("block_end")
     )
@@ -206,17 +245,63 @@ def component_latency(parsed: DataFrame, labels: DataFrame | None = None) -> Dat
         spans = spans.join(ops.label_copies(labels), "BlockId", "left")
     # The block's span covers the pair's.  Reading both keeps the two uses of ``pairs`` equal, so that
     # its shuffle is written once and the log scanned once.
-    rows = pairs.join(spans, "BlockId").select(
+    found = pairs.join(spans, "BlockId").select(
         "component",
         F.coalesce("copies", F.lit(1)).alias("copies"),
         F.greatest("block_end", "pair_end").alias("block_end"),
         F.least("block_start", "pair_start").alias("block_start"),
     )
-    latency = ops.span_latency() * F.col("copies")
-    return (
-        rows.groupBy("component")
-        .agg((F.sum(latency) / F.sum("copies")).alias("avg_latency"))
-        .orderBy(F.desc("avg_latency"), "component")
+    return _average_latency(found.withColumn("latency", ops.span_latency()))
+
+
+#: Components that one bigint holds a bit for, and bigints a block may have.
+WORD_BITS, WORDS = 63, 16
+
+
+def component_latency_by_bits(
+    parsed: DataFrame, components: DataFrame, labels: DataFrame | None = None
+) -> DataFrame:
+    """``component_latency`` by way of one row for each block, with a bit for each component in it.
+
+    ``components`` is a settled table of their names (``lines.distinct_components``).  It is numbered, and
+    lines are folded to the block's span and its bits before they are shuffled: as many rows as
+    blocks travel, where pairs of block and component would be several times as many.  Tables of more
+    than ``WORDS * WORD_BITS`` names are left to ``component_latency``.
+    """
+    number = (F.row_number().over(Window.orderBy("component")) - 1).alias("number")
+    size = components.limit(WORDS * WORD_BITS + 1).count()
+    if size > WORDS * WORD_BITS:
+        return component_latency(parsed, labels)
+    names = components.select("component", number)
+    words = range(-(-size // WORD_BITS))
+
+    def bits(word: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("number") % WORD_BITS)
+        own = F.when(F.floor(F.col("number") / WORD_BITS) == word, bit).otherwise(F.lit(0).cast("bigint"))
+        return F.bit_or(own).alias(f"word{word}")
+
+    numbered = parsed.select("BlockId", "timestamp", "component").join(F.broadcast(names), "component")
+    ends = [F.min("timestamp").alias("block_start"), F.max("timestamp").alias("block_end")]
+    blocks = numbered.groupBy("BlockId").agg(*ends, *map(bits, words))
+    if labels is not None:
+        blocks = blocks.join(ops.label_copies(labels), "BlockId", "left")
+    copies = F.lit(1) if labels is None else F.coalesce("copies", F.lit(1))
+    each = [
+        F.expr(f"filter(sequence({w * WORD_BITS}, {min(size, (w + 1) * WORD_BITS) - 1}), i -> getbit(word{w}, i - {w * WORD_BITS}) = 1)")
+        for w in words
+    ]
+    held = blocks.select(
+        ops.span_latency().alias("latency"),
+        copies.alias("copies"),
+        F.explode(F.concat(*each) if each else F.array().cast("array<int>")).alias("number"),
+    )
+    # Summed by number, so that names meet one row for each component.
+    sums = held.groupBy("number").agg(
+        F.sum(F.col("latency") * F.col("copies")).alias("total"), F.sum("copies").alias("weight")
+    )
+    named = sums.join(F.broadcast(names), "number")
+    return named.select("component", (F.col("total") / F.col("weight")).alias("avg_latency")).orderBy(
+        F.desc("avg_latency"), "component"
     )
 
 

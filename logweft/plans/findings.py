@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweft.plans import blocks, lines
 from logweft.plans.lines import top_components
 
 OTHER = "Other Components"
@@ -52,6 +53,25 @@ def level_stack(long: DataFrame) -> DataFrame:
     return long.withColumn("base", F.coalesce(F.sum("percentage").over(below), F.lit(0.0)))
 
 
+def level_maps(shares: DataFrame) -> DataFrame:
+    """(component, levels): a map from level to percentage, for any number of levels.
+
+    Unlike ``level_pivot`` its schema does not depend on the data: no job runs while it is planned, and
+    there is no limit of columns.  A level without lines is not in the map; the blank level is ``BLANK``.
+    """
+    named = F.when(F.col("level") == "", "BLANK").otherwise(F.col("level"))
+    entries = F.array_sort(F.collect_list(F.struct(named.alias("level"), "percentage")))
+    return shares.groupBy("component").agg(F.map_from_entries(entries).alias("levels"))
+
+
+def level_map_stack(maps: DataFrame) -> DataFrame:
+    """(component, level, percentage, base): ``level_stack`` from maps, one row for each entry, no shuffle."""
+    entries = F.map_entries("levels")
+    upto = F.expr("aggregate(slice(shares, 1, at), 0D, (total, share) -> total + share)")
+    rows = maps.select("component", F.map_values("levels").alias("shares"), F.posexplode(entries).alias("at", "entry"))
+    return rows.select("component", "entry.key", F.col("entry.value").alias("percentage"), upto.alias("base")).withColumnRenamed("key", "level")
+
+
 def latency_top_and_other(latencies: DataFrame, k: int = 5) -> DataFrame:
     """The slowest ``k`` components and one row that sums the averages of all others.
 
@@ -83,8 +103,8 @@ def key_findings(
     """The leading subject of each analysis, one row per finding.
 
     The error finding falls back to warnings if none of the top components logged an error.
-    ``errors`` and ``hourly`` are best taken from one settled ``activity_counts``, and
-    ``top_levels``, which is used twice, from its ``level_counts``.
+    All inputs are best taken from one settled ``lines.grouped_counts`` with its blocks, which reads the log
+    once; ``top_levels`` is used twice.
     """
     share = F.sum(F.when(F.col("level") == F.col("wanted"), F.col("percentage")).otherwise(0.0))
     has_errors = F.bool_or(F.col("level") == "ERROR").over(Window.partitionBy(F.lit(0)))
@@ -106,3 +126,16 @@ def key_findings(
     for finding in findings[1:]:
         result = result.unionByName(finding)
     return result
+
+
+def of_grouped(grouped: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key_findings`` from a settled ``lines.grouped_counts`` with its blocks."""
+    levels = lines.of_grouping(grouped, lines.BY_LEVEL).drop("severe")
+    pairs = lines.of_grouping(grouped, lines.BY_BLOCK)
+    return key_findings(
+        lines.error_frequencies(levels),
+        lines.of_grouping(grouped, lines.BY_HOUR),
+        blocks.component_anomaly_ratio(pairs, labels),
+        lines.level_distribution_top(levels),
+        blocks.component_latency(pairs, labels),
+    )

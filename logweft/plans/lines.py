@@ -18,6 +18,51 @@ def activity_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("component", "level", hour).agg(F.count("*").alias("count"))
 
 
+#: Which columns a row of ``grouped_counts`` is grouped by.
+BY_LEVEL, BY_HOUR, BY_COMPONENT, BY_BLOCK = "component, level", "hour", "component", "block, component"
+
+
+def grouped_counts(parsed: DataFrame, blocks: bool = False) -> DataFrame:
+    """All counts that the analyses of lines need, from one scan and one shuffle, by grouping sets.
+
+    Rows (grouping, component, level, hour, count, severe): ``grouping`` says by which columns; ``severe``
+    counts errors and warnings.  With ``blocks`` there are also the rows of ``plans.blocks.component_pairs``
+    of lines that name a block, with BlockId, pair_start and pair_end.  Settle it and take it apart with
+    ``of_grouping``.
+    """
+    keys = ["component", "level", "hour"] + (["BlockId"] if blocks else [])
+    sets = [["component", "level"], ["hour"], ["component"]] + ([["BlockId", "component"]] if blocks else [])
+    names = [BY_LEVEL, BY_HOUR, BY_COMPONENT, BY_BLOCK]
+    named = F.lit(None)
+    for columns, name in zip(sets, names):
+        # A bit of the id is set where a key is left out.
+        left_out = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in columns)
+        named = F.when(F.grouping_id() == left_out, name).otherwise(named)
+    severe = F.count_if(F.col("level").isin(*SEVERE))
+    measures = [F.count("*").alias("count"), severe.alias("severe")]
+    rows = parsed.withColumn("hour", F.hour("timestamp"))
+    if blocks:
+        measures += [F.min("timestamp").alias("pair_start"), F.max("timestamp").alias("pair_end")]
+    grouped = rows.groupingSets([[F.col(c) for c in columns] for columns in sets], *keys)
+    found = grouped.agg(named.alias("grouping"), *measures)
+    # Lines without a block are in no pair.
+    return found.filter((F.col("grouping") != BY_BLOCK) | (F.col("BlockId") != "")) if blocks else found
+
+
+def of_grouping(counts: DataFrame, grouping: str) -> DataFrame:
+    """The rows of one grouping of ``grouped_counts``, with the columns the analyses know them by."""
+    rows = counts.filter(F.col("grouping") == grouping)
+    if grouping == BY_BLOCK:
+        return rows.select("BlockId", "component", F.col("count").alias("n"), "pair_start", "pair_end")
+    return rows.select(*grouping.split(", "), "count", "severe")
+
+
+def top_severe(counts: DataFrame, k: int = 10) -> DataFrame:
+    """Components by their errors and warnings, from the component rows of ``grouped_counts``."""
+    rows = of_grouping(counts, BY_COMPONENT).filter("severe > 0").select("component", F.col("severe").alias("count"))
+    return rows.orderBy(F.desc("count"), "component").limit(k)
+
+
 def _lines(rows: DataFrame) -> Column:
     counted = "count" in rows.columns
     return (F.sum("count") if counted else F.count("*")).alias("count")

@@ -52,14 +52,19 @@ class LogPipeline:
         """Fields, event and time of each line; with truth sequences and ``strict``, checked.
 
         ``save_to`` writes the parsed lines as Parquet and continues from there, so that later
-        analyses read only the columns they use instead of scanning the text again.
+        analyses read only the columns they use instead of scanning the text again.  The job that
+        writes them also counts what the check needs.
         """
         markers = fn.collect_markers(sources.read_templates(self.spark, self._templates))
         parsed = fn.parse_timestamp(fn.parse_fields(fn.classify(self.logs, markers)))
+        strict, counts = strict and self.expected is not None, None
         if save_to:
-            parsed.write.parquet(save_to)
+            rows, counts = ops.watched(parsed, self.expected) if strict else (parsed, None)
+            rows.write.parquet(save_to)
             parsed = self.spark.read.schema(parsed.schema).parquet(save_to)
-        if strict and self.expected is not None:
+        if counts:
+            counts.check()
+        elif strict:
             ops.check_parsed(parsed, self.expected)
         self.parsed = parsed
         self._saved = bool(save_to)
@@ -152,12 +157,10 @@ class LogAnalyzer:
         self.analyze_performance_metrics()
         return self.results
 
+    @cached_property
+    def grouped(self) -> DataFrame:
+        """Counts by level, hour, component and block from one scan, written."""
+        return sources.settle(lines.grouped_counts(self.parsed, blocks=True), "grouped")
+
     def key_findings(self) -> DataFrame:
-        activity = self.activity
-        return findings.key_findings(
-            lines.error_frequencies(activity),
-            lines.hourly_activity(activity),
-            blocks.component_anomaly_ratio(self.in_blocks, self.labels),
-            lines.level_distribution_top(lines.level_counts(activity)),
-            blocks.component_latency(self.in_blocks, self.labels),
-        )
+        return findings.of_grouped(self.grouped, self.labels)

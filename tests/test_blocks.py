@@ -199,6 +199,36 @@ def test_component_tables(kept, labels, lines):
     assert (summary["normal"], summary["anomaly"]) == (counts[0], counts[1])
 
 
+@pytest.mark.parametrize("bits, words", [(63, 16), (1, 16), (2, 1)])
+def test_bits_of_components(spark, kept, labels, bits, words, monkeypatch):
+    monkeypatch.setattr(blocks, "WORD_BITS", bits)
+    monkeypatch.setattr(blocks, "WORDS", words)
+    names = kept.select("component").distinct().persist()
+    for some in (labels, None):
+        want = blocks.component_latency(kept, some).collect()
+        got = blocks.component_latency_by_bits(kept, names, some).collect()
+        assert [r[0] for r in got] == [r[0] for r in want]
+        assert [r[1] for r in got] == pytest.approx([r[1] for r in want])
+    assert blocks.component_latency_by_bits(kept.limit(0), names.limit(0), labels).collect() == []
+
+
+def test_more_components_than_a_word_has_bits(spark):
+    lines = [f"240101 0000{i % 60:02d} 1 INFO c{i % 200}: Fetch blk_{i % 7}" for i in range(2000)]
+    kept = brute.parsed(spark, lines)
+    got = blocks.component_latency_by_bits(kept, kept.select("component").distinct()).collect()
+    assert got == blocks.component_latency(kept).collect() and len(got) == 200
+
+
+def test_sequences_are_counted_by_id(kept, labels):
+    found = blocks.anomaly_sequences(kept, labels, profile(kept, 10**6))
+    moved = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+    assert moved and not any("event_sequence" in line.split("Exchange")[1].split("ENSURE")[0] for line in moved)
+    rows = found.collect()
+    assert rows == sorted(rows, key=lambda r: (-r["count"], r["sequence_id"], r["part"]))
+    top = blocks.top_sequences(kept, labels, 3, profile(kept, 10**6)).collect()
+    assert top == rows[:3]
+
+
 def test_no_anomalous_block(spark, kept):
     normal = brute.labels(spark, [("blk_1", 0)])
     rows = blocks.component_anomaly_ratio(kept, normal).collect()

@@ -61,3 +61,39 @@ def test_counted_lines_give_the_same_tables(spark):
     counted = lines.activity_counts(parsed)
     for table in (lines.error_frequencies, lines.hourly_activity, lines.level_distribution, lines.top_components):
         assert table(parsed).collect() == table(counted).collect()
+
+
+def test_maps_hold_what_the_pivot_shows(spark):
+    rows = [("a", "INFO", 1), ("a", "DEBUG", 3), ("b", "INFO", 4), ("b", "", 4)]
+    maps = findings.level_maps(shares(spark, rows))
+    assert {r["component"]: r["levels"] for r in maps.collect()} == {"a": {"INFO": 25, "DEBUG": 75}, "b": {"BLANK": 50, "INFO": 50}}
+    stack = findings.level_map_stack(maps).orderBy("component", "level")
+    assert [tuple(r) for r in stack.collect()] == [("a", "DEBUG", 75, 0), ("a", "INFO", 25, 75), ("b", "BLANK", 50, 0), ("b", "INFO", 50, 50)]
+    many = spark.range(20_000).selectExpr("'a' AS component", "concat('L', id) AS level", "1D AS percentage")
+    assert len(findings.level_maps(many).head()["levels"]) == 20_000  # more than a pivot may have columns
+
+
+def test_one_pass_agrees_with_single_queries(spark):
+    import brute
+    from logweft import sources
+    from logweft.plans import blocks
+
+    texts = ["240101 010000 1 WARN a: x blk_1", "240101 020000 1 ERROR a: y blk_1", "240101 020001 1 INFO b: blk_2", "z", "y blk_2"]
+    parsed = brute.parsed(spark, texts)
+    kept = parsed.filter("BlockId <> ''")
+    labels = brute.labels(spark, [("blk_1", 1), ("blk_2", 0)])
+    grouped = sources.settle(lines.grouped_counts(parsed, blocks=True))
+    levels = lines.of_grouping(grouped, lines.BY_LEVEL).drop("severe")
+    assert lines.error_frequencies(levels).collect() == lines.error_frequencies(parsed).collect()
+    assert lines.level_distribution(levels).collect() == lines.level_distribution(parsed).collect()
+    hours = lines.of_grouping(grouped, lines.BY_HOUR).select("hour", "count").orderBy("hour")
+    assert hours.collect() == lines.hourly_activity(parsed).collect()
+    busiest = lines.top_components(lines.of_grouping(grouped, lines.BY_COMPONENT))
+    assert busiest.collect() == lines.top_components(parsed).collect()
+    assert lines.top_severe(grouped).collect() == findings.top_error_components(lines.error_frequencies(parsed)).collect()
+    pairs = lines.of_grouping(grouped, lines.BY_BLOCK)
+    assert blocks.component_latency(pairs, labels).collect() == blocks.component_latency(kept, labels).collect()
+    for table in (blocks.component_anomaly_ratio, blocks.component_by_label):
+        assert sorted(table(pairs, labels).collect()) == sorted(table(kept, labels).collect())
+    empty = lines.grouped_counts(parsed.limit(0), blocks=True)
+    assert findings.of_grouped(sources.settle(empty), labels).count() == 0

@@ -90,6 +90,42 @@ def test_strict_check(spark, data_dir):
     assert pipe.parse(strict=False).parsed is not None
 
 
+def test_strict_check_while_writing(spark, data_dir, tmp_path, monkeypatch):
+    from logweft.operators import validate
+
+    pipe = LogPipeline(spark, data_dir, truth="truth").load()
+    seen = []
+    monkeypatch.setattr(ops, "check_parsed", lambda *args: seen.append(args))
+    with pytest.raises(ValueError, match="Event Mismatch"):  # events of lines without a block are not in the truth
+        pipe.parse(save_to=str(tmp_path / "one"))
+    assert not seen  # no job of its own
+    monkeypatch.setattr(validate, "OBSERVED", 1)
+    pipe.parse(save_to=str(tmp_path / "two"))
+    assert len(seen) == 1
+
+
+def test_watched_counts(spark):
+    rows = ["Fetch started blk_1", "Fetch blk_1", "Fetch blk_2", "Fetch"]
+    expected = spark.createDataFrame([("E1", 1), ("E2", 3), ("E3", 0)], "EventId string, expected bigint")
+    parsed, counts = ops.watched(brute.parsed(spark, rows), expected)
+    parsed.write.format("noop").mode("overwrite").save()
+    assert counts.rows() == [("E1", 1, 1), ("E2", 3, 3), ("E3", 0, 0)] and counts.missing == 1
+    with pytest.raises(ValueError, match="Blocks Missing: 1 lines"):
+        counts.check()
+    parsed, counts = ops.watched(brute.parsed(spark, rows[:1]), expected)
+    parsed.write.format("noop").mode("overwrite").save()
+    with pytest.raises(ValueError, match="'E2', 'expected': 3, 'actual': 0"):
+        counts.check()
+
+
+def test_findings_read_the_log_once(spark, data_dir):
+    pipe = LogPipeline(spark, data_dir).load().parse()
+    text = plan(lines.grouped_counts(pipe.parsed, blocks=True))
+    assert text.count("FileScan text") == 1 and exchanges(text) == 1
+    text = plan(LogAnalyzer(pipe).key_findings())
+    assert "FileScan text" not in text
+
+
 def test_analyses(spark, data_dir, texts, tmp_path):
     pipe = LogPipeline(spark, data_dir).load().parse(save_to=str(tmp_path / "parsed"))
     results = LogAnalyzer(pipe).run_all_analyses()
