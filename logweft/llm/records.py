@@ -36,6 +36,8 @@ BLOCK, SHARD = 1 << 20, 16
 PIECE = 1 << 23
 #: Words whose ids a worker remembers, a bound on its memory.
 REMEMBERED = 2_000_000
+#: Words that are encoded in a call.
+CALL = 1 << 14
 #: The reflected Castagnoli polynomial and the constant of the mask.
 POLYNOMIAL, MASK = 0x82F63B78, 0xA282EAD8
 #: Bytes that the checksums of many runs go through in step.
@@ -123,7 +125,7 @@ class Encoder:
     The names of special tokens in a text are read as the library reads them by default.  As no pre-token
     goes beyond a space, a text's ids are those of the words between its spaces and line ends, in order.
     Of a batch, distinct words are looked up among those already seen, which are two Arrow arrays, and
-    the others are encoded in one call.
+    the others are encoded, many in a call.
     """
 
     def __init__(self, path: str):
@@ -148,13 +150,13 @@ class Encoder:
         odd = [k for k, w in enumerate(words) if "\0" in w] if self.mark is not None else range(len(words))
         plain = [w for w in words if "\0" not in w] if odd else words
         found: list[bytes] = []
-        if plain and self.mark is not None:
-            joined = self.tokenizer.encode_batch_fast([" \0 ".join([*plain, ""])], add_special_tokens=False)[0].ids
-            ids = np.array(joined, self.type)
+        for at in range(0, len(plain) if self.mark is not None else 0, CALL):
+            joined = " \0 ".join([*plain[at : at + CALL], ""])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.type)
             stops = (np.flatnonzero(ids == self.mark) * self.width).tolist()
             starts = [0, *(stop + self.width for stop in stops[:-1])]
             packed = ids.tobytes()
-            found = [packed[a:b] for a, b in zip(starts, stops, strict=True)]
+            found += [packed[a:b] for a, b in zip(starts, stops, strict=True)]
         for k in odd:
             found.insert(k, self._ids(words[k]).tobytes())
         return found

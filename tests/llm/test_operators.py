@@ -281,7 +281,7 @@ def test_chunks(spark):
     for r in found:
         if r["doc_id"] in texts and r["source_doc_id"] in texts:
             a, b = texts[r["doc_id"]].encode(), texts[r["source_doc_id"]].encode()
-            assert a[r["start"] : r["start"] + 16] == b[r["source_start"] : r["source_start"] + 16]
+            assert a[r["start"] : r["start"] + r["size"]] == b[r["source_start"] : r["source_start"] + r["size"]]
     data = np.frombuffer(LONG[:9000].encode() + bytes(range(256)) * 9, np.uint8)
     ends = chunks.ends(data)
     plain, h, start = [], 0, 0
@@ -295,6 +295,54 @@ def test_chunks(spark):
     assert chunks.repeats(tables.texts(odd(spark, CASES).limit(0))).count() == 0
 
 
+def test_chunk_repeats_are_whole_passages(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choices("abcdefghijé", k=rng.randrange(2, 9)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], []
+    ids = [(1, 2), (None, None), (7, 7), (None, 9), *((100 + 2 * k, 101 + 2 * k) for k in range(60))]
+    for k, pair in enumerate(ids):
+        passage = words(rng.randrange(60, 120))
+        two = [(name, f"{words(rng.randrange(40))}A{k} {passage}{end} {words(rng.randrange(40))}") for name, end in zip(pair, "BC")]
+        rows += two
+        # The passage with what else is equal beside it, in one of the two: the other is its source.
+        spans = [(t.encode().find(f"{k} {passage}".encode()), t.encode()) for _, t in two]
+        left = next((n for n in range(1, 9) if spans[0][1][spans[0][0] - n] != spans[1][1][spans[1][0] - n]), 9) - 1
+        size = len(f"{k} {passage}".encode()) + left
+        want.append([(name, at - left, size) for (name, _), (at, _) in zip(two, spans)])
+    rows += [(50, words(20)), (50, words(20)), (51, words(150)), (51, None), (None, "")]
+    rows += [(300, text := words(90)), (300, text)]  # equal rows are no repeat of themselves
+    found = [tuple(r) for r in chunks.repeats(tables.texts(odd(spark, rows))).collect()]
+    assert len(found) == len(want)
+    for pair in want:
+        (own, other) = pair if pair[0] in {r[:3] for r in found} else pair[::-1]
+        assert (*own, other[0], other[1]) in found
+    copies = [(k, words(70)) for k in (5, 6)]
+    copies += [(k + 10, text) for k, text in copies] + [(k + 20, text) for k, text in copies]
+    found = chunks.repeats(tables.texts(odd(spark, copies))).collect()
+    assert sorted((r["doc_id"], r["source_doc_id"], r["start"]) for r in found) == [(15, 5, 0), (16, 6, 0), (25, 5, 0), (26, 6, 0)]
+    assert all(r["size"] == len(dict(copies)[r["doc_id"]].encode()) for r in found)
+
+
+@pytest.mark.parametrize("size", [51, 60, 80])
+def test_chunk_recall(spark, docs, size):
+    rng = random.Random(size)
+    known = [w for text in docs.values() for w in (text or "").split()]
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    rows, long = [], set()
+    for k in range(400):
+        start = rng.randrange(len(known) - size)
+        passage = " ".join(known[start : start + size])
+        # One word over and over has the same hash everywhere, and no chunk ends in it.
+        if len(passage.encode()) >= chunks.SPAN + 8 and len(set(passage.split())) > size / 2:
+            long.add(2 * k + 1)
+        passage = f"{passage} {k}"
+        rows += [(2 * k, f"{words(30)} {passage} {words(20)}"), (2 * k + 1, f"{words(20)} {passage} {words(30)}")]
+    found = {r["doc_id"] for r in chunks.repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(long) > 360 and len(found & long) >= 0.99 * len(long)
+
+
 @pytest.mark.parametrize("group", [simhash.GROUP, 16])
 def test_simhash_links(spark, monkeypatch, group):
     monkeypatch.setattr(simhash, "GROUP", group)
