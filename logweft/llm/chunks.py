@@ -3,7 +3,7 @@
 A gear hash rolls over a text's UTF-8 bytes: each step doubles it and adds the byte's random value, so in
 16 bits it depends on the last 16 bytes alone.  Where it is small, a chunk ends.  An insertion moves
 boundaries only near itself, so a passage has the same chunks wherever it stands.  Chunks are equal if
-their 128-bit digests are; all but the first occurrence of a digest are repeats, and neighbouring
+their 96-bit digests are; all but the first occurrence of a digest are repeats, and neighbouring
 repeats of a document are a run.
 
 Chunks are anchors only: the ends of a run are chunk edges, not those of the repeated passage.  So the
@@ -32,8 +32,9 @@ from logweft.sources.scratch import settle
 MEAN, LEAST, MOST = 24, 16, 512
 #: Bytes from which repeats are reported, as one span: 99 of 100 passages of 51 words are longer.
 SPAN = 240
-#: Bytes beside a run that are compared with those beside its source.
-REACH = 2 * MOST
+#: Bytes on each side of a run that are compared with those beside its source.  An edge that is longer, which
+#: about one in fifty is, is cut there.
+REACH = 96
 #: Bytes of a text hashed at a time.
 PIECE = 1 << 22
 GEAR = np.random.default_rng(20).integers(0, 1 << 16, 256).astype(np.uint16)
@@ -91,17 +92,17 @@ def chunked(docs: DataFrame) -> DataFrame:
                 starts += begins
                 sizes += [b - a for a, b in zip(begins, stops, strict=True)]
                 many.append(len(stops))
-            both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            both = np.frombuffer(b"".join(digests), np.dtype([("d1", "<i8"), ("d2", "<i4"), ("", "<i4")]))
             owner = pa.array(np.repeat(np.arange(len(many)), many))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(both[:, 0]), pa.array(both[:, 1]), some.column("doc_id").take(owner), some.column("text_hash").take(owner),
+                    pa.array(both["d1"].copy()), pa.array(both["d2"].copy()), some.column("doc_id").take(owner), some.column("text_hash").take(owner),
                     pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()),
                 ],
                 ["d1", "d2", "doc_id", "text_hash", "start", "size"],
             )
 
-    return docs.mapInArrow(run, "d1 bigint, d2 bigint, doc_id bigint, text_hash bigint, start int, size int")
+    return docs.mapInArrow(run, "d1 bigint, d2 int, doc_id bigint, text_hash bigint, start int, size int")
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -112,8 +113,9 @@ def runs(docs: DataFrame) -> DataFrame:
     """
     chunks = settle(chunked(docs), "chunks")
     digest = ["d1", "d2"]
-    shared = settle(chunks.groupBy(*digest).agg(F.count("*").alias("n")).filter("n > 1").select(*digest), "shared")
-    common = settle(chunks.join(tables.bounded(shared), digest), "common")
+    # Two thirds of the digest are enough to leave out what is there once.
+    shared = settle(chunks.groupBy("d1").agg(F.count("*").alias("n")).filter("n > 1").select("d1"), "shared")
+    common = settle(chunks.join(tables.bounded(shared), "d1"), "common")
     first = common.groupBy(*digest).agg(F.min(F.struct("doc_id", "text_hash", "start")).alias("first"))
     # Rows alike in id and text are one document.
     itself = "doc_id <=> first.doc_id AND text_hash = first.text_hash AND start = first.start"
@@ -133,26 +135,47 @@ def runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def _surroundings(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, before, after): the bytes before and after ``places`` (doc_id, text_hash, at)."""
-    wanted = places.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
-    same = [docs["doc_id"].eqNullSafe(wanted["doc_id"]), docs["text_hash"] == wanted["text_hash"]]
-    joined = docs.join(wanted, same).select(docs["doc_id"], docs["text_hash"], "text", "places")
+def _beside(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (doc_id, text_hash, start, stop, head, tail, before, after) of two kinds, from one pass over texts.
+
+    For each of the runs ``found``, itself with the bytes before its start and after its stop; for each
+    place that is a run's head or tail, its bytes on that side, with the place as start and a null stop.
+    A document's runs, and its places, are no more than its chunks.
+    """
+    key = ["doc_id", "text_hash"]
+    own = found.groupBy(*key).agg(F.collect_list(F.struct("start", "stop", "head", "tail")).alias("runs"))
+    places = found.select("head.*", F.lit(True).alias("is_head")).unionByName(found.select("tail.*", F.lit(False).alias("is_head"))).distinct()
+    sources = places.groupBy(*key).agg(F.collect_list(F.struct("at", "is_head")).alias("places"))
+    both = own.select(*[F.col(k).alias(f"own_{k}") for k in key], "runs").join(
+        sources, F.col("own_doc_id").eqNullSafe(F.col("doc_id")) & F.col("own_text_hash").eqNullSafe(F.col("text_hash")), "full"
+    )
+    there = F.col("runs").isNotNull()
+    wanted = both.select(*[F.when(there, F.col(f"own_{k}")).otherwise(F.col(k)).alias(f"_{k}") for k in key], "runs", "places")
+    joined = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
+    names = ["doc_id", "text_hash", "start", "stop", "head", "tail", "before", "after"]
+    place = pa.struct([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32())])
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), place, place, pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in tables.slices(batches, 64):
             rows: list[tuple] = []
             for row in some.to_pylist():
                 data = row["text"].encode("utf-8", "surrogatepass")
-                rows += [(row["doc_id"], row["text_hash"], at, data[max(0, at - REACH) : at], data[at : at + REACH]) for at in row["places"]]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                ids = row["doc_id"], row["text_hash"]
+                for r in row["runs"] or ():
+                    before, after = data[max(0, r["start"] - REACH) : r["start"]], data[r["stop"] : r["stop"] + REACH]
+                    rows.append((*ids, r["start"], r["stop"], r["head"], r["tail"], before, after))
+                for p in row["places"] or ():
+                    at = p["at"]
+                    before, after = (data[max(0, at - REACH) : at], None) if p["is_head"] else (None, data[at : at + REACH])
+                    rows.append((*ids, at, None, None, None, before, after))
             for k in range(0, len(rows), 4096):
                 columns = zip(*rows[k : k + 4096], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    names = ["doc_id", "text_hash", "at", "before", "after"]
-    found = joined.mapInArrow(run, "doc_id bigint, text_hash bigint, at int, before binary, after binary")
-    return found.dropDuplicates(["doc_id", "text_hash", "at"])
+    needed = joined.select(*key, "text", "runs", "places")
+    struct = "struct<doc_id: bigint, text_hash: bigint, at: int>"
+    return needed.mapInArrow(run, f"doc_id bigint, text_hash bigint, start int, stop int, head {struct}, tail {struct}, before binary, after binary")
 
 
 def alike(one: bytes, other: bytes) -> int:
@@ -175,35 +198,28 @@ def repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     pieces.
     """
     own = marked(docs)
-    found = settle(runs(own).drop("run"), "runs")
-    ends_ = [("head", F.col("start")), ("tail", F.col("stop"))]
-    places = None
-    for source, at in ends_:
-        for place in (found.select("doc_id", "text_hash", at.alias("at")), found.select(f"{source}.*")):
-            places = place if places is None else places.unionByName(place)
-    beside = settle(_surroundings(own, places.distinct()), "beside")
-    joined = found
-    for source, at in ends_:
-        side = "before" if source == "head" else "after"
-        for name, keys in (("own", [F.col("doc_id"), F.col("text_hash"), at]), (source, [F.col(f"{source}.doc_id"), F.col(f"{source}.text_hash"), F.col(f"{source}.at")])):
-            right = beside.select(F.col("doc_id").alias("k1"), F.col("text_hash").alias("k2"), F.col("at").alias("k3"), F.col(side).alias(f"{name}_{side}"))
-            same = keys[0].eqNullSafe(F.col("k1")) & (keys[1] == F.col("k2")) & (keys[2] == F.col("k3"))
-            joined = joined.join(right, same).drop("k1", "k2", "k3")
-
-    @F.pandas_udf("int")
-    def left(one: pd.Series, other: pd.Series) -> pd.Series:
-        return pd.Series([alike(a[::-1], b[::-1]) for a, b in zip(one, other, strict=True)], dtype="int32")
-
-    @F.pandas_udf("int")
-    def right(one: pd.Series, other: pd.Series) -> pd.Series:
-        return pd.Series([alike(a, b) for a, b in zip(one, other, strict=True)], dtype="int32")
-
-    grown = joined.withColumns({"l": left("own_before", "head_before"), "r": right("own_after", "tail_after")})
-    spans = grown.select(
-        "doc_id", (F.col("start") - F.col("l")).cast("bigint").alias("start"), (F.col("stop") - F.col("start") + F.col("l") + F.col("r")).cast("bigint").alias("size"),
-        F.col("head.doc_id").alias("source_doc_id"), (F.col("head.at") - F.col("l")).cast("bigint").alias("source_start"),
-    )
-    return spans.filter(F.col("size") >= span)
+    # Shorter runs cannot reach the wanted span.
+    found = settle(runs(own).drop("run").filter(F.col("stop") - F.col("start") + 2 * REACH >= span), "runs")
+    beside = settle(_beside(own, found), "beside")
+    # Rows alike in id and text have said the same.
+    grown = beside.filter("stop IS NOT NULL").dropDuplicates(["doc_id", "text_hash", "start"])
+    for end, side in (("head", "before"), ("tail", "after")):
+        sources = beside.filter(f"stop IS NULL AND {side} IS NOT NULL").select(*[F.col(c).alias(f"{end}_{c}") for c in ("doc_id", "text_hash", "start", side)])
+        sources = sources.dropDuplicates([f"{end}_{c}" for c in ("doc_id", "text_hash", "start")])
+        same = F.col(f"{end}.doc_id").eqNullSafe(F.col(f"{end}_doc_id")) & (F.col(f"{end}.text_hash") == F.col(f"{end}_text_hash")) & (F.col(f"{end}.at") == F.col(f"{end}_start"))
+        grown = grown.join(sources, same)
+
+    @F.pandas_udf("struct<left: int, right: int>")
+    def reached(before: pd.Series, head_before: pd.Series, after: pd.Series, tail_after: pd.Series) -> pd.DataFrame:
+        left = [alike(a[::-1], b[::-1]) for a, b in zip(before, head_before, strict=True)]
+        right = [alike(a, b) for a, b in zip(after, tail_after, strict=True)]
+        return pd.DataFrame({"left": np.array(left, np.int32), "right": np.array(right, np.int32)})
+
+    grown = grown.withColumn("more", reached("before", "head_before", "after", "tail_after"))
+    return grown.selectExpr(
+        "doc_id", "CAST(start - more.left AS bigint) AS start", "CAST(stop - start + more.left + more.right AS bigint) AS size",
+        "head.doc_id AS source_doc_id", "CAST(head.at - more.left AS bigint) AS source_start",
+    ).filter(F.col("size") >= span)
 
 
 def op6_chunk_dedup(spark, sf_dir):

@@ -295,7 +295,8 @@ def test_chunks(spark):
     assert chunks.repeats(tables.texts(odd(spark, CASES).limit(0))).count() == 0
 
 
-def test_chunk_repeats_are_whole_passages(spark):
+def test_chunk_repeats_are_whole_passages(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "REACH", 600)
     rng = random.Random(16)
     word = lambda: "".join(rng.choices("abcdefghijé", k=rng.randrange(2, 9)))
     words = lambda n: " ".join(word() for _ in range(n))
