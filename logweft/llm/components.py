@@ -9,7 +9,7 @@ cuts the lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from logweft.sources.scratch import settle
@@ -35,8 +35,11 @@ def _round(edges: DataFrame) -> DataFrame:
     return moved.unionByName(kept.select("u", F.col("low").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges, written, with their number and a checksum, which the same job takes."""
+    seen = Observation()
+    rows = settle(edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("check")), "edges")
+    return rows, (seen.get["n"] or 0, seen.get["check"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -45,16 +48,13 @@ def components(edges: DataFrame) -> DataFrame:
     ``root`` is that least node.  Nodes can be of any type that compares; null ends and loops are
     ignored, so an edge table without links gives an empty result.
     """
-    now = settle(
+    now, before = _settled(
         edges.filter("u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct(),
-        "edges",
+        .distinct()
     )
-    before = _state(now)
     while before[0]:
-        now = settle(_round(now), "edges")
-        after = _state(now)
+        now, after = _settled(_round(now))
         if after == before:
             break
         before = after

@@ -181,10 +181,10 @@ def blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int
 LEAK = "array<struct<item_id bigint, start int, end int, edits int>>"
 
 
-def _marked(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
-    """All columns of ``docs`` with ``_llm_leaks``; narrow, one row each."""
+def _marked(docs: DataFrame, items: list[tuple[int | None, str]], name: str) -> DataFrame:
+    """All columns of ``docs`` with their leaks as column ``name``; narrow, one row each."""
     shared = docs.sparkSession.sparkContext.broadcast(Index(items))
-    kind = StructType([*docs.schema.fields, StructField("_llm_leaks", _parse_datatype_string(LEAK))])
+    kind = StructType([*docs.schema.fields, StructField(name, _parse_datatype_string(LEAK))])
     entry = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def _marked(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
             found = []
             for text in batch.column("text").to_pylist():
                 found.append([{"item_id": index.ids[n], "start": a, "end": b, "edits": e} for n, a, b, e in index.find(normal(text))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, entry)], [*batch.schema.names, "_llm_leaks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, entry)], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, kind)
 
@@ -207,7 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
     """
     result = None
     for items in blocks(benchmark, block):
-        rows = _marked(docs.select("doc_id", "text"), items).select("doc_id", F.explode("_llm_leaks").alias("leak"))
+        rows = _marked(docs.select("doc_id", "text"), items, "leaks").select("doc_id", F.explode("leaks").alias("leak"))
         one = rows.select("doc_id", "leak.*")
         result = one if result is None else result.unionByName(one)
     if result is None:
@@ -217,10 +217,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    columns = docs.columns
+    columns, name = docs.columns, tables.free(docs, "_llm_leaks")
     for n, items in enumerate(blocks(benchmark, block)):
         docs = settle(docs, "docs") if n and n % 16 == 0 else docs
-        docs = _marked(docs, items).filter(F.size("_llm_leaks") == 0).select(*columns)
+        docs = _marked(docs, items, name).filter(F.size(name) == 0).select(*columns)
     return docs
 
 

@@ -219,6 +219,8 @@ def _block_links(members: DataFrame, similarity: float) -> DataFrame:
         h1, h2 = rows["h1"].to_numpy(), rows["h2"].to_numpy()
         return pd.DataFrame({"a1": h1[u], "a2": h2[u], "b1": h1[v], "b2": h2[v]})
 
+    # Rows come dealt by band, which would satisfy the grouping and leave a band's pairs of blocks in one task.
+    dealt = dealt.repartition("band", "low", "high")
     found = dealt.groupBy("band", "low", "high").applyInPandas(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
     ids = [F.struct(F.col(f"{n}1").alias("h1"), F.col(f"{n}2").alias("h2")).alias(end) for n, end in (("a", "u"), ("b", "v"))]
     return found.distinct().select(*ids)
@@ -289,16 +291,16 @@ def without_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     All columns stay.  Documents in which nothing repeats come back as they are, empty ones included.
     """
-    key = ["_llm_key", "_llm_hash"]
+    key, text_hash, dropped = (tables.free(docs, name) for name in ("_llm_key", "_llm_hash", "_llm_gone"))
     gone = _copies(tables.texts(docs), similarity)
-    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_llm_key"), F.col("text_hash").alias("_llm_hash"), "line_no")
-    gone = gone.groupBy(*key).agg(F.collect_set("line_no").alias("_llm_gone"))
-    marked = docs.withColumn("_llm_key", F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")))
-    marked = marked.withColumn("_llm_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = marked.join(gone, key, "left")
-    kept = F.expr("array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains(_llm_gone, i)), '\n')")
-    edited = joined.withColumn("text", F.when(F.col("_llm_gone").isNull(), F.col("text")).otherwise(kept))
-    left = edited.filter(F.col("_llm_gone").isNull() | F.col("text").rlike(r"\S"))
+    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key), F.col("text_hash").alias(text_hash), "line_no")
+    gone = gone.groupBy(key, text_hash).agg(F.collect_set("line_no").alias(dropped))
+    marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")))
+    marked = marked.withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = marked.join(gone, [key, text_hash], "left")
+    kept = F.expr(f"array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains({dropped}, i)), '\n')")
+    edited = joined.withColumn("text", F.when(F.col(dropped).isNull(), F.col("text")).otherwise(kept))
+    left = edited.filter(F.col(dropped).isNull() | F.col("text").rlike(r"\S"))
     return left.select(*docs.columns)
 
 

@@ -268,18 +268,20 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFra
     found = _components(tables.texts(docs), shingle, distance)
     last = F.col("doc_id").isNull()
     winners = found.groupBy("root").agg(F.min(F.struct(last, "doc_id", "text_hash")).alias("w"))
-    winners = settle(winners.select("root", F.col("w.doc_id").alias("_llm_id"), F.col("w.text_hash").alias("_llm_hash")), "winners")
-    mine = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("_llm_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_llm_hash"))
-    kept = docs.join(tables.bounded(winners.select("_llm_id", "_llm_hash")), mine, "left_semi")
+    won, hashed = tables.free(docs, "_llm_id"), tables.free(docs, "_llm_hash")
+    winners = settle(winners.select("root", F.col("w.doc_id").alias(won), F.col("w.text_hash").alias(hashed)), "winners")
+    mine = (F.col("doc_id").cast("bigint").eqNullSafe(F.col(won))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(hashed))
+    kept = docs.join(tables.bounded(winners.select(won, hashed)), mine, "left_semi")
     # Equal rows share id and text; then the row itself has to be told apart.
-    wins = found.join(winners, "root").filter("doc_id <=> _llm_id AND text_hash = _llm_hash")
+    wins = found.join(winners, "root").filter(f"doc_id <=> {won} AND text_hash = {hashed}")
     repeated = wins.groupBy("root").count().filter("count > 1").limit(1).count()
     return _once(kept) if repeated else kept
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("_llm_hash")
-    return rows.withColumn("_llm_hash", key).dropDuplicates(["doc_id", "_llm_hash"]).drop("_llm_hash")
+    key = tables.free(rows, "_llm_hash")
+    marked = rows.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    return marked.dropDuplicates(["doc_id", key]).drop(key)
 
 
 def op7_simhash(spark, sf_dir):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 import logweft
 
 #: Rows of a few numbers each up to which a table is broadcast.
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 1_000_000
 
 _shipped: set[str] = set()
 
@@ -61,9 +61,17 @@ def fold(id_column: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds
 
 
+def free(rows: DataFrame, name: str) -> str:
+    """``name``, made longer until ``rows`` has no column of that name."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``rows``, a table of few narrow columns read from files, ready to broadcast if it is small.
 
-    Above ``limit`` rows it is joined by a shuffle; the result is the same.
+    Above ``limit`` rows Spark chooses the join; the result is the same.
     """
-    return F.broadcast(rows) if rows.count() <= limit else rows.hint("shuffle_hash")
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows

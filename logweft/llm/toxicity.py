@@ -239,19 +239,29 @@ class Model:
         return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with ``_llm_score``, from its ``text``; narrow, one row each."""
+def scored(docs: DataFrame, model: Model, name: str = "_llm_score") -> DataFrame:
+    """All columns of ``docs`` with the score of its ``text`` as column ``name``; narrow, one row each.
+
+    A null text scores as an empty one, repeated rows score alike, an empty table gives an empty one, and
+    a text of any length is read once from its start to its end.
+    """
     kind = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(model.stems)
         for batch in tables.slices(batches):
             found = [model.score(grammar.features(t or "")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "_llm_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, name])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    return docs.mapInArrow(run, StructType([*kind.fields, StructField("_llm_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*kind.fields, StructField(name, DoubleType())]))
+
+
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score under ``limit``, with all their columns."""
+    name = tables.free(docs, "_llm_score")
+    return scored(docs, model, name).filter(F.col(name) < limit).drop(name)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -344,6 +344,32 @@ def test_chunk_recall(spark, docs, size):
     assert len(long) > 360 and len(found & long) >= 0.99 * len(long)
 
 
+CLASHING = ["_llm_key", "_llm_hash", "_llm_gone", "_llm_leaks", "_llm_score", "_llm_id", "line_no", "value", "root"]
+
+
+def test_columns_that_clash(spark):
+    rows = [(1, "a line to see twice\nand one of its own"), (2, "a line to see twice\nand a further line here"), (2, None), (None, "no id here")]
+    wide = spark.createDataFrame([(i, t, *range(len(CLASHING))) for i, t in rows], "doc_id bigint, text string, " + ", ".join(f"{c} int" for c in CLASHING))
+    bench = spark.createDataFrame([(4, "and a further line here")], "item_id bigint, text string")
+    model = toxicity.Model({"idiot": 3.0}, [0.0] * toxicity.FEATURES, -1.0)
+    for kept in (lines.without_copies(wide), leaks.without_leaks(wide, bench), toxicity.without_toxic(wide, model), simhash.one_of_each(wide)):
+        found = kept.collect()
+        assert kept.columns == wide.columns and len(found) >= 3
+        assert all([r[c] for c in CLASHING] == list(range(len(CLASHING))) for r in found)
+    assert {r["doc_id"]: r["text"] for r in lines.without_copies(wide).collect()}[2] in (None, "and a further line here")
+
+
+def test_pairs_of_blocks_are_dealt_out(spark):
+    members = spark.createDataFrame([(1, k, k, f"line {k}") for k in range(20)], "band bigint, h1 bigint, h2 bigint, line string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lines._block_links(members, 0.8)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    between = plan[plan.index("FlatMapGroupsInPandas") : plan.index("SortMergeJoin")]
+    assert "Exchange hashpartitioning(band" in between and "low" in between.split("Exchange hashpartitioning(band")[1][:60]
+
+
 @pytest.mark.parametrize("group", [simhash.GROUP, 16])
 def test_simhash_links(spark, monkeypatch, group):
     monkeypatch.setattr(simhash, "GROUP", group)
