@@ -2,6 +2,9 @@
 
 Toxic documents go; repeated lines go, and with them documents that consist of nothing else; of near
 duplicates one document stays; documents that leak benchmark items go; what is left is tokenized.
+
+In every stage a null text counts as empty, a null id is an id like any other, further columns travel along
+whatever they are called, texts may be of any length, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,30 +19,40 @@ from logweft.sources.scratch import settle
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a toxicity score under 0.5, by a model learned from the labelled training rows."""
+    """Rows with a toxicity score under 0.5, by a model learned from the labelled training rows.
+
+    Repeated rows score alike; a score of just 0.5 rejects.
+    """
     model = toxicity.Model.fit(toxicity.training_rows(docs, tables.read(spark, sf_dir, "labels")))
-    return toxicity.scored(docs, model).filter(F.col("_llm_score") < 0.5).drop("_llm_score")
+    return toxicity.without_toxic(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document, or an earlier place, has alike."""
+    """Documents without lines that an earlier document, or an earlier place, has alike.
+
+    Earlier is by id, nulls first, then by place; documents that share an id come in the order of their
+    texts' hashes, and repeated rows lose the same lines.  Empty documents stay as they are.
+    """
     kept = lines.without_copies(docs)
     return kept.withColumn("n_chars", F.length("text")) if "n_chars" in docs.columns else kept
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id."""
+    """One document of each group of near duplicates, that of the smallest doc_id.
+
+    Null ids come last, ties go by text hash, and of equal rows one stays.  Texts without words are alike.
+    """
     tables.ship(spark)
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; repeated rows stay or go together."""
     return leaks.without_leaks(docs, tables.read(spark, sf_dir, "benchmark"))
 
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document."""
+    """Token counts and digests of each document; an empty text has no tokens."""
     tables.ship(spark)
     return bpe.digests(tables.texts(docs))
 
