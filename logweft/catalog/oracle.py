@@ -245,6 +245,9 @@ ORACLE = {
         f"layout_{name}": _query("latencies", "SELECT * FROM latencies")
         for name in ("repartition", "up", "down", "coalesce")
     },
+    "stored_block_latency": _query("latencies", "SELECT * FROM latencies"),
+    "stored_block_records": _query("labelled", "SELECT * FROM labelled"),
+    "stored_component_latency": _query("slowness", _SLOW),
     "error_frequencies": _query("errors", "SELECT * FROM errors"),
     "error_frequencies_top10": _query(
         "errors", 'SELECT * FROM errors ORDER BY "count" DESC, component, level LIMIT 10'

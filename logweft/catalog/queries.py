@@ -250,6 +250,30 @@ for _name in ops.LAYOUTS:
     _layout(_name)
 
 
+def _stored(spark, sf) -> tuple[ops.StoredLines, DataFrame]:
+    """Lines and labels written by block; the larger blocks of the test log count as oversized."""
+    kept = fx.in_blocks(spark, sf).drop("value")
+    buckets = spark.sparkContext.defaultParallelism
+    return ops.store(kept, buckets, _hot(kept)), ops.bucketed(fx.labels(spark, sf), buckets, "BlockId", "label_order")
+
+
+@query
+def stored_block_latency(spark, sf):
+    return ops.block_latency(_stored(spark, sf)[0])
+
+
+@query
+def stored_block_records(spark, sf):
+    stored, labels = _stored(spark, sf)
+    return _as_text(ops.block_records(stored, labels))
+
+
+@query
+def stored_component_latency(spark, sf):
+    stored, labels = _stored(spark, sf)
+    return _rounded(blocks.component_latency(stored, labels), "avg_latency")
+
+
 # Analyses of lines
 
 

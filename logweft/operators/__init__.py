@@ -8,8 +8,8 @@ from logweft.operators.blocks import (
     sequence_events,
 )
 from logweft.operators.labels import first_labels, label_counts
-from logweft.operators.layout import LAYOUTS, SHUFFLE_WIDTHS, latency_at_width
-from logweft.operators.skew import BlockProfile, profile_blocks
+from logweft.operators.layout import LAYOUTS, SHUFFLE_WIDTHS, bucketed, latency_at_width, store
+from logweft.operators.skew import BlockProfile, StoredLines, parts_of, profile_blocks
 from logweft.operators.validate import (
     check_parsed,
     event_count_check,
@@ -23,10 +23,12 @@ __all__ = [
     "LAYOUTS",
     "SHUFFLE_WIDTHS",
     "BlockProfile",
+    "StoredLines",
     "block_latency",
     "block_records",
     "block_records_default0",
     "block_spans",
+    "bucketed",
     "check_parsed",
     "event_count_check",
     "event_count_violations",
@@ -37,7 +39,9 @@ __all__ = [
     "latency_at_width",
     "missing_blocks",
     "order_columns",
+    "parts_of",
     "profile_blocks",
     "sequence_events",
+    "store",
     "watched",
 ]

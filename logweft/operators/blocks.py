@@ -24,7 +24,7 @@ from logweft.operators.labels import (
     label_counts,
     label_rows,
 )
-from logweft.operators.skew import BlockProfile, profile_blocks
+from logweft.operators.skew import BlockProfile, StoredLines, parts_of, profile_blocks
 from logweft.sources.files import line_order, number_lines
 from logweft.sources.scratch import settle
 
@@ -97,27 +97,33 @@ def _order_in_slices(parsed: DataFrame, slices: int) -> DataFrame:
 
 
 def by_route(
-    parsed: DataFrame,
+    parsed: DataFrame | StoredLines,
     profile: BlockProfile | None,
-    finish: Callable[[DataFrame, bool], DataFrame],
-    prepare: Callable[[DataFrame, bool], DataFrame] = lambda rows, hot: rows,
+    finish: Callable[[DataFrame, BlockProfile | None], DataFrame],
+    prepare: Callable[[DataFrame, BlockProfile | None], DataFrame] = lambda rows, hot: rows,
 ) -> DataFrame:
     """Order the lines of each route, finish each, and put the results together.
 
-    ``prepare(lines, hot)`` and ``finish(ordered, hot)`` run per route, so that the ordinary route
-    keeps its partitioning by block id from one step to the next.  ``parsed`` should have only the
+    ``prepare(lines, hot)`` and ``finish(ordered, hot)`` run per route, with the profile on that of the
+    oversized blocks and None on the other, so that the ordinary route keeps its partitioning by
+    block id from one step to the next.  ``parsed`` should have only the
     columns that these need.  Without a profile it is written first, so that text is parsed once: the
     profile, the line numbers, which then stand for file and split in every sort, and the lines are
-    read from there.
+    read from there.  Stored lines have their profile and are taken apart already.
     """
-    if profile is None:
+    if profile is None and not isinstance(parsed, StoredLines):
         parsed = settle(parsed, "lines")
         profile = profile_blocks(parsed)
         parsed = number_lines(parsed) if "line_number" not in parsed.columns else parsed
-    result = finish(_order_in_task(prepare(profile.ordinary(parsed), False)), False)
+    if isinstance(parsed, StoredLines):
+        profile, ordinary, oversized = parsed.profile, parsed.ordinary, parsed.hot
+    else:
+        ordinary = profile.ordinary(parsed)
+        oversized = profile.oversized(parsed) if profile.hot else None
+    result = finish(_order_in_task(prepare(ordinary, None)), None)
     if profile.hot:
-        rows = prepare(profile.oversized(parsed), True)
-        result = result.unionByName(finish(_order_in_slices(rows, profile.slices), True))
+        rows = prepare(oversized, profile)
+        result = result.unionByName(finish(_order_in_slices(rows, profile.slices), profile))
     return result
 
 
@@ -179,8 +185,8 @@ def _records(
 ) -> DataFrame:
     needed = parsed.select(*order_columns(parsed), "EventId", "level", "component", "pid")
 
-    def finish(ordered: DataFrame, hot: bool) -> DataFrame:
-        reduced = profile.only_hot(reduce, labels) if hot else reduce(labels)
+    def finish(ordered: DataFrame, hot: BlockProfile | None) -> DataFrame:
+        reduced = hot.only_hot(reduce, labels) if hot else reduce(labels)
         return attach(_assemble(ordered, segment_lines), reduced).select(*RECORD_COLUMNS)
 
     return by_route(needed, profile, finish)
@@ -227,10 +233,13 @@ def label_copies(labels: DataFrame) -> DataFrame:
     return label_counts(labels).select("BlockId", total.alias("copies"))
 
 
-def block_latency(parsed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def block_latency(parsed: DataFrame | StoredLines, labels: DataFrame | None = None) -> DataFrame:
     """(BlockId, latency), plus ``copies`` of the block in the record table if labels are given."""
-    latency = block_spans(parsed).select("BlockId", span_latency().alias("latency"))
-    if labels is None:
-        return latency
-    joined = latency.join(label_copies(labels), "BlockId", "left")
-    return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
+    result = None
+    for rows in parts_of(parsed):
+        one = block_spans(rows).select("BlockId", span_latency().alias("latency"))
+        if labels is not None:
+            joined = one.join(label_copies(labels), "BlockId", "left")
+            one = joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
+        result = one if result is None else result.unionByName(one)
+    return result

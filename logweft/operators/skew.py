@@ -56,6 +56,34 @@ class BlockProfile:
         return self.hot_lines // self.limit + 1
 
 
+@dataclass(frozen=True)
+class StoredLines:
+    """Parsed lines as ``layout.store`` keeps them; block operators take them in place of parsed lines.
+
+    ``ordinary`` is bucketed by block id, so a block's lines are read by one task and what groups, orders
+    or joins by block needs no shuffle.  Lines of the profile's oversized blocks are in ``hot``, a plain
+    table, since a bucket is one task.  No block is in both.
+    """
+
+    ordinary: DataFrame
+    hot: DataFrame
+    profile: BlockProfile
+
+    @property
+    def columns(self) -> list[str]:
+        return self.ordinary.columns
+
+    def select(self, *columns: str) -> StoredLines:
+        return StoredLines(self.ordinary.select(*columns), self.hot.select(*columns), self.profile)
+
+
+def parts_of(rows: DataFrame | StoredLines) -> list[DataFrame]:
+    """Tables that together have all lines, and each of whose blocks is in one of them."""
+    if isinstance(rows, StoredLines):
+        return [rows.ordinary, rows.hot] if rows.profile.hot else [rows.ordinary]
+    return [rows]
+
+
 def _bucket() -> Column:
     return F.pmod(F.xxhash64("BlockId"), F.lit(BUCKETS)).cast("int")
 

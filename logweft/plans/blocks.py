@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logweft.functions.arrays import array_to_string
 from logweft.operators import blocks as ops
 from logweft.operators.labels import label_counts
-from logweft.operators.skew import BlockProfile
+from logweft.operators.skew import BlockProfile, StoredLines, parts_of
 from logweft.sources.scratch import settle
 
 
@@ -55,7 +55,7 @@ def _sequence_parts(
         counts = label_counts(rows).filter("anomaly > 0")
         return counts.select("BlockId", F.col("anomaly").alias("copies"))
 
-    def finish(ordered: DataFrame, hot: bool) -> DataFrame:
+    def finish(ordered: DataFrame, hot: BlockProfile | None) -> DataFrame:
         events = F.sort_array(F.collect_list(F.struct("seq_num", "EventId")))
         parts = (
             ordered.withColumn("part", ops.segment_of(segment_lines))
@@ -76,8 +76,8 @@ def _sequence_parts(
         return parts.withColumn("sequence_id", F.concat_ws("-", "n", "h1", "h2"))
 
     # The label filter comes first, so only anomalous blocks are ordered.
-    def prepare(rows: DataFrame, hot: bool) -> DataFrame:
-        known = profile.only_hot(copies, labels) if hot else copies(labels)
+    def prepare(rows: DataFrame, hot: BlockProfile | None) -> DataFrame:
+        known = hot.only_hot(copies, labels) if hot else copies(labels)
         return rows.join(known, "BlockId")
 
     return ops.by_route(needed, profile, finish, prepare)
@@ -229,11 +229,20 @@ def _average_latency(rows: DataFrame) -> DataFrame:
     return rows.groupBy("component").agg(weighted.alias("avg_latency")).orderBy(F.desc("avg_latency"), "component")
 
 
-def component_latency(rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def component_latency(rows: DataFrame | StoredLines, labels: DataFrame | None = None) -> DataFrame:
     """Average latency of the blocks that contain each component, slowest first.
 
-    ``rows`` are lines or ``component_pairs``.
+    ``rows`` are lines, stored lines or ``component_pairs``.
     """
+    found = None
+    for part in parts_of(rows):
+        one = _component_blocks(part, labels)
+        found = one if found is None else found.unionByName(one)
+    return _average_latency(found)
+
+
+def _component_blocks(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(component, copies, latency, ...) for each block that a component is in."""
     # ``n`` would make the two uses of the pairs differ.
     pairs = _pairs(rows).select("BlockId", "component", "pair_start", "pair_end")
     spans = pairs.groupBy("BlockId").agg(
@@ -251,7 +260,7 @@ def component_latency(rows: DataFrame, labels: DataFrame | None = None) -> DataF
         F.greatest("block_end", "pair_end").alias("block_end"),
         F.least("block_start", "pair_start").alias("block_start"),
     )
-    return _average_latency(found.withColumn("latency", ops.span_latency()))
+    return found.withColumn("latency", ops.span_latency())
 
 
 #: Components that one bigint holds a bit for, and bigints a block may have.

@@ -229,6 +229,42 @@ def test_sequences_are_counted_by_id(kept, labels):
     assert top == rows[:3]
 
 
+def test_hot_blocks_without_a_profile(kept, labels, lines, monkeypatch):
+    from logweft.operators import blocks as block_ops
+
+    monkeypatch.setattr(block_ops, "profile_blocks", lambda rows: skew.profile_blocks(rows, 150))
+    assert brute.joined_records(ops.block_records_default0(kept, labels)) == brute.records(lines)
+    sequences = blocks.anomaly_sequences(kept, labels).collect()
+    assert sequences == blocks.anomaly_sequences(kept, labels, profile(kept, 10**6)).collect()
+
+
+@pytest.mark.parametrize("limit", [10**6, 150])
+def test_stored_lines_need_no_shuffle_by_block(spark, kept, labels, lines, limit):
+    stored = ops.store(kept, 3, profile(kept, limit))
+    kept_labels = ops.bucketed(labels, 3, "BlockId")
+    hot = set(stored.profile.hot)
+    assert {r[0] for r in stored.hot.select("BlockId").distinct().collect()} == hot
+    assert not hot & {r[0] for r in stored.ordinary.select("BlockId").distinct().collect()}
+    found = {r["BlockId"]: r["latency"] for r in ops.block_latency(stored).collect()}
+    assert found == {b: r["latency"] for b, r in brute.records(lines).items()}
+    records = ops.block_records_default0(stored, kept_labels)
+    assert brute.joined_records(records) == brute.records(lines)
+    assert sorted(map(str, ops.block_records(stored, kept_labels).collect())) == sorted(
+        map(str, ops.block_records(kept, labels, profile(kept, 10**6)).collect())
+    )
+    assert blocks.component_latency(stored, kept_labels).collect() == blocks.component_latency(kept, labels).collect()
+    sequences = blocks.anomaly_sequences(stored, kept_labels).collect()
+    assert sequences == blocks.anomaly_sequences(kept, labels, profile(kept, 10**6)).collect()
+    if not hot:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            for rows in (ops.block_latency(stored, kept_labels), ops.block_records(stored, kept_labels), blocks.component_latency(stored, kept_labels)):
+                plan = rows._jdf.queryExecution().executedPlan().toString()
+                assert "hashpartitioning(BlockId" not in plan and "FileScan parquet" in plan
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_anomalous_block(spark, kept):
     normal = brute.labels(spark, [("blk_1", 0)])
     rows = blocks.component_anomaly_ratio(kept, normal).collect()
