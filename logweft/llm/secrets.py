@@ -133,7 +133,9 @@ def secrets(docs: DataFrame) -> DataFrame:
         return found.select("doc_id", "start", "size", score.alias("probability"), (score >= 0.5).cast("int").alias("secret"))
     rows = settle(known.orderBy("h").limit(TRAIN_ROWS).select("label", "features"), "sample")
     forest = RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    model = forest.fit(rows.select("label", array_to_vector("features").alias("features")))
+    # The copy has no training summary, which holds the session and with it, once any query of the session
+    # has been observed, what cannot be sent to tasks.
+    model = forest.fit(rows.select("label", array_to_vector("features").alias("features"))).copy()
     told = model.transform(found.select("doc_id", "start", "size", array_to_vector("features").alias("features")))
     told = told.select("doc_id", "start", "size", vector_to_array("probability")[1].alias("probability"))
     return told.withColumn("secret", (F.col("probability") >= 0.5).cast("int"))

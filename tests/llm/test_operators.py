@@ -12,6 +12,8 @@ import zlib
 import numpy as np
 import pytest
 from logweft.llm import bpe, chunks, components, ctw, leaks, lines, neighbours, replies, secrets, simhash, tables, toxicity
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -455,6 +457,8 @@ def test_secrets(spark):
     rows = [(k, f"some words here token = \"{key()}\" and more words") for k in range(40)]
     rows += [(100 + k, f"call {rng.randrange(10**17, 10**18)} or see 10.2.3.{k}.mail{k}.example.com words") for k in range(40)]
     docs = spark.createDataFrame([(i, t, None) for i, t in [*rows, *CASES]], "doc_id bigint, text string, path string")
+    seen = Observation()  # a session with an observed query must not change anything
+    docs.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
     found = secrets.secrets(docs).collect()
     assert {r["doc_id"] for r in found if r["secret"]} == set(range(40))
     assert secrets.secrets(docs.limit(0)).count() == 0
