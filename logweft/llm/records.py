@@ -134,9 +134,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.width = np.dtype(self.type).itemsize
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: For each id, whether it ends a pre-token, and whether it is that of a NUL, which no other word has.
+        self.closes, self.marks = np.zeros((2, max(vocabulary.values()) + 1), bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         mark = self._ids("\0")
-        #: The id of a NUL, which sets words apart in a call; no other word has it.
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.marks[mark[:1]] = len(mark) == 1
         self._forget()
 
     def _forget(self) -> None:
@@ -145,22 +149,56 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
-    def _learned(self, words: list[str]) -> list[bytes]:
-        """Packed ids of each of ``words``."""
-        odd = [k for k, w in enumerate(words) if "\0" in w] if self.mark is not None else range(len(words))
-        plain = [w for w in words if "\0" not in w] if odd else words
+    def _cut(self, words: list[str], glue: str, ends: np.ndarray, keep: int) -> list[bytes] | None:
+        """Packed ids of ``words``, encoded as one text with ``glue`` between them.
+
+        ``ends`` says for each id whether it ends a word; ``keep`` is 1 if it belongs to the word.  None if
+        there are not as many ends as words.
+        """
         found: list[bytes] = []
-        for at in range(0, len(plain) if self.mark is not None else 0, CALL):
-            joined = " \0 ".join([*plain[at : at + CALL], ""])
+        for at in range(0, len(words), CALL):
+            some = words[at : at + CALL]
+            joined = glue.join(some) + glue
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.type)
-            stops = (np.flatnonzero(ids == self.mark) * self.width).tolist()
-            starts = [0, *(stop + self.width for stop in stops[:-1])]
+            last = np.flatnonzero(ends[ids])
+            if len(last) != len(some):
+                return None
+            starts = (np.r_[0, last[:-1] + 1] * self.width).tolist()
             packed = ids.tobytes()
-            found += [packed[a:b] for a, b in zip(starts, stops, strict=True)]
-        for k in odd:
-            found.insert(k, self._ids(words[k]).tobytes())
+            found += [packed[a:b] for a, b in zip(starts, ((last + keep) * self.width).tolist(), strict=True)]
         return found
 
+    def _called(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each of ``words``, as the tokenizer gives them."""
+        found: dict[int, bytes] = {}
+        # A word of letters alone is one pre-token, and the id that ends it says so.
+        letters = [k for k, w in enumerate(words) if w.isalpha() and (w.isascii() or max(w) < "\u0100")] if self.closes.any() else []
+        ids = self._cut([words[k] for k in letters], " ", self.closes, 1)
+        if ids is not None:
+            found = dict(zip(letters, ids, strict=True))
+        # Others are set apart by a NUL, if that is one id and not in them.
+        rest = [k for k, w in enumerate(words) if k not in found and "\0" not in w] if self.marks.any() else []
+        ids = self._cut([words[k] for k in rest], " \0 ", self.marks, 0)
+        if ids is not None:
+            found |= zip(rest, ids, strict=True)
+        return [found[k] if k in found else self._ids(w).tobytes() for k, w in enumerate(words)]
+
+    def _learned(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each of ``words``.
+
+        Full stops and commas after an ASCII letter or digit are pre-tokens of their own, and words of
+        those alone do not differ by their case, so many words are made of others.
+        """
+        parts = []
+        for word in words:
+            stem = word.rstrip(".,")
+            if len(stem) == len(word) or not (stem and stem[-1].isascii() and stem[-1].isalnum()):
+                stem = word
+            parts.append((stem.lower() if stem.isascii() and stem.isalnum() else stem, word[len(stem) :]))
+        names = list(dict.fromkeys(name for part in parts for name in part))
+        ids = dict(zip(names, self._called(names), strict=True))
+        return [ids[stem] + ids[tail] for stem, tail in parts]
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Packed ids of each of ``texts``."""
         if len(self.words) > REMEMBERED:
