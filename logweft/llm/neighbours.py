@@ -9,7 +9,7 @@ There is no third one: cells of two hashes grow with the input and are cut into
 
 Equal vectors are one row of the index with their least ids, as many as a query can return, so copies of
 one vector make no bucket large.  Cells with more than ``PART`` rows are split by a salt that queries are
-repeated over.  Queries that meet fewer than k rows are answered by comparing with all rows, in blocks of
+repeated over, and their queries by another that rows are repeated over.  Queries that meet fewer than k rows are answered by comparing with all rows, in blocks of
 queries.
 """
 
@@ -35,6 +35,8 @@ PROBES = 8
 PROBES_TWO = 512
 CELL_ROWS = 50_000
 PART = 20_000
+#: Queries of a cell that meet a part of its rows in one task.
+QUERY_PART = 50_000
 #: Queries compared with all rows at a time.
 BLOCK = 1024
 SEED = 7
@@ -94,8 +96,9 @@ def cosines(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that have a direction."""
-    v = F.col("embedding").cast("array<double>")
+    """(vec_id, v) of the vectors that have a direction: floats as they are, other numbers as doubles."""
+    kept = rows.schema["embedding"].dataType.simpleString() in ("array<float>", "array<double>")
+    v = F.col("embedding") if kept else F.col("embedding").cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists(v, lambda x: x != 0)
     return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v")).filter(
@@ -111,29 +114,35 @@ def _dealt(rows: DataFrame, hashes: int, queries: bool, probes: int) -> DataFram
         for batch in tables.slices(batches, max(1, (1 << 15) // probes)) if queries else batches:
             frame = batch.to_pandas()
             for dim, part in frame.groupby("dim"):
-                x = np.stack(part.v.to_numpy())
+                x = np.stack(part.v.to_numpy()).astype(float)
                 for table in range(TABLES):
                     where = probed(x, table, hashes, probes) if queries else cells(x, table, hashes)[:, None]
                     pick = np.repeat(np.arange(len(part)), where.shape[1])
                     out = pd.DataFrame({"dim": dim, "tab": table, "cell": where.ravel(), "id": part.id.to_numpy()[pick], "v": part.v.to_numpy()[pick]})
                     yield pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
 
-    schema = pa.schema([("dim", pa.int32()), ("tab", pa.int32()), ("cell", pa.int64()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))])
-    return rows.select("id", "v", F.size("v").alias("dim")).mapInArrow(run, "dim int, tab int, cell bigint, id bigint, v array<double>")
+    kind = rows.schema["v"].dataType.elementType.simpleString()
+    number = pa.float32() if kind == "float" else pa.float64()
+    schema = pa.schema([("dim", pa.int32()), ("tab", pa.int32()), ("cell", pa.int64()), ("id", pa.int64()), ("v", pa.list_(number))])
+    return rows.select("id", "v", F.size("v").alias("dim")).mapInArrow(run, f"dim int, tab int, cell bigint, id bigint, v array<{kind}>")
 
 
 def _ranked(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest rows of each query, with all that tie with the last."""
-    found: list[tuple[int, int, float]] = []
+    """The k nearest rows of each query, ties by id."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if len(queries) and len(rows):
-        x, ids = np.stack(rows.v.to_numpy()), rows.id.to_numpy()
+        x, ids = np.stack(rows.v.to_numpy()).astype(float), rows.id.to_numpy()
         for start in range(0, len(queries), 256):
             part = queries.iloc[start : start + 256]
-            score = cosines(np.stack(part.v.to_numpy()), x)
+            score = cosines(np.stack(part.v.to_numpy()).astype(float), x)
             last = -np.partition(-score, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
             q, r = np.nonzero(score >= last[:, None])
-            found += zip(part.id.to_numpy()[q].tolist(), ids[r].tolist(), score[q, r].tolist(), strict=True)
-    return pd.DataFrame(found, columns=["query", "id", "score"]).astype({"query": "int64", "id": "int64", "score": "float64"})
+            order = np.lexsort((ids[r], -score[q, r], q))
+            q, r = q[order], r[order]
+            near = np.arange(len(q)) - np.searchsorted(q, q) < k
+            q, r = q[near], r[near]
+            found.append((part.id.to_numpy()[q], ids[r], score[q, r]))
+    return pd.DataFrame({name: np.concatenate(c) for name, c in zip(["query", "id", "score"], zip(*found, strict=True), strict=True)})
 
 
 FOUND = "query bigint, id bigint, score double"
@@ -181,15 +190,22 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, probes: int = PR
     dealt = _dealt(index, hashes, False, probes)
     sought = _dealt(asked, hashes, True, probes if hashes == 1 else max(PROBES_TWO, probes**2))
     keys = ["dim", "tab", "cell"]
-    counts = settle(dealt.groupBy(*keys).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "cells")
-    parts = tables.bounded(counts)
-    left = sought.join(parts, keys).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    right = dealt.join(parts, keys).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    both = dealt.select(*keys, F.lit(0).alias("asks")).unionByName(sought.select(*keys, F.lit(1).alias("asks")))
+    counts = both.groupBy(*keys).agg(F.ceil(F.count_if(F.col("asks") == 0) / PART).cast("int").alias("parts"), F.ceil(F.sum("asks") / QUERY_PART).cast("int").alias("blocks"))
+    # Cells that have both rows and queries; no others can meet.
+    parts = tables.bounded(settle(counts.filter("parts > 0 AND blocks > 0"), "cells"))
+
+    def salted(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row once for each part of the ``other`` side, with a part of its ``own`` side by hash."""
+        rows = rows.join(parts, keys).withColumn(f"{own}_salt", F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+        return rows.withColumn(f"{other}_salt", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("parts", "blocks")
+
+    left, right = salted(sought, "blocks", "parts"), salted(dealt, "parts", "blocks")
 
     def meet(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
         return _ranked(one, other, k + 1)
 
-    deal = [*keys, "salt"]
+    deal = [*keys, "parts_salt", "blocks_salt"]
     met = left.groupBy(*deal).cogroup(right.groupBy(*deal)).applyInPandas(meet, FOUND)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     # A class has k + 1 ids at most and the query is one row of its own class, so k + 1 classes are enough.
