@@ -10,8 +10,8 @@ estimate, one join per depth.  The result is a code length for every sequence of
 Words, which only the baseline needs, are entries of the same tables under a negative code, 63 bits of
 their hash: among a billion words the chance of any collision is about one in twenty.
 
-All tables are distributed.  Texts are read in blocks of ``BLOCK_ROWS`` rows of a file.  A block's distinct
-sequences and words are counted first; their values come back to the block by joins, and the block's
+All tables are distributed.  Texts are read in blocks of ``BLOCK_ROWS`` rows of a file, and of ``BLOCK_BYTES``
+at most where these hold more, but for a longer text, which is a block.  A block's distinct sequences and words are counted first; their values come back to the block by joins, and the block's
 texts are scored against this dictionary of their own.  So nothing that grows with the corpus is
 broadcast, and the large shuffles carry distinct entries of blocks, not positions.
 """
@@ -38,7 +38,8 @@ DEPTH = 5
 EDGE = 0xFF
 #: Stands for the end token among words, which have no white space.
 END = b" "
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 1 << 13
+BLOCK_BYTES = 1 << 26
 #: Bytes whose sequences are counted or looked up at a time.
 PIECE = 1 << 22
 
@@ -138,14 +139,24 @@ class Lookup:
 
 
 def blocked(docs: DataFrame) -> DataFrame:
-    """(block, doc_id, text, held) of a table read from files, which fixes the blocks, or written to some."""
+    """(block, doc_id, text, held) of a table read from files, which fixes the blocks, or written to some.
+
+    Where the rows of a block hold too many bytes, texts are dealt by size: of texts of up to twice as many bytes,
+    half as many rows of the file make a block.  There is at most one such block to each ``BLOCK_BYTES`` of text.
+    """
     try:
         placed = docs.select("*", "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
         placed = settle(docs, "docs").select("*", "_metadata.file_path", "_metadata.row_index")
-    block = F.xxhash64("file_path", F.expr(f"row_index div {BLOCK_ROWS}"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows = F.xxhash64("file_path", F.expr(f"row_index div {BLOCK_ROWS}"))
+    heavy = placed.groupBy(rows.alias("rows")).agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > BLOCK_BYTES)
+    heavy = tables.bounded(settle(heavy.select("rows", F.lit(True).alias("heavy")), "heavy"))
+    halved = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(1)) * (BLOCK_ROWS / BLOCK_BYTES)))).cast("int")
+    placed = placed.withColumns({"rows": rows, "halved": halved}).join(heavy, "rows", "left")
+    by_size = F.xxhash64("file_path", "halved", F.expr(f"row_index div greatest(1, shiftright({BLOCK_ROWS}, halved))"))
     return placed.select(
-        block.alias("block"),
+        F.when(F.col("heavy"), by_size).otherwise(F.col("rows")).alias("block"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         (tables.fold("doc_id", FOLDS) == HELD_OUT).alias("held"),
@@ -244,7 +255,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     ``score`` is the log10 probability of the folded text's bytes and its end; code length per byte is
     -score * log2(10) / bytes.  ``base_score`` is that of its words and end under smoothed word counts.  An
     empty or null text has the end alone.  Rows with null ids are training rows; repeated rows count
-    again and come back again.  Without training rows estimates are even; an empty table gives none.
+    again and come back again.  Without training rows estimates are even; an empty table gives none.  Texts
+    may be of any length; a task holds one of them, or a block, and its distinct sequences.
     """
     placed = blocked(docs.select("doc_id", "text"))
     entries = settle(block_counts(placed), "entries")

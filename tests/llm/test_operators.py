@@ -7,6 +7,7 @@ import collections
 import hashlib
 import math
 import random
+import string
 import zlib
 
 import numpy as np
@@ -217,6 +218,21 @@ def test_context_tree(spark):
     assert ctw.lm_scores(odd(spark, CASES).limit(0)).count() == 0
 
 
+def test_context_tree_of_long_texts(spark, monkeypatch):
+    """Blocks hold so many bytes at most, or one text; how texts are dealt changes no score."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcde ", k=rng.randrange(400))) for _ in range(60)] + ["".join(rng.choices("abé ", k=1_000_000)) for _ in range(3)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None, ""])], "doc_id bigint, text string")
+    whole = sorted(ctw.lm_scores(rows).collect())
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 1 << 15)
+    monkeypatch.setattr(ctw, "BLOCK_ROWS", 1 << 10)
+    blocks = ctw.blocked(rows).groupBy("block").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    assert sum(b["n"] for b in blocks) == 65 and max(b["n"] for b in blocks) > 3
+    assert all(b["bytes"] <= 1 << 15 or b["n"] == 1 for b in blocks)
+    for one, other in zip(whole, sorted(ctw.lm_scores(rows).collect()), strict=True):
+        assert one[:5] == other[:5] and one[5:] == pytest.approx(other[5:], rel=1e-6)
+
+
 def test_reply_paths(spark):
     rows = [
         (1, 1, None, 1.0, "user", "root"), (1, 2, 1, 5.0, "assistant", "good"), (1, 3, 1, 1.0, "assistant", "bad"),
@@ -451,6 +467,21 @@ def test_neighbours_by_two_hashes(spark, monkeypatch):
         assert len(got) == 5 * len(asked) and hits >= 0.9 * 5 * len(asked)
 
 
+def test_neighbours_in_parts(spark, monkeypatch):
+    """Hot cells cut into parts of rows and of queries give the same rows; copies of a direction tie by id."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(-4, 5, (40, 16)).astype(float)
+    x = [(int(k), (base[k % 40] * 2.0 ** (k // 40 % 3)).tolist()) for k in range(1200)]
+    vectors = spark.createDataFrame(x, "vec_id bigint, embedding array<float>")
+    whole = sorted(neighbours.nearest(vectors, every=5).collect())
+    assert len(whole) == 5 * 240
+    doubles = vectors.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert sorted(neighbours.nearest(doubles, every=5).collect()) == whole
+    monkeypatch.setattr(neighbours, "PART", 3)
+    monkeypatch.setattr(neighbours, "QUERY_PART", 2)
+    assert sorted(neighbours.nearest(vectors, every=5).collect()) == whole
+
+
 def test_secrets(spark):
     rng = random.Random(8)
     key = lambda: "".join(rng.choices("0123456789abcdef", k=40))
@@ -464,6 +495,44 @@ def test_secrets(spark):
     assert secrets.secrets(docs.limit(0)).count() == 0
 
 
+def test_secret_candidates():
+    text = """password = "Tr0ub4dor&3", it\u2019s 'x' api_key: it's-me! author: Jane; secret => 'no digits here'\nauth: "open\nid 0123456789abcdef01 token=47853805923911234"""
+    found = [text[a:b] for a, b in secrets.candidates(text)]
+    assert found == ["Tr0ub4dor&3", "it", "no digits here", "open", "0123456789abcdef01", "47853805923911234"]
+    assert secrets.candidates("") == [] and secrets.candidates("password: ") == []
+    words = frozenset({"please", "change"})
+    assert secrets.label("Tr0ub4dor&3", 'password = "', words) == 1
+    assert secrets.label("on", "auth: ", words) is None
+    assert secrets.label("please-change", "password: ", words) == 0
+
+
+def test_secrets_without_their_names(spark):
+    """A forest that sees only the values tells keys and passwords from numbers and addresses, also held-out ones."""
+    rng = random.Random(9)
+    signs = string.ascii_letters + string.digits + "!&$%#"
+    rows = [(k, f'words password = "{"".join(rng.choices(signs, k=rng.randrange(9, 30)))}" words') for k in range(150)]
+    rows += [(200 + k, f"call {rng.randrange(10**17, 10**18)} or see 10.2.3.{k}.mail{k}.example.com words") for k in range(150)]
+    clash = "doc_id bigint, text string, path string, label int, features string, probability double, h bigint"
+    docs = spark.createDataFrame([(i, t, "p", 0, "x", 0.1, 1) for i, t in [*rows, *CASES]], clash)
+    got = {r["context"]: r for r in secrets.quality(docs).collect()}
+    for context in ("shown", "hidden"):
+        assert got[context]["precision"] >= 0.95 and got[context]["recall"] >= 0.95, got
+        assert got[context]["findings"] > 50
+    assert {r["doc_id"] for r in secrets.secrets(docs).collect() if r["secret"]} == set(range(150))
+    assert secrets.quality(docs.limit(0)) is None
+
+
+def test_secret_dictionary(spark, monkeypatch):
+    """The most frequent words, ties by spelling, however the histogram cuts them."""
+    rng = random.Random(2)
+    texts = [" ".join("word" + "abcdefghij"[min(9, int(rng.expovariate(0.5)))] * rng.randrange(1, 4) for _ in range(40)) for _ in range(20)]
+    counts = collections.Counter(w for t in texts for w in t.split())
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    best = sorted(counts, key=lambda w: (-counts[w], w))
+    for size in (1, 5, 12, 1000):
+        assert secrets.dictionary(docs, size) == frozenset(best[:size])
+
+
 def brute_lines(rows, similarity=0.8):
     places = collections.defaultdict(list)
     for i, text in rows:
