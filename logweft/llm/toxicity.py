@@ -2,7 +2,7 @@
 
 A text is read as symbols: insults, threats, targets, negations, reporting verbs, quotes, clause ends and
 other words.  Three transducers read them in turn: one marks insults and threats under negation, one
-those in reported or quoted speech, one matches them with a target in the same clause.  They are
+those in reported or quoted speech, one matches them with a target in the same clause, before or after.  They are
 composed into one deterministic transducer, and what a text is scored by are its matched clauses: per
 kind of match, the summed weight of the stems in it and the number of matches.
 
@@ -17,6 +17,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ NOT_INSULT, NOT_THREAT, SAID_INSULT, SAID_THREAT = range(8, 12)
 # Kinds of match, the outputs of the third; NONE is no match.
 NONE, BARE, AIMED, BARE_THREAT, AIMED_THREAT, NEGATED, REPORTED = range(7)
 KINDS = 6
+#: What the third writes for a target after bare matches of its clause: they are aimed.
+TURNED = 7
 SCOPE = 3  # words a negation reaches
 
 Table = dict[tuple[int, int], tuple[int, int]]
@@ -86,19 +89,26 @@ def reported() -> Table:
 
 
 def matching() -> Table:
-    """State 1: the clause has named a target."""
+    """State 1: the clause has named a target; state 2: it has not, and has bare matches."""
     outputs = {
         (0, INSULT): BARE, (1, INSULT): AIMED, (0, THREAT): BARE_THREAT, (1, THREAT): AIMED_THREAT,
     }
     table: Table = {}
-    for aimed in range(2):
+    for state in range(3):
         for symbol in range(12):
-            out = outputs.get((aimed, symbol), NONE)
+            out = outputs.get((state % 2, symbol), NONE)
+            after = state
             if symbol in (NOT_INSULT, NOT_THREAT):
                 out = NEGATED
             elif symbol in (SAID_INSULT, SAID_THREAT):
                 out = REPORTED
-            table[aimed, symbol] = (1 if symbol == TARGET else 0 if symbol == END else aimed, out)
+            elif symbol == TARGET:
+                out, after = (TURNED if state == 2 else NONE), 1
+            elif symbol == END:
+                after = 0
+            elif out in (BARE, BARE_THREAT):
+                after = 2
+            table[state, symbol] = (after, out)
     return table
 
 
@@ -146,17 +156,34 @@ class Grammar:
         known, read, table = self.known.get, self.read, self.table
         weights, counts = [0.0] * (KINDS + 1), [0] * (KINDS + 1)
         state, words, most = 0, 0, 0.0
+        bare, held = {BARE: AIMED, BARE_THREAT: AIMED_THREAT}, {BARE: (0.0, 0), BARE_THREAT: (0.0, 0)}
+
+        def close(aimed: bool) -> None:
+            """Count the bare matches that the clause had so far, which a target after them aims."""
+            for kind, (weight, count) in held.items():
+                if count:
+                    kind_of_match = bare[kind] if aimed else kind
+                    weights[kind_of_match] += weight
+                    counts[kind_of_match] += count
+                    held[kind] = (0.0, 0)
+
         for token in TOKEN.findall(text.lower()):
             symbol, weight = known(token) or read(token)
             words += 1
             if symbol or state:
                 state, out = table[state, symbol]
-                if out:
+                if out in held:
+                    held[out] = (held[out][0] + weight, held[out][1] + 1)
+                    most = max(most, weight)
+                elif out == TURNED or symbol == END:
+                    close(out == TURNED)
+                elif out:
                     weights[out] += weight
                     counts[out] += 1
                     most = max(most, weight)
+        close(False)
         total = sum(counts)
-        spread = [f(x) for x, f in zip(weights[1:] + counts[1:], [math.log1p] * (2 * KINDS), strict=True)]
+        spread = [math.log1p(x) for x in weights[1:] + counts[1:]]
         return [*spread, math.sqrt(total / (words + 1)), most]
 
 
@@ -166,8 +193,8 @@ FEATURES = 2 * KINDS + 2
 def learn_stems(labelled: DataFrame) -> dict[str, float]:
     """Stems and weights from (text, toxic): word beginnings that mark toxic texts.
 
-    Counts are of documents and words over all rows; repeated texts count once.  At most ``STEMS`` rows
-    reach the driver.
+    Counts are of documents and words over all rows; repeated texts count once.  Of stems that begin with one
+    another the clearest stays.  At most ``STEMS`` rows of each task reach the driver.
     """
     once = labelled.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("l")).agg(
         F.first("text").alias("text"), F.max("toxic").alias("toxic")
@@ -187,14 +214,19 @@ def learn_stems(labelled: DataFrame) -> dict[str, float]:
     z = (F.col("bad") - rate * F.col("n")) / F.sqrt(F.col("n") * rate * (1 - rate))
     odds = F.log((F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5)) - math.log(rate / (1 - rate))
     best = stems.select("stem", z.alias("z"), odds.alias("odds")).filter((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS))
-    rows = best.orderBy(F.desc("z"), F.desc(F.length("stem")), "stem").limit(STEMS).collect()
-    chosen: dict[str, float] = {}
-    for row in rows:
-        stem = row["stem"]
-        if any(stem[:k] in chosen for k in range(SHORTEST, len(stem))) or any(s.startswith(stem) for s in chosen):
-            continue
-        chosen[stem] = min(6.0, row["odds"])
-    return chosen
+    kept = best.groupBy(F.left("stem", F.lit(SHORTEST))).applyInPandas(_clearest, best.schema)
+    rows = kept.orderBy(F.desc("z"), F.desc(F.length("stem")), "stem").limit(STEMS).collect()
+    return {row["stem"]: min(6.0, row["odds"]) for row in rows}
+
+
+def _clearest(family: pd.DataFrame) -> pd.DataFrame:
+    """The rows of ``family`` but those whose stem begins, or begins with, that of a row with a larger z."""
+    family = family.assign(size=family.stem.str.len()).sort_values(["z", "size", "stem"], ascending=[False, False, True])
+    chosen: list[str] = []
+    for stem in family.stem:
+        if not any(stem.startswith(s) or s.startswith(stem) for s in chosen):
+            chosen.append(stem)
+    return family[family.stem.isin(chosen)].drop(columns="size")
 
 
 def _featured(docs: DataFrame, stems: dict[str, float], keep: str) -> DataFrame:

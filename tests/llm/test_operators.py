@@ -131,12 +131,44 @@ def test_toxicity_grammar():
     assert kinds("You are an IDIOT, you moron###!") == [0, 2, 0, 0, 0, 0]
     assert kinds("You. An idiot.") == [1, 0, 0, 0, 0, 0]
     assert kinds("They will kill. You kill") == [0, 0, 0, 2, 0, 0]
+    assert kinds("Idiot, that is you! An idiot.") == [1, 1, 0, 0, 0, 0]
+    assert kinds("I will kill you, you idiot. Kill.") == [0, 1, 1, 1, 0, 0]
     assert kinds("she is not an idiot") == [0, 0, 0, 0, 1, 0]
     assert kinds("he said: moron") == [1, 0, 0, 0, 0, 0] or kinds("he said moron") == [0, 0, 0, 0, 0, 1]
     assert kinds('"idiot" they wrote') == [0, 0, 0, 0, 0, 1]
     assert grammar.features("") == [0.0] * toxicity.FEATURES
 
 
+def test_toxicity_composition():
+    """The composed transducer writes what the three write one after the other."""
+    rng = random.Random(3)
+    one = toxicity.compose(toxicity.compose(toxicity.negation(), toxicity.reported()), toxicity.matching())
+    for _ in range(300):
+        want = got = rng.choices(range(8), k=40)
+        for table in (toxicity.negation(), toxicity.reported(), toxicity.matching()):
+            state, out = 0, []
+            for symbol in want:
+                state, written = table[state, symbol]
+                out.append(written)
+            want = out
+        state, out = 0, []
+        for symbol in got:
+            state, written = one[state, symbol]
+            out.append(written)
+        assert out == want
+
+
+def test_toxicity_stems(spark, monkeypatch):
+    """Beginnings of one word take one place of the lexicon."""
+    rows = [(f"some plain words here {k} {'abcdefgh'[k % 8]}", 0) for k in range(200)]
+    rows += [(f"the {w}{'ish' if k % 2 else ''} stands here {k}", 1) for w in ("gromblefax", "plundernit", "wextrabolm") for k in range(20)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    whole = toxicity.learn_stems(labelled)
+    assert {s[:4] for s in whole} == {"grom", "plun", "wext", "stan"} and len(whole) == 4
+    monkeypatch.setattr(toxicity, "STEMS", 4)
+    assert toxicity.learn_stems(labelled) == whole
+
+
 def test_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     rows = toxicity.op2_toxicity(spark, sf).join(tables.read(spark, sf, "labels"), "doc_id").collect()
