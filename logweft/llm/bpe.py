@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -26,20 +27,26 @@ from logweft.llm import tables
 LEAF = 24
 #: Characters of a text that are split into pre-tokens at a time.
 PIECE = 1 << 18
-#: Pre-tokens whose ids a worker remembers, a bound on its memory.
-REMEMBERED = 150_000
+#: Pre-tokens whose ids a worker remembers, twice over at most, a bound on its memory.
+REMEMBERED = 500_000
 #: Where a text may be cut without cutting a pre-token: before a single space between other characters.
 SEAM = regex.compile(r"(?<=\S)(?= \S)")
 
 
-class Codec:
-    """Encoder and decoder of one rank file."""
+class Codec(dict):
+    """Encoder and decoder of one rank file, and the packed ids, as little-endian unsigned 32-bit integers,
+    of the pre-tokens it has met."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__()
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.large_binary())
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -49,18 +56,17 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Merge the pair of least rank, leftmost first, until no pair is a token."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        rank = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        rank, none = self.ranks.get, len(self.tokens)
+        cuts = list(range(len(piece) + 1))
+        pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (least := min(pairs)) < none:
+            at = pairs.index(least)
+            del pairs[at], cuts[at + 1]
+            if at:
+                pairs[at - 1] = rank(piece[cuts[at - 1] : cuts[at + 1]], none)
+            if at < len(pairs):
+                pairs[at] = rank(piece[cuts[at] : cuts[at + 2]], none)
+        return [piece[i:j] for i, j in pairwise(cuts)]
 
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         i = j = 1
@@ -79,29 +85,28 @@ class Codec:
         half = len(piece) // 2
         return self.join(self.reduce(piece[:half]), self.reduce(piece[half:]))
 
-    def ids(self, pre_token: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of one pre-token."""
-        piece = pre_token.encode()
-        parts = [piece] if piece in self.ranks else self.reduce(piece)
-        found = np.array([self.ranks[p] for p in parts], "<u4").tobytes()
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[pre_token] = found
+    def __missing__(self, pre_token: str) -> bytes:
+        found = self.before.get(pre_token)
+        if found is None:
+            piece = pre_token.encode()
+            found = self.packed.get(piece) or b"".join([self.packed[p] for p in self.reduce(piece)])
+        if len(self) >= REMEMBERED:  # what is not asked for again until the next time is forgotten
+            self.before = dict(self)
+            self.clear()
+        self[pre_token] = found
         return found
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text."""
-        known, ids = self.known.get, self.ids
-        out = []
-        for part in cut(text):
-            out.append(b"".join([known(w) or ids(w) for w in self.find(part)]))
-        return b"".join(out)
+        return b"".join([b"".join(map(self.__getitem__, self.find(part))) for part in cut(text)])
 
     def decode(self, packed: bytes) -> bytes:
-        """Bytes of packed ids, concatenated leaf by leaf and then across leaves."""
-        token = self.bytes_of.__getitem__
-        leaves = (packed[i : i + 4 * PIECE] for i in range(0, len(packed), 4 * PIECE))
-        return b"".join(b"".join(map(token, np.frombuffer(leaf, "<u4").tolist())) for leaf in leaves)
+        """Bytes of packed ids: those of the halves one after the other, down to leaves of ``PIECE`` ids."""
+        n = len(packed) // 4
+        if n <= PIECE:
+            return self.tokens.take(pa.array(np.frombuffer(packed, "<u4"))).buffers()[2].to_pybytes() if n else b""
+        half = 4 * (n // 2)
+        return self.decode(packed[:half]) + self.decode(packed[half:])
 
 
 def cut(text: str) -> Iterator[str]:
