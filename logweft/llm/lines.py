@@ -3,8 +3,9 @@
 Joins, grouping and union-find are DataFrame operations.  Signatures and the exact check of a pair are
 numpy on Arrow batches: as DataFrame functions alone they took 2.6 times the CPU time allowed.
 
-Equal lines are one first: they are counted under 128 bits of hash, and from then on only distinct lines
-are worked on.  The signature of a line is taken over its character shingles.  A shingle's hash falls
+A line is known by 128 bits of hash, so equal lines are one wherever lines meet.  One pass over the texts
+writes these hashes and the signatures; of the texts themselves only those of lines that share a band move.
+The signature of a line is taken over its character shingles.  A shingle's hash falls
 into one of ``BANDS`` bins; of each bin the least hash under two orders is kept (an order is the hash
 combined with a constant by exclusive or, under which each member of a random set is the least with equal
 chance).  The values of two neighbouring bins are a band, four in all.  Lines with a band in common meet the
@@ -162,23 +163,35 @@ def joined(left: list[str], right: list[str] | None, similarity: float) -> tuple
     return moved, root[moved]
 
 
-def bands(distinct: DataFrame) -> DataFrame:
-    """(h1, band): the bands of each distinct line of (h1, h2, line)."""
+def signed(lines: DataFrame) -> DataFrame:
+    """``lines`` (with h1 and line) with the bands of each line, an array, in place of its text.
+
+    Of equal lines in a slice of a batch the first has them and the others NULL.
+    """
+    names = [c for c in lines.columns if c != "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables.slices(batches, 4096):
-            name, line = batch.column("h1").to_numpy(), batch.column("line").to_pylist()
+            at = np.sort(np.unique(batch.column("h1").to_numpy(), return_index=True)[1])
+            line, found = batch.column("line").take(pa.array(at)).to_pylist(), []
             for some in _chunks(line, rows=4096):
                 place, band = signatures(line[some])
-                yield pa.RecordBatch.from_arrays([pa.array(name[some][place]), pa.array(band)], ["h1", "band"])
+                many = np.bincount(place, minlength=some.stop - some.start)
+                found.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(band)))
+            if found:
+                back = np.full(batch.num_rows, -1)
+                back[at] = np.arange(len(at))
+                own = pa.concat_arrays(found).take(pa.array(back, mask=back < 0))
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), own], [*names, "bands"])
 
-    return distinct.select("h1", "line").mapInArrow(run, "h1 bigint, band bigint")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema if f.name != "line")
+    return lines.mapInArrow(run, schema + ", bands array<bigint>")
 
 
 def _stars(members: DataFrame, key: str) -> DataFrame:
-    """(key, n, u, v): each line u of a bucket of ``members`` (key, h1, n) with the least one, v."""
+    """(key, u, v): each line u of a bucket of ``members`` (key, h1) with the least one, v."""
     low = members.groupBy(key).agg(F.min("h1").alias("v"))
-    return members.join(low, key).filter("h1 <> v").select(key, "n", F.col("h1").alias("u"), "v")
+    return members.join(low, key).filter("h1 <> v").select(key, F.col("h1").alias("u"), "v")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
@@ -231,11 +244,17 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     They join the similar ones with a band in common, by way of others too.
     """
+    lines = lines.select("h1", "h2", "line")
+    return _links(lines, settle(signed(lines), "signed"), similarity)
+
+
+def _links(lines: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """``line_links`` of ``lines``, whose bands are ``known``, a written table."""
     tables.ship(lines.sparkSession)
-    distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    banded = settle(bands(distinct), "bands")
-    shared = settle(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    members = settle(banded.join(tables.bounded(shared), "band"), "members")
+    banded = known.select("h1", F.explode("bands").alias("band"))
+    met = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    shared = settle(met.filter("low < high").select("band"), "shared")
+    members = settle(banded.join(tables.bounded(shared), "band").distinct(), "members")
     wanted = settle(members.select("h1").distinct(), "wanted")
     texts = settle(lines.join(tables.bounded(wanted), "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "texts")
     stars = settle(_stars(members, "band"), "stars")
@@ -246,6 +265,8 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     torn = settle(members.join(stars.join(failed, ["u", "v"]).select("band").distinct(), "band"), "torn")
     if torn.limit(1).count():
         # Small ones give all their pairs, fewer than ``SMALL`` for each line.
+        sizes = settle(torn.groupBy("band").agg(F.count("*").alias("n")), "sizes")
+        torn = torn.join(tables.bounded(sizes), "band")
         few = torn.filter(f"n <= {SMALL}")
         one, other = few.select("band", F.col("h1").alias("v")), few.select("band", F.col("h1").alias("u"))
         more = one.join(other, "band").filter("v < u").select("u", "v")
@@ -272,9 +293,10 @@ def line_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def _copies(docs: DataFrame, similarity: float) -> DataFrame:
     """``line_copies`` with the hash of the row's text, ``text_hash``."""
     lines = split(docs)
-    roots = components(line_links(lines.select("h1", "h2", "line"), similarity))
+    known = settle(signed(lines), "signed")
+    roots = components(_links(lines.select("h1", "h2", "line"), known, similarity))
     place = F.struct("doc_id", "line_no", "text_hash")
-    found = settle(lines.select("doc_id", "text_hash", "line_no", F.struct("h1", "h2").alias("id")), "lines")
+    found = known.select("doc_id", "text_hash", "line_no", F.struct("h1", "h2").alias("id"))
     first = found.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     joined = first.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     kept = joined.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))
