@@ -318,6 +318,35 @@ def test_bpe(spark):
     assert ids.first()["ids"] == known.encode_ordinary("one line")
 
 
+def test_bpe_forgets_and_decodes_by_halves(monkeypatch):
+    import public_tokenizers as P
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    text = " ".join(f"word{i % 40} schaftung{i}" for i in range(300))
+    whole = bpe.Codec.load(path, P.PATTERN).encode(text)
+    monkeypatch.setattr(bpe, "REMEMBERED", 7)
+    monkeypatch.setattr(bpe, "PIECE", 64)
+    own = bpe.Codec.load(path, P.PATTERN)
+    assert own.encode(text) == own.encode(text) == whole
+    assert len(own) <= 7 and len(own.before) <= 7
+    assert own.decode(whole).decode() == text and own.decode(b"") == b""
+
+
+def test_signed_lines(spark):
+    texts = ["a line of some length", "short", "a line of some length", "another line here", "short"]
+    split = lines.split(odd(spark, [(1, "\n".join(texts)), (None, "short\n \n"), (None, None)]).coalesce(1))
+    known = lines.signed(split)
+    assert known.columns == ["doc_id", "text_hash", "line_no", "h1", "h2", "bands"]
+    seen = collections.defaultdict(list)
+    for r in known.join(split.select("h1", "line").distinct(), "h1").collect():
+        seen[r["line"]].append(r["bands"])
+    assert {k: len(v) for k, v in seen.items()} == {texts[0]: 2, "short": 3, texts[3]: 1}
+    for line, got in seen.items():
+        has = [b for b in got if b is not None]
+        assert has and all(b == lines.signatures([line])[1].tolist() for b in has)
+    assert lines.signed(split.limit(0)).count() == 0
+
+
 def test_chunks(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(2, 9)))
