@@ -10,6 +10,7 @@ import pytest
 
 from logweft import functions as fn
 from logweft import operators as ops
+from logweft.catalog import queries
 from logweft.operators import labels as label_ops
 from logweft.operators import skew
 from logweft.plans import blocks
@@ -296,6 +297,24 @@ def test_profile_bounds_its_lists(spark, kept, monkeypatch):
     assert found.hot == ("blk_-7",) and found.slices <= 21
 
 
+def test_slices_grow_with_lines_and_not_with_a_low_limit():
+    for lines in (10**4, 10**5, 10**6, 10**7, 10**8, 10**9):
+        short, long = (skew.BlockProfile(2 * lines, limit, lines, ("a",)).slices for limit in (100, 10**6))
+        assert long == lines // 10**6 + 1 and short <= max(65, lines // skew.SLICE_LINES + 1)
+        assert lines / short <= max(lines / 65, skew.SLICE_LINES)
+    assert skew.BlockProfile(900, 100, 450, ("a",)).slices == 5
+
+
+@pytest.mark.parametrize("name", ["event_intervals_hot", "block_records_segments", "anomaly_sequences_segments", "stored_block_records"])
+def test_queries_of_hot_blocks_parse_once(spark, tmp_path, name):
+    rows = [(i, datetime(2024, 1, 1, 0, i // 60, i % 60), i, "view", 1.0, '{"k": 1}') for i in range(600)]
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    assert found.count() and not any("events.parquet" in path for path in found.inputFiles())
+
+
 @pytest.mark.parametrize("buckets", [1, 3, 1 << 20])
 def test_profile_finds_every_large_block_and_no_other(kept, lines, buckets, monkeypatch):
     monkeypatch.setattr(skew, "BUCKETS", buckets)
