@@ -115,11 +115,14 @@ def runs(docs: DataFrame) -> DataFrame:
     digest = ["d1", "d2"]
     # Two thirds of the digest are enough to leave out what is there once.
     shared = settle(chunks.groupBy("d1").agg(F.count("*").alias("n")).filter("n > 1").select("d1"), "shared")
-    common = settle(chunks.join(tables.bounded(shared), "d1"), "common")
+    # One form at every size, so that what is shuffled grows as the texts do; Spark broadcasts what is small.
+    common = settle(chunks.join(shared, "d1"), "common")
     first = common.groupBy(*digest).agg(F.min(F.struct("doc_id", "text_hash", "start")).alias("first"))
     # Rows alike in id and text are one document.
     itself = "doc_id <=> first.doc_id AND text_hash = first.text_hash AND start = first.start"
-    copies = common.join(first, digest).filter(f"NOT ({itself})").select("doc_id", "text_hash", "start", "size", "first").distinct()
+    copies = common.join(first, digest).filter(f"NOT ({itself})").select("doc_id", "text_hash", "start", "size", "first")
+    # Dealt by document, once for what follows.
+    copies = copies.repartition("doc_id", "text_hash").distinct()
     in_doc = Window.partitionBy("doc_id", "text_hash").orderBy("start")
     opens = F.coalesce(F.lag(F.col("start") + F.col("size")).over(in_doc) != F.col("start"), F.lit(True))
     numbered = copies.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(in_doc))

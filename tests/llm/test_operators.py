@@ -374,6 +374,25 @@ def test_chunks(spark):
     assert chunks.repeats(tables.texts(odd(spark, CASES).limit(0))).count() == 0
 
 
+def test_chunks_meet_alike_at_every_size(spark, monkeypatch):
+    """Shared digests are not broadcast by force, and repeats are dealt out once, by document."""
+    plans, settle = {}, chunks.settle
+
+    def watched(rows, name):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return settle(rows, name)
+
+    monkeypatch.setattr(chunks, "settle", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = chunks.repeats(tables.texts(odd(spark, [(1, LONG), (2, LONG), (3, LONG[5:]), (3, None)])))
+        assert {r["doc_id"] for r in found.collect()} == {1, 2, 3}  # LONG repeats itself
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in plans["common"] and "SortMergeJoin" in plans["common"]
+    assert not any("start#" in line for line in plans["runs"].splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_chunk_repeats_are_whole_passages(spark, monkeypatch):
     monkeypatch.setattr(chunks, "REACH", 600)
     rng = random.Random(16)
