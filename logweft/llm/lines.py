@@ -1,20 +1,25 @@
-"""Fuzzy line dedup by MinHash.
+"""Fuzzy line dedup by MinHash, with DataFrame operations only.
 
-Joins, grouping and union-find are DataFrame operations.  Signatures and the exact check of a pair are
-numpy on Arrow batches: as DataFrame functions alone they took 2.6 times the CPU time allowed.
-
-A line is known by 128 bits of hash, so equal lines are one wherever lines meet.  One pass over the texts
-writes these hashes and the signatures; of the texts themselves only those of lines that share a band move.
-The signature of a line is taken over its character shingles.  A shingle's hash falls
+A line is known by 128 bits of hash, so equal lines are one wherever lines meet; of the texts only those of
+distinct lines, and then of lines that share a band, move.
+The signature of a line is taken over its character shingles, cut out of its UTF-32 form.  A shingle's hash falls
 into one of ``BANDS`` bins; of each bin the least hash under two orders is kept (an order is the hash
 combined with a constant by exclusive or, under which each member of a random set is the least with equal
 chance).  The values of two neighbouring bins are a band, four in all.  Lines with a band in common meet the
 least of them, and pairs of at least the wanted Jaccard similarity over their whole shingle sets are
-links; where the least does not reach all of a band, all its lines are compared, in pairs of blocks, so
-every similar pair with a band in common is joined.  Distributed union-find then gives the components, and the first line of each is kept.
+links; where the least does not reach all of a band, all its lines are compared, large bands in pairs of
+blocks, so every similar pair with a band in common is joined.  Distributed union-find then gives the
+components, and the first line of each is kept.
+
+Two lines are first compared by their sketches, bits that their shingles' hashes set: each bit that one has
+and the other has not is a shingle of one alone, so too many of them rule a pair out.  What they do not rule
+out is decided by the shingle sets themselves.
 
 A line of fewer characters than a shingle has itself as only shingle.  Lines of white space alone are
 never duplicates.
+
+``signed``, ``signatures``, ``similar``, ``joined`` and ``_block_links`` are numpy forms of the same steps.  No
+query runs them; tests compare the DataFrame forms with them.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweft.llm import tables
@@ -41,6 +46,11 @@ SMALL = 16
 BLOCK, BLOCK_CHARS = 512, 1 << 20
 #: Shingles counted in common at a time.
 COLUMNS = 4096
+#: Shingles of one row while shingles are folded.
+AT_ONCE = 4
+#: Words of 64 bits, a power of two, in the sketch of a line, and in that of a line of a large bucket: a join
+#: of two with more than a hundred columns is not compiled.
+WORDS, MORE_WORDS = 16, 32
 #: Constants that give a hash further orders.
 ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3)
 _SECOND = 0x5BD1E995
@@ -57,6 +67,75 @@ def split(docs: DataFrame) -> DataFrame:
     )
 
 
+def _folded(lines: DataFrame, *columns: Column) -> DataFrame:
+    """(h1, h2, ``columns``): aggregates over the shingles of each distinct line of ``lines`` (h1, h2, line).
+
+    ``columns`` see ``last``, the place of the last shingle from 0, and ``AT_ONCE`` hashes of shingles of a row,
+    ``g0``, ``g1`` and so on; at the end of a line some come twice.  Shingles exist only within the stage that
+    cuts them, as ``lines`` is dealt by h1 and h2 before.
+    """
+    rows = lines.select("h1", "h2", F.encode("line", "UTF-32").alias("wide"))
+    rows = rows.select("h1", "h2", "wide", F.expr(f"cast(greatest(0, octet_length(wide) div 4 - {SHINGLE}) AS int)").alias("last"))
+    rows = rows.select("h1", "h2", "wide", "last", F.expr(f"explode(sequence(0, last, {AT_ONCE}))").alias("i"))
+    cut = [F.expr(f"xxhash64(substring(wide, 4 * least(i + {k}, last) + 1, {4 * SHINGLE}))").alias(f"g{k}") for k in range(AT_ONCE)]
+    return rows.select("h1", "h2", "last", *cut).groupBy("h1", "h2").agg(*columns)
+
+
+def banded(lines: DataFrame) -> DataFrame:
+    """(h1, h2, bands): the bands of each distinct line of ``lines`` (h1, h2, line), without those of two empty bins."""
+    none, hashes = F.lit(2**63 - 1), [F.col(f"g{k}") for k in range(AT_ONCE)]
+    bins = [F.shiftrightunsigned(h, 40) * BANDS for h in hashes]
+    bins = [F.shiftright(b, 24) for b in bins]
+
+    def least(bin_: int, order: int) -> Column:
+        return F.min(F.least(*(F.when(b == bin_, h.bitwiseXOR(F.lit(order))).otherwise(none) for b, h in zip(bins, hashes, strict=True))))
+
+    distinct = lines.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    rows = _folded(distinct, *(least(k, order).alias(f"m{k}_{j}") for k in range(BANDS) for j, order in enumerate(ORDERS)))
+    keys = []
+    for k in range(BANDS):
+        values = [F.col(f"m{b}_{j}") for b in (k, (k + 1) % BANDS) for j in range(len(ORDERS))]
+        keys.append(F.when(F.least(*values) < none, F.xxhash64(F.lit(k), *values)))
+    return rows.select("h1", "h2", F.array_compact(F.array(*keys)).alias("bands"))
+
+
+def _sketched(lines: DataFrame, words: int) -> DataFrame:
+    """(h1, h2, n, s0, s1, ...): places of shingles and sketch of each of the distinct ``lines`` (h1, h2, line)."""
+    each = []
+    for word in range(words):
+        bits = [f"IF((g{k} & {words - 1}) = {word}, shiftleft(1L, cast(shiftrightunsigned(g{k}, 58) AS int)), 0L)" for k in range(AT_ONCE)]
+        each.append(F.expr(f"bit_or({' | '.join(bits)})").alias(f"s{word}"))
+    return _folded(lines.repartition("h1", "h2"), (F.max("last") + 1).alias("n"), *each)
+
+
+def _near(one: str, other: str, words: int, similarity: float) -> Column:
+    """Whether the sketches of two lines, columns that begin with ``one`` and ``other``, let them be similar.
+
+    Sets of that similarity differ in at most (1 - similarity) / (1 + similarity) of the sum of their sizes.
+    """
+    apart = F.expr(" + ".join(f"bit_count({one}s{k} ^ {other}s{k})" for k in range(words)))
+    return apart <= (F.col(f"{one}n") + F.col(f"{other}n")) * ((1 - similarity) / (1 + similarity) + 1e-9)
+
+
+def _sets(line: str) -> Column:
+    """The hashed shingles of the line whose UTF-32 form is column ``line``, each once.
+
+    The form is a variable of a function here, as a column of bytes is copied wherever it is read.
+    """
+    last = f"cast(greatest(0, octet_length(w) div 4 - {SHINGLE}) AS int)"
+    cut = f"transform(sequence(0, {last}), i -> xxhash64(substring(w, 4 * i + 1, {4 * SHINGLE})))"
+    return F.expr(f"transform(array({line}), w -> array_distinct({cut}))[0]")
+
+
+def _alike(pairs: DataFrame, near: Column | None, similarity: float, *kept: str) -> DataFrame:
+    """(``kept``, alike): whether the shingle sets of a_line and b_line are similar; not, where not ``near``."""
+    wide = [F.encode(f"{n}_line", "UTF-32").alias(f"{n}_wide") for n in "ab"]
+    rows = pairs.select(*kept, *(wide if near is None else (F.when(near, w).alias(f"{n}_wide") for n, w in zip("ab", wide, strict=True))))
+    rows = rows.select(*kept, *(F.when(F.col(f"{n}_wide").isNotNull(), _sets(f"{n}_wide")).alias(f"{n}_set") for n in "ab"))
+    rows = rows.select(*kept, F.size("a_set").alias("a_n"), F.size("b_set").alias("b_n"), F.size(F.array_intersect("a_set", "b_set")).alias("both"))
+    return rows.select(*kept, F.coalesce(F.expr(f"both >= {similarity!r}D * (a_n + b_n - both) AND a_n >= 0"), F.lit(False)).alias("alike"))
+
+
 def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Place of its line and hash of each shingle of ``lines``, in order."""
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
@@ -194,24 +273,45 @@ def _stars(members: DataFrame, key: str) -> DataFrame:
     return members.join(low, key).filter("h1 <> v").select(key, F.col("h1").alias("u"), "v")
 
 
+def _ends(lines: DataFrame, *columns: str) -> list[DataFrame]:
+    """``lines`` (h1, h2, ``columns``) for the two ends of a pair: identity a or b, its columns as a_ or b_."""
+    return [lines.select(F.struct("h1", "h2").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in columns)) for n in "ab"]
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, a, b, alike) of pairs (u, v) of h1: the line identities and whether they are similar."""
-    sides = []
-    for end, name in (("u", "a"), ("v", "b")):
-        sides.append(lines.select(F.col("h1").alias(end), F.col("h1").alias(f"{name}1"), F.col("h2").alias(f"{name}2"), F.col("line").alias(f"{name}_line")))
-    names = ["u", "v", "a1", "a2", "b1", "b2"]
-    both = pairs.join(sides[0], "u").join(sides[1], "v").select(*names, "a_line", "b_line")
+    """(u, v, a, b, alike) of pairs (u, v) of h1: the line identities and whether they are similar.
+
+    ``lines`` are texts with their sketches (h1, h2, line, n, s0, s1, ...).
+    """
+    one, other = _ends(lines, "line", "n", *(f"s{k}" for k in range(WORDS)))
+    both = pairs.join(one.withColumn("u", F.col("a.h1")), "u").join(other.withColumn("v", F.col("b.h1")), "v")
+    return _alike(both, _near("a_", "b_", WORDS, similarity), similarity, "u", "v", "a", "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tables.slices(batches, 4096):
-            left, right = batch.column("a_line").to_pylist(), batch.column("b_line").to_pylist()
-            alike = [similar(left[some], right[some], similarity) for some in _chunks(left, right)]
-            if alike:
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(np.concatenate(alike))], [*names, "alike"])
 
-    found = both.mapInArrow(run, ", ".join(f"{n} bigint" for n in names) + ", alike boolean")
-    ids = [F.struct(F.col(f"{n}1").alias("h1"), F.col(f"{n}2").alias("h2")).alias(n) for n in "ab"]
-    return found.select("u", "v", *ids, "alike")
+def _band_links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): identities of the similar lines, of ``texts`` (h1, h2, line), of each band of ``members`` (band, h1).
+
+    A band's lines are dealt into blocks, and each two blocks meet on their own.  Lines meet by their sketches;
+    texts move only for pairs that these do not rule out.
+    """
+    own = texts.join(members.select("h1").distinct(), "h1", "left_semi").select("h1", "h2", "line")
+    sketches = settle(_sketched(own, MORE_WORDS), "sketches")
+    blocks = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "band").withColumn("mine", F.pmod(F.xxhash64("h1"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "h1")
+    # Rows may come dealt by band, which would leave a band's pairs of blocks in one task.
+    dealt = dealt.join(sketches, "h1").repartition("band", "low", "high")
+    where, bits = ["band", "low", "high"], ["n", *(f"s{k}" for k in range(MORE_WORDS))]
+    one, other = (
+        dealt.filter(f"mine = {end}").select(*where, F.struct("h1", "h2").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in bits))
+        for n, end in (("a", "low"), ("b", "high"))
+    )
+    met = one.join(other, where).filter("low < high OR a < b").filter(_near("a_", "b_", MORE_WORDS, similarity))
+    pairs = settle(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
+    left, right = _ends(own, "line")
+    found = _alike(pairs.join(left, "a").join(right, "b"), None, similarity, "a", "b")
+    return found.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _block_links(members: DataFrame, similarity: float) -> DataFrame:
@@ -245,18 +345,14 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     They join the similar ones with a band in common, by way of others too.
     """
     lines = lines.select("h1", "h2", "line")
-    return _links(lines, settle(signed(lines), "signed"), similarity)
-
-
-def _links(lines: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """``line_links`` of ``lines``, whose bands are ``known``, a written table."""
-    tables.ship(lines.sparkSession)
-    banded = known.select("h1", F.explode("bands").alias("band"))
-    met = banded.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    known = settle(banded(lines), "signed")
+    banded_lines = known.select("h1", F.explode("bands").alias("band"))
+    met = banded_lines.groupBy("band").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     shared = settle(met.filter("low < high").select("band"), "shared")
-    members = settle(banded.join(tables.bounded(shared), "band").distinct(), "members")
+    members = settle(banded_lines.join(tables.bounded(shared), "band").distinct(), "members")
     wanted = settle(members.select("h1").distinct(), "wanted")
     texts = settle(lines.join(tables.bounded(wanted), "h1").groupBy("h1", "h2").agg(F.first("line").alias("line")), "texts")
+    texts = settle(texts.join(_sketched(texts, WORDS), ["h1", "h2"]), "sketched")
     stars = settle(_stars(members, "band"), "stars")
     first = settle(_verified(stars.select("u", "v").distinct(), texts, similarity), "verified")
     links = first.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -275,7 +371,7 @@ def _links(lines: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
         links = links.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         large = torn.filter(f"n > {SMALL}").select("band", "h1")
         if large.limit(1).count():
-            links = links.unionByName(_block_links(large.join(texts, "h1"), similarity))
+            links = links.unionByName(_band_links(large, texts, similarity))
     return links
 
 
@@ -293,10 +389,9 @@ def line_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def _copies(docs: DataFrame, similarity: float) -> DataFrame:
     """``line_copies`` with the hash of the row's text, ``text_hash``."""
     lines = split(docs)
-    known = settle(signed(lines), "signed")
-    roots = components(_links(lines.select("h1", "h2", "line"), known, similarity))
+    found = settle(lines.select("doc_id", "text_hash", "line_no", F.struct("h1", "h2").alias("id")), "places")
+    roots = components(line_links(lines, similarity))
     place = F.struct("doc_id", "line_no", "text_hash")
-    found = known.select("doc_id", "text_hash", "line_no", F.struct("h1", "h2").alias("id"))
     first = found.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     joined = first.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     kept = joined.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))

@@ -700,6 +700,47 @@ def test_lines_of_a_template(spark):
     assert got == {2000 + k: k for k in range(200)}
 
 
+def test_lines_without_python(spark, monkeypatch):
+    """No stage of line dedup runs Python, large torn buckets included, and the links are those of brute force."""
+    plans, settle = {}, lines.settle
+
+    def seen(rows, name="settled"):
+        plans[name] = plans.get(name, "") + rows._jdf.queryExecution().executedPlan().toString()
+        return settle(rows, name)
+
+    monkeypatch.setattr(lines, "settle", seen)
+    monkeypatch.setattr(components, "settle", seen)
+    monkeypatch.setattr(lines, "BLOCK", 16)
+    rows = list(enumerate([*template_lines(90, 20), "odd é𝄞 line of its own", "abc", "abc\0", "", "odd é𝄞 line of its own"]))
+    found = lines.line_copies(tables.texts(odd(spark, rows)))
+    plans["result"] = found._jdf.queryExecution().executedPlan().toString()
+    assert {(r["doc_id"], r["line_no"]): (r["kept_doc_id"], r["kept_line_no"]) for r in found.collect()} == brute_lines(rows)
+    assert {"signed", "verified", "met", "edges"} <= set(plans)
+    assert not [n for n, p in plans.items() if any(x in p for x in ("Python", "Pandas", "Arrow"))]
+
+
+@pytest.mark.parametrize("words", [16, 32])
+def test_line_sketches_against_sets(spark, words):
+    """Sketches rule out no similar pair, and pairs are as similar as their shingle sets."""
+    rng = random.Random(3)
+    left = ["".join(rng.choice("abcd é𝄞\0") for _ in range(rng.randrange(1, 60 if k % 9 else 900))) for k in range(300)] + ["abc", "a"]
+    right = [x[:5] + rng.choice(["", "x"]) + x[5:] for x in left[:-2]] + ["abc\0", "a"]
+    want = [alike for some in lines._chunks(left, right) for alike in lines.similar(left[some], right[some], 0.8).tolist()]
+    hashed = "line", "xxhash64(line) AS h1", "xxhash64(1, line) AS h2"
+    texts = spark.createDataFrame([(x,) for x in set(left + right)], "line string").selectExpr(*hashed)
+    sketches = texts.join(lines._sketched(texts, words), ["h1", "h2"])
+    one, other = lines._ends(sketches, "line", "n", *(f"s{k}" for k in range(words)))
+    pairs = spark.createDataFrame(list(zip(range(len(left)), left, right, strict=True)), "k int, a_line string, b_line string")
+    both = pairs.join(one, "a_line").join(other, "b_line")
+    for near in (None, lines._near("a_", "b_", words, 0.8)):
+        got = {r["k"]: r["alike"] for r in lines._alike(both, near, 0.8, "k").collect()}
+        assert [got[k] for k in range(len(left))] == want and 0 < sum(want) < len(want)
+    far = lines._near("a_", "b_", words, 0.8)
+    assert one.crossJoin(other).filter(~far).count() > 0
+    bands = {(r["h1"], r["h2"]): r["bands"] for r in lines.banded(texts.unionAll(texts)).collect()}
+    assert len(bands) == texts.count() and all(bands.values())
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     stages = dict(corpus_pipeline.STAGES)
