@@ -48,9 +48,8 @@ BLOCK, BLOCK_CHARS = 512, 1 << 20
 COLUMNS = 4096
 #: Shingles of one row while shingles are folded.
 AT_ONCE = 4
-#: Words of 64 bits, a power of two, in the sketch of a line, and in that of a line of a large bucket: a join
-#: of two with more than a hundred columns is not compiled.
-WORDS, MORE_WORDS = 16, 32
+#: Words of 64 bits, a power of two, in the sketch of a line; with twice as many a join's condition is not compiled.
+WORDS = 16
 #: Constants that give a hash further orders.
 ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3)
 _SECOND = 0x5BD1E995
@@ -289,27 +288,25 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
 
 
 def _band_links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): identities of the similar lines, of ``texts`` (h1, h2, line), of each band of ``members`` (band, h1).
+    """(u, v): identities of the similar lines, of ``texts`` with sketches, of each band of ``members`` (band, h1).
 
     A band's lines are dealt into blocks, and each two blocks meet on their own.  Lines meet by their sketches;
     texts move only for pairs that these do not rule out.
     """
-    own = texts.join(members.select("h1").distinct(), "h1", "left_semi").select("h1", "h2", "line")
-    sketches = settle(_sketched(own, MORE_WORDS), "sketches")
     blocks = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(blocks, "band").withColumn("mine", F.pmod(F.xxhash64("h1"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "h1")
     # Rows may come dealt by band, which would leave a band's pairs of blocks in one task.
-    dealt = dealt.join(sketches, "h1").repartition("band", "low", "high")
-    where, bits = ["band", "low", "high"], ["n", *(f"s{k}" for k in range(MORE_WORDS))]
+    dealt = dealt.join(texts.drop("line"), "h1").repartition("band", "low", "high")
+    where, bits = ["band", "low", "high"], ["n", *(f"s{k}" for k in range(WORDS))]
     one, other = (
         dealt.filter(f"mine = {end}").select(*where, F.struct("h1", "h2").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in bits))
         for n, end in (("a", "low"), ("b", "high"))
     )
-    met = one.join(other, where).filter("low < high OR a < b").filter(_near("a_", "b_", MORE_WORDS, similarity))
+    met = one.join(other, where).filter("low < high OR a < b").filter(_near("a_", "b_", WORDS, similarity))
     pairs = settle(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
-    left, right = _ends(own, "line")
+    left, right = _ends(texts, "line")
     found = _alike(pairs.join(left, "a").join(right, "b"), None, similarity, "a", "b")
     return found.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
 

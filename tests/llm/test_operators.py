@@ -719,7 +719,7 @@ def test_lines_without_python(spark, monkeypatch):
     assert not [n for n, p in plans.items() if any(x in p for x in ("Python", "Pandas", "Arrow"))]
 
 
-@pytest.mark.parametrize("words", [16, 32])
+@pytest.mark.parametrize("words", [16, 64])
 def test_line_sketches_against_sets(spark, words):
     """Sketches rule out no similar pair, and pairs are as similar as their shingle sets."""
     rng = random.Random(3)
