@@ -7,9 +7,9 @@ into one of ``BANDS`` bins; of each bin the least hash under two orders is kept
 combined with a constant by exclusive or, under which each member of a random set is the least with equal
 chance).  The values of two neighbouring bins are a band, four in all.  Lines with a band in common meet the
 least of them, and pairs of at least the wanted Jaccard similarity over their whole shingle sets are
-links; where the least does not reach all of a band, all its lines are compared, large bands in pairs of
-blocks, so every similar pair with a band in common is joined.  Distributed union-find then gives the
-components, and the first line of each is kept.
+links; where the least does not reach all of a band, its lines that are not joined yet are compared, in large
+bands in pairs of blocks, so every similar pair with a band in common is joined.  Distributed union-find then
+gives the components, and the first line of each is kept.
 
 Two lines are first compared by their sketches, bits that their shingles' hashes set: each bit that one has
 and the other has not is a shingle of one alone, so too many of them rule a pair out.  What they do not rule
@@ -50,6 +50,8 @@ COLUMNS = 4096
 AT_ONCE = 4
 #: Words of 64 bits, a power of two, in the sketch of a line; with twice as many a join's condition is not compiled.
 WORDS = 16
+#: Lines of a band's main root that its other lines are compared with before they meet all.
+PIVOTS = 16
 #: Constants that give a hash further orders.
 ORDERS = (0x1B873593CC9E2D51, 0x52DCE729DA3ED5A3)
 _SECOND = 0x5BD1E995
@@ -277,38 +279,118 @@ def _ends(lines: DataFrame, *columns: str) -> list[DataFrame]:
     return [lines.select(F.struct("h1", "h2").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in columns)) for n in "ab"]
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, a, b, alike) of pairs (u, v) of h1: the line identities and whether they are similar.
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(u, v, a, b) of the similar ones among pairs (u, v) of h1; a and b are the line identities.
 
-    ``lines`` are texts with their sketches (h1, h2, line, n, s0, s1, ...).
+    ``texts`` have their sketches (h1, h2, line, n, s0, s1, ...).  Pairs meet by these; texts move only for
+    pairs that they do not rule out.
     """
-    one, other = _ends(lines, "line", "n", *(f"s{k}" for k in range(WORDS)))
-    both = pairs.join(one.withColumn("u", F.col("a.h1")), "u").join(other.withColumn("v", F.col("b.h1")), "v")
-    return _alike(both, _near("a_", "b_", WORDS, similarity), similarity, "u", "v", "a", "b")
+    one, other = _ends(texts, "n", *(f"s{k}" for k in range(WORDS)))
+    met = pairs.join(one.withColumn("u", F.col("a.h1")), "u").join(other.withColumn("v", F.col("b.h1")), "v")
+    near = settle(met.filter(_near("a_", "b_", WORDS, similarity)).select("u", "v", "a", "b"), "near")
+    left, right = _ends(texts, "line")
+    return _alike(near.join(left, "a").join(right, "b"), None, similarity, "u", "v", "a", "b").filter("alike").drop("alike")
+
+
+def _rooted(members: DataFrame, roots: DataFrame, *keys: str) -> DataFrame:
+    """``members`` (``keys``, id) with the root of each line; a line without one in ``roots`` is its own."""
+    return members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*keys, "id", F.coalesce("root", "id").alias("root"))
+
+
+def _parted(members: DataFrame) -> DataFrame:
+    """``members`` (band, id, root) of bands of several roots, with ``main``, the root of most of a band's lines."""
+    parts = members.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band")
+    parts = parts.agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n")).filter("n > most.n")
+    return members.join(parts.select("band", F.col("most.root").alias("main")), "band")
+
+
+def _order(k: int) -> int:
+    """A constant that gives 64-bit hashes their order ``k``, by exclusive or; the first bits differ from order to order."""
+    return (k * int(_FACTOR) + 2**63) % 2**64 - 2**63
+
+
+def _leading(members: DataFrame) -> DataFrame:
+    """(band, pivots): up to ``PIVOTS`` lines of each band's main root, as h1, the same ones in bands with the same lines."""
+    main = members.filter("root = main").select("band", F.col("id.h1").alias("h1"))
+    orders = [F.lit(_order(k)) for k in range(PIVOTS)]
+    least = main.groupBy("band").agg(*(F.min(F.col("h1").bitwiseXOR(order)).alias(f"m{k}") for k, order in enumerate(orders)))
+    return least.select("band", F.array_distinct(F.array(*(F.col(f"m{k}").bitwiseXOR(order) for k, order in enumerate(orders)))).alias("pivots"))
 
 
-def _band_links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): identities of the similar lines, of ``texts`` with sketches, of each band of ``members`` (band, h1).
+def _apart(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, pivot, n, apart, s0, s1, ...): size of a line's shingle set, shingles that either it or its pivot has, their sketch.
 
-    A band's lines are dealt into blocks, and each two blocks meet on their own.  Lines meet by their sketches;
-    texts move only for pairs that these do not rule out.
+    ``pairs`` are (id, pivot), a pivot being an h1.
     """
-    blocks = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "band").withColumn("mine", F.pmod(F.xxhash64("h1"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "h1")
-    # Rows may come dealt by band, which would leave a band's pairs of blocks in one task.
-    dealt = dealt.join(texts.drop("line"), "h1").repartition("band", "low", "high")
-    where, bits = ["band", "low", "high"], ["n", *(f"s{k}" for k in range(WORDS))]
-    one, other = (
-        dealt.filter(f"mine = {end}").select(*where, F.struct("h1", "h2").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in bits))
-        for n, end in (("a", "low"), ("b", "high"))
+    line, other = _ends(texts, "line")
+    rows = pairs.join(line.withColumnRenamed("a", "id"), "id").join(other.withColumn("pivot", F.col("b.h1")), "pivot")
+    rows = rows.select("id", "pivot", *(F.encode(f"{n}_line", "UTF-32").alias(f"{n}_wide") for n in "ab"))
+    rows = rows.select("id", "pivot", *(_sets(f"{n}_wide").alias(f"{n}_set") for n in "ab"))
+    apart = F.concat(F.array_except("a_set", "b_set"), F.array_except("b_set", "a_set"))
+    rows = rows.select("id", "pivot", F.size("a_set").alias("n"), apart.alias("apart"))
+    bit = "(bits, g) -> bits | shiftleft(1L, cast(shiftrightunsigned(g, 58) AS int))"
+    each = (F.expr(f"aggregate(filter(apart, g -> (g & {WORDS - 1}) = {k}), 0L, {bit})").alias(f"s{k}") for k in range(WORDS))
+    return rows.select("id", "pivot", "n", "apart", *each)
+
+
+def _similar(one: str, other: str, similarity: float) -> Column:
+    """Whether two lines are, by their shingles apart from the same pivot.
+
+    A shingle that both have apart from it is one that both have, or both have not; so the lines differ by
+    the others.  These are a variable of a function, or they would be counted wherever they are read.
+    """
+    differ = f"size({one}apart) + size({other}apart) - 2 * size(array_intersect({one}apart, {other}apart))"
+    both = f"({one}n + {other}n - d) div 2"
+    return F.expr(f"exists(array({differ}), d -> {both} >= {similarity!r}D * ({one}n + {other}n - {both}))")
+
+
+def _band_links(members: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): roots of the similar lines, of ``texts`` with sketches, of each band of ``members`` (band, h1).
+
+    Lines that are joined already, by ``roots`` (node, root), need not meet.  Most of a band's lines have one
+    root, its main one.  The others are compared with some of these lines first, which leaves few outside; each of
+    those meets all lines of other roots, a band's lines outside and its lines in all being dealt into
+    blocks, and each two blocks meet on their own.  Shingle sets travel as what sets them apart from
+    one line of the band, its pivot, with a sketch of that, and are compared where lines meet, so only similar
+    pairs come out.
+    """
+    ids = members.join(texts.select("h1", F.struct("h1", "h2").alias("id")), "h1").select("band", "id")
+    parted = settle(_parted(_rooted(ids, roots, "band")), "parted")
+    leading = settle(_leading(parted), "leading")
+    pivots = leading.select("band", F.col("pivots")[0].alias("pivot"))
+    known = parted.join(pivots, "band")
+    apart = settle(_apart(known.select("id", "pivot").distinct(), texts), "apart")
+    sides = ["root", "n", "apart", *(f"s{k}" for k in range(WORDS))]
+
+    def end(rows: DataFrame, name: str, *where: str) -> DataFrame:
+        return rows.select(*where, F.col("id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in sides))
+
+    def links(met: DataFrame) -> DataFrame:
+        return settle(met.select(F.col("a_root").alias("u"), F.col("b_root").alias("v")).distinct(), "met")
+
+    alike = _near("a_", "b_", WORDS, similarity) & _similar("a_", "b_", similarity)
+    some = leading.select("band", F.explode("pivots").alias("h1"))
+    some = known.withColumn("h1", F.col("id.h1")).join(some, ["band", "h1"]).drop("h1")
+    some, whole = some.join(apart, ["id", "pivot"]), known.join(apart, ["id", "pivot"])
+    first = links(end(whole.filter("root <> main"), "a", "band").join(end(some, "b", "band"), "band").filter(alike))
+
+    # Of what is left, each line outside meets all lines of other roots.
+    again = components(first).withColumnRenamed("node", "old").withColumnRenamed("root", "new")
+    left = parted.select("band", "id", F.col("root").alias("old")).join(tables.bounded(again, tables.BROADCAST_ROWS // 4), "old", "left")
+    left = settle(_parted(left.select("band", "id", F.coalesce("new", "old").alias("root"))), "left")
+    blocks = left.groupBy("band").agg(
+        F.ceil(F.sum(F.expr("IF(root <> main, 1, 0)")) / BLOCK).cast("int").alias("outer"), F.ceil(F.count("*") / BLOCK).cast("int").alias("all")
     )
-    met = one.join(other, where).filter("low < high OR a < b").filter(_near("a_", "b_", WORDS, similarity))
-    pairs = settle(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
-    left, right = _ends(texts, "line")
-    found = _alike(pairs.join(left, "a").join(right, "b"), None, similarity, "a", "b")
-    return found.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    dealt = left.join(pivots, "band").join(blocks, "band").join(apart, ["id", "pivot"])
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = dealt.filter("root <> main").withColumn("low", block("outer")).withColumn("high", each("all"))
+    other = dealt.withColumn("high", block("all")).withColumn("low", each("outer")).withColumn("last", F.col("root") == F.col("main"))
+    where = ["band", "low", "high"]
+    # Rows may come dealt by band, which would leave a band's pairs of blocks in one task.
+    one, other = end(one.repartition(*where), "a", *where), end(other.repartition(*where), "b", *where, "last")
+    rest = one.join(other, where).filter(F.expr("a_root <> b_root AND (last OR a < b)")).filter(alike)
+    return first.unionByName(links(rest))
 
 
 def _block_links(members: DataFrame, similarity: float) -> DataFrame:
@@ -352,23 +434,26 @@ def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = settle(texts.join(_sketched(texts, WORDS), ["h1", "h2"]), "sketched")
     stars = settle(_stars(members, "band"), "stars")
     first = settle(_verified(stars.select("u", "v").distinct(), texts, similarity), "verified")
-    links = first.filter("alike").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = first.select(F.col("a").alias("u"), F.col("b").alias("v"))
     # Buckets whose least line does not reach all the others.
-    failed = first.filter("NOT alike").select("u", "v")
-    torn = settle(members.join(stars.join(failed, ["u", "v"]).select("band").distinct(), "band"), "torn")
+    failed = stars.join(first.select("u", "v"), ["u", "v"], "left_anti")
+    torn = settle(members.join(failed.select("band").distinct(), "band"), "torn")
     if torn.limit(1).count():
-        # Small ones give all their pairs, fewer than ``SMALL`` for each line.
+        roots = components(links)
+        links = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        # Small ones give all their pairs of lines that are not joined yet, fewer than ``SMALL`` for each line.
         sizes = settle(torn.groupBy("band").agg(F.count("*").alias("n")), "sizes")
         torn = torn.join(tables.bounded(sizes), "band")
-        few = torn.filter(f"n <= {SMALL}")
-        one, other = few.select("band", F.col("h1").alias("v")), few.select("band", F.col("h1").alias("u"))
-        more = one.join(other, "band").filter("v < u").select("u", "v")
-        new = more.distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
-        found = _verified(new, texts, similarity).filter("alike")
+        few = torn.filter(f"n <= {SMALL}").join(texts.select("h1", F.struct("h1", "h2").alias("id")), "h1")
+        few = _rooted(few, roots, "band", "h1").select("band", "h1", "root")
+        one, other = few.select("band", F.col("h1").alias("v"), F.col("root").alias("to")), few.select("band", F.col("h1").alias("u"), "root")
+        more = one.join(other, "band").filter("v < u AND root <> to").select("u", "v")
+        new = more.distinct().join(stars.select("u", "v").distinct(), ["u", "v"], "left_anti")
+        found = _verified(new, texts, similarity)
         links = links.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         large = torn.filter(f"n > {SMALL}").select("band", "h1")
         if large.limit(1).count():
-            links = links.unionByName(_band_links(large, texts, similarity))
+            links = links.unionByName(_band_links(large, texts, roots, similarity))
     return links
 
 

@@ -719,6 +719,28 @@ def test_lines_without_python(spark, monkeypatch):
     assert not [n for n, p in plans.items() if any(x in p for x in ("Python", "Pandas", "Arrow"))]
 
 
+def test_line_pairs_that_come_out(spark, monkeypatch):
+    """Of a large torn bucket only links come out, no more than it has lines, however many pairs are near or similar."""
+    written, settle = collections.Counter(), lines.settle
+
+    def seen(rows, name="settled"):
+        found = settle(rows, name)
+        written[name] += found.count()
+        return found
+
+    monkeypatch.setattr(lines, "settle", seen)
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    base, near = text(300), template_lines(80, 10)
+    for _ in range(80):
+        at = rng.sample(range(0, 300, 20), rng.randrange(1, 6))
+        near.append("".join(text(6) + base[k + 6 : k + 20] if k in at else base[k : k + 20] for k in range(0, 300, 20)))
+    rows = list(enumerate(near))
+    got = {(r["doc_id"], r["line_no"]): (r["kept_doc_id"], r["kept_line_no"]) for r in lines.line_copies(tables.texts(odd(spark, rows))).collect()}
+    assert got == brute_lines(rows) and len(got) > 40
+    assert 0 < written["met"] <= len(rows)
+
+
 @pytest.mark.parametrize("words", [16, 64])
 def test_line_sketches_against_sets(spark, words):
     """Sketches rule out no similar pair, and pairs are as similar as their shingle sets."""
